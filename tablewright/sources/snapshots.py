@@ -16,6 +16,7 @@ import time
 import uuid
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +38,10 @@ class SnapshotStore:
         self._seq = 0
 
     # -- metadata rows ------------------------------------------------------------------
-    def _append(self, kind: str, schema: str, row: tuple) -> None:
-        self.spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(f"{self.root}/_{kind}")
+    def _append(self, kind: str, schema: str, row: dict) -> None:
+        """Add one metadata row; written as a literal, so no Python worker and one small file."""
+        one = self.spark.range(1).select(F.inline(F.array(F.from_json(F.lit(json.dumps(row)), schema))))
+        one.coalesce(1).write.mode("append").parquet(f"{self.root}/_{kind}")
 
     def commits(self) -> DataFrame:
         return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.root}/_commits")
@@ -52,31 +55,46 @@ class SnapshotStore:
     def _point(self, ref: str, kind: str, commit_id: str, base: str | None = None, dropped: bool = False) -> None:
         """Move a ref. ``base`` is the commit a branch was created from or last merged at."""
         self._seq = max(self._seq + 1, time.time_ns())
-        self._append("refs", REF_SCHEMA, (ref, kind, commit_id, base, self._seq, dropped))
+        row = {"ref": ref, "kind": kind, "commit_id": commit_id, "base": base, "seq": self._seq, "dropped": dropped}
+        self._append("refs", REF_SCHEMA, row)
 
     # -- refs ---------------------------------------------------------------------------
+    def _ref(self, name: str):
+        """The last entry of one ref, or None: a filtered scan and a top-1."""
+        try:
+            log = self.spark.read.schema(REF_SCHEMA).parquet(f"{self.root}/_refs")
+        except AnalysisException:  # no such folder yet: the first commit creates it
+            return None
+        found = log.where(F.col("ref") == name).orderBy(F.desc("seq")).take(1)
+        return found[0] if found and not found[0]["dropped"] else None
+
+    def _commit(self, commit_id: str):
+        found = self.commits().where(F.col("commit_id") == commit_id).take(1)
+        return found[0] if found else None
+
+    def _resolve(self, ref: str):
+        """The commit row behind a branch, tag or commit id."""
+        entry = self._ref(ref)
+        row = self._commit(entry["commit_id"] if entry else ref)
+        if row is None:
+            raise RefError(f"unknown ref {ref}")
+        return row
+
     def head(self, ref: str) -> str:
         """Commit id of a branch, tag or commit."""
-        found = self.refs().where(F.col("ref") == ref).select("commit_id").take(1)
-        if found:
-            return found[0][0]
-        if self.commits().where(F.col("commit_id") == ref).take(1):
-            return ref
-        raise RefError(f"unknown ref {ref}")
-
-    def _exists(self, ref: str) -> bool:
-        return bool(self.refs().where(F.col("ref") == ref).take(1))
+        entry = self._ref(ref)
+        return entry["commit_id"] if entry else self._resolve(ref)["commit_id"]
 
     def create_branch(self, name: str, source: str) -> None:
         """No data moves: one more name for the same commit."""
-        if self._exists(name):
+        if self._ref(name):
             raise RefError(f"ref {name} exists")
         start = self.head(source)
         self._point(name, "branch", start, base=start)
 
     def tag(self, name: str, ref: str) -> None:
         """Tags never move."""
-        if self._exists(name):
+        if self._ref(name):
             raise RefError(f"ref {name} exists")
         self._point(name, "tag", self.head(ref))
 
@@ -94,8 +112,7 @@ class SnapshotStore:
         return path
 
     def tables(self, ref: str) -> dict[str, list[str]]:
-        row = self.commits().where(F.col("commit_id") == self.head(ref)).select("tables").take(1)
-        return {t: list(p) for t, p in (row[0][0] or {}).items()}
+        return {t: list(p) for t, p in self._resolve(ref)["tables"].items()}
 
     def commit(
         self,
@@ -109,34 +126,28 @@ class SnapshotStore:
         expected_head: str | None = None,
     ) -> str:
         """Record a commit whose listed tables change; all other tables stay as at the branch head."""
-        head = self.head(branch) if self._started() and self._exists(branch) else None
+        entry = self._ref(branch)
+        head = entry["commit_id"] if entry else None
         if expected_head is not None and head != expected_head:
             raise RefError(f"{branch} moved to {head}, expected {expected_head}")
         content, version = {}, 0
         if head is not None:
-            row = self.commits().where(F.col("commit_id") == head).select("tables", "version").take(1)[0]
-            content, version = {t: list(p) for t, p in row[0].items()}, row[1] + 1
+            row = self._commit(head)
+            content, version = {t: list(p) for t, p in row["tables"].items()}, row["version"] + 1
         content |= {t: p for t, p in tables.items() if p}
         for t in [t for t, p in tables.items() if not p]:
             content.pop(t, None)
         chain = parents if parents is not None else ([head] if head else [])
         text = json.dumps([branch, message, chain, content, version], sort_keys=True)
         commit_id = hashlib.sha256(text.encode()).hexdigest()
-        now = datetime.now(timezone.utc)
-        self._append(
-            "commits", COMMIT_SCHEMA, (commit_id, chain, branch, message, committer, metadata or {}, now, version, content)
-        )
-        self._point(branch, "branch", commit_id, base=self._base(branch) if head else None)
+        row = {
+            "commit_id": commit_id, "parents": chain, "branch": branch, "message": message, "committer": committer,
+            "metadata": metadata or {}, "created_at": datetime.now(timezone.utc).isoformat(), "version": version, "tables": content,
+        }
+        self._append("commits", COMMIT_SCHEMA, row)
+        self._point(branch, "branch", commit_id, base=entry["base"] if entry else None)
         return commit_id
 
-    def _base(self, branch: str) -> str | None:
-        found = self.refs().where(F.col("ref") == branch).select("base").take(1)
-        return found[0][0] if found else None
-
-    def _started(self) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_commits")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
-
     def overwrite(self, branch: str, table: str, df: DataFrame, message: str = "overwrite", **kw) -> str:
         return self.commit(branch, message, {table: [self.write(df, table, kw.pop("partition_by", ()))]}, **kw)
 
@@ -159,9 +170,7 @@ class SnapshotStore:
 
     def read_version(self, table: str, branch: str, version: int) -> DataFrame:
         """Time travel by number: versions of a branch count from 0."""
-        found = (
-            self.commits().where((F.col("branch") == branch) & (F.col("version") == version)).select("commit_id").take(1)
-        )
+        found = self.commits().where((F.col("branch") == branch) & (F.col("version") == version)).select("commit_id").take(1)
         if not found:
             raise RefError(f"{branch} has no version {version}")
         return self.read(table, found[0][0])
@@ -172,11 +181,12 @@ class SnapshotStore:
 
         Tables changed on both sides need a row-level merge first and are refused here.
         """
-        source_head, target_head = self.head(source), self.head(target)
-        start = self._base(source)
-        if start is None:
-            raise RefError(f"{source} did not branch from {target}")
-        ours, theirs, base = self.tables(target), self.tables(source), self.tables(start)
+        branch = self._ref(source)
+        target_head = self.head(target)
+        if branch is None or branch["base"] is None:
+            raise RefError(f"{source} is not a branch made from another ref")
+        source_head = branch["commit_id"]
+        ours, theirs, base = self.tables(target_head), self.tables(source_head), self.tables(branch["base"])
         moved = {t: theirs.get(t, []) for t in {*theirs, *base} if theirs.get(t) != base.get(t)}
         clash = sorted(t for t in moved if ours.get(t) != base.get(t) and ours.get(t) != theirs.get(t))
         if clash:
@@ -190,9 +200,9 @@ class SnapshotStore:
 
     def revert(self, branch: str, parent_number: int = 1) -> str:
         """A new commit whose tables equal the chosen parent of the head; history is kept."""
-        head = self.head(branch)
-        parents = self.commits().where(F.col("commit_id") == head).select("parents").take(1)[0][0]
-        old, now = self.tables(parents[parent_number - 1]), self.tables(head)
+        row = self._resolve(branch)
+        head, parents, now = row["commit_id"], row["parents"], row["tables"]
+        old = self.tables(parents[parent_number - 1])
         return self.commit(branch, f"revert {head[:12]}", {t: old.get(t, []) for t in {*old, *now}}, expected_head=head)
 
     def files(self, ref: str) -> DataFrame:
