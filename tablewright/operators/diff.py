@@ -23,6 +23,28 @@ def diff_objects(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
+def dirty_refs(head: DataFrame, staged: DataFrame) -> DataFrame:
+    """Refs that hold uncommitted changes, with their number: all refs (column ``ref``) in one join."""
+    a = head.select("ref", "path", F.col("checksum").alias("_a"))
+    b = staged.select("ref", "path", F.col("checksum").alias("_b"))
+    changed = a.join(b, ["ref", "path"], "full_outer").where(~F.col("_a").eqNullSafe(F.col("_b")))
+    return changed.groupBy("ref").agg(F.count(F.lit(1)).alias("n_changes"))
+
+
+def reset_prefixes(staged: DataFrame, head: DataFrame, prefixes: list[str]) -> DataFrame:
+    """Staged listing with everything below the prefixes put back as at the head; map-only."""
+    under = F.lit(False)
+    for p in prefixes:
+        under = under | F.col("path").startswith(p)
+    return staged.where(~under).unionByName(head.where(under))
+
+
+def move_prefix(manifest: DataFrame, old: str, new: str) -> DataFrame:
+    """A listing cloned to another root: paths below ``old`` are rewritten, content is shared."""
+    moved = F.concat(F.lit(new), F.substring("path", len(old) + 1, 1_000_000))
+    return manifest.withColumn("path", F.when(F.col("path").startswith(old), moved).otherwise(F.col("path")))
+
+
 def _row(columns: list[str]) -> Column:
     return F.struct(*columns)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.operators.skew import join_per_key
 from tablewright.session import persist_to_shared
 
 
@@ -22,6 +23,20 @@ def latest_commit(commits: DataFrame, by: str = "prefix") -> DataFrame:
     return commits.groupBy(by).agg(newest).select(by, "c.commit_id", "c.committer", "c.ts")
 
 
+def commit_ids(commits: DataFrame) -> DataFrame:
+    """Content-derived ids: equal parent, prefix, committer and time give the same id on any machine."""
+    content = F.concat_ws("|", F.coalesce("parent_id", F.lit("")), "prefix", "committer", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    return commits.withColumn("content_id", F.sha2(content, 256))
+
+
+def branch_heads(commits: DataFrame, branch: str) -> DataFrame:
+    """The ref list implied by a log: each branch with its newest commit and how many it has."""
+    newest = F.max(F.struct("ts", "commit_id")).alias("c")
+    return commits.groupBy(branch).agg(newest, F.count(F.lit(1)).alias("n_commits")).select(
+        F.col(branch).alias("ref"), F.col("c.commit_id").alias("commit_id"), "n_commits"
+    )
+
+
 def lineage_edges(commits: DataFrame, key_prefix: str = "source.") -> DataFrame:
     """Edges (commit_id, kind, source) from metadata keys such as ``source.url`` or ``source.commit``."""
     return (
@@ -48,16 +63,14 @@ def origins(parents: DataFrame, max_rounds: int = 40) -> DataFrame:
     for _ in range(max_rounds):
         if jump.where(~F.col("done")).isEmpty():
             return jump.select("node", F.col("to").alias("origin"), "steps")
-        settled = jump.where("done")
-        # Popular ancestors are looked up by many nodes; AQE splits such join partitions.
+        settled, pending = jump.where("done"), jump.where(~F.col("done"))
         via = jump.select(F.col("node").alias("to"), F.col("to").alias("next"), F.col("steps").alias("more"), F.col("done").alias("at_root"))
-        moved = (
-            jump.where(~F.col("done")).join(via, "to", "left")
-            .select(
-                "node", F.coalesce("next", "to").alias("to"),
-                (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
-                F.coalesce("at_root", F.lit(True)).alias("done"),  # a parent that is not listed ends the trail
-            )
+        # After a few rounds many nodes rest on the same few ancestors: those are looked up without a shuffle.
+        wanted = pending.groupBy("to").agg(F.count(F.lit(1)).alias("n"))
+        moved = join_per_key(pending, via.join(wanted, "to"), ["to"], "n", "left").select(
+            "node", F.coalesce("next", "to").alias("to"),
+            (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
+            F.coalesce("at_root", F.lit(True)).alias("done"),  # a parent that is not listed ends the trail
         )
         jump = persist_to_shared(settled.unionByName(moved), "origins")
     raise ValueError("parent chain is longer than 2^max_rounds, or has a cycle")
