@@ -64,16 +64,30 @@ def threshold(c: Column, at: float) -> Column:
     return F.when(c > F.lit(at), 1).otherwise(0)
 
 
-def clean_orders(df: DataFrame, status: str = "PAID", currency: str = "USD") -> DataFrame:
-    """Rows with both ids, the wanted status and currency, and a positive numeric amount."""
+def _valid_order(status: str, currency: str) -> Column:
     amount = to_number(F.col("amount"))
-    return df.withColumn("amount", amount).where(
+    return F.coalesce(
         present(F.col("order_id"))
         & present(F.col("customer_id"))
         & (F.col("status") == status)
         & (F.col("currency") == currency)
-        & (F.col("amount") > 0)
-        & ~F.isnan("amount")
+        & (amount > 0)
+        & ~F.isnan(amount),
+        F.lit(False),
+    )
+
+
+def clean_orders(df: DataFrame, status: str = "PAID", currency: str = "USD") -> DataFrame:
+    """Rows with both ids, the wanted status and currency, and a positive numeric amount."""
+    return df.where(_valid_order(status, currency)).withColumn("amount", to_number(F.col("amount")))
+
+
+def quality_report(df: DataFrame, status: str = "PAID", currency: str = "USD") -> DataFrame:
+    """What ``clean_orders`` keeps and drops, counted in one pass."""
+    kept = F.count_if(_valid_order(status, currency))
+    total = F.count(F.lit(1))
+    return df.agg(total.alias("rows_in"), kept.alias("rows_out"), (total - kept).alias("rows_dropped")).withColumn(
+        "filters", F.lit(f"status=={status},currency=={currency},amount>0,non_empty_ids")
     )
 
 
