@@ -20,7 +20,7 @@ def count_by_ref(refs: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def dim_aggregates(df: DataFrame, dimensions: list[str], measure: str, accuracy: int = 1_000_000) -> DataFrame:
+def dim_aggregates(df: DataFrame, dimensions: list[str], measure: str, accuracy: int = 10_000) -> DataFrame:
     """Count, median, minimum and maximum of a measure for each value of each dimension, in one scan.
 
     Each row becomes one (dimension, value) pair per dimension, folded together before the exchange.

@@ -69,7 +69,11 @@ def separator_chunks(docs: DataFrame, key: str, text: str = "text", size: int =
 
 
 def rechunk_changed(old: DataFrame, new: DataFrame, key: str, text: str = "text", **kw) -> DataFrame:
-    """Chunks of new and changed documents only: hashes are compared first, texts of the rest are not read again."""
+    """Chunks of new and changed documents only.
+
+    Only hashes are compared; the keys that differ then select the texts, so a small change moves
+    few keys and no text of an unchanged document.
+    """
     a = old.select(key, F.sha2(F.col(text), 256).alias("_h"))
-    same = new.select(key, F.sha2(F.col(text), 256).alias("_h")).join(a, [key, "_h"], "left_semi").select(key)
-    return fixed_chunks(new.join(same, key, "left_anti"), key, text, **kw)
+    changed = new.select(key, F.sha2(F.col(text), 256).alias("_h")).join(a, [key, "_h"], "left_anti").select(key)
+    return fixed_chunks(new.join(changed, key, "left_semi"), key, text, **kw)

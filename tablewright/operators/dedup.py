@@ -19,7 +19,7 @@ def later_duplicates(df: DataFrame, key: Column, order: str, hot_rows: int = HOT
     keyed = df.withColumn("_key", key)
     firsts = _repeated(keyed, "_key", F.min(order).alias(f"first_{order}"))
     return (
-        join_per_key(keyed, firsts, ["_key"], "_n", "inner", hot_rows)
+        join_per_key(keyed, firsts, ["_key"], "_n", order, "inner", hot_rows)
         .where(F.col(order) > F.col(f"first_{order}"))
         .drop("_key")
     )
@@ -30,18 +30,18 @@ def keep_first(df: DataFrame, key: Column, order: str, hot_rows: int = HOT_ROWS)
     keyed = df.withColumn("_key", key)
     firsts = _repeated(keyed, "_key", F.min(order).alias("_first"))
     return (
-        join_per_key(keyed, firsts, ["_key"], "_n", "left", hot_rows)
+        join_per_key(keyed, firsts, ["_key"], "_n", order, "left", hot_rows)
         .withColumn("survivor", F.coalesce("_first", order))
         .drop("_key", "_first")
     )
 
 
-def shared_keys(df: DataFrame, key: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
+def shared_keys(df: DataFrame, key: Column, row_id: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """All rows with ``n_same``: how many rows share the key; 1 where the key is unique or null."""
     keyed = df.withColumn("_key", key)
     counts = _repeated(keyed, "_key").withColumn("n_same", F.col("_n"))
     return (
-        join_per_key(keyed, counts, ["_key"], "_n", "left", hot_rows)
+        join_per_key(keyed, counts, ["_key"], "_n", row_id, "left", hot_rows)
         .withColumn("n_same", F.coalesce("n_same", F.lit(1).cast("bigint")))
         .drop("_key")
     )

@@ -92,14 +92,15 @@ def apply_changes(table: DataFrame, change_set: DataFrame, key: list[str]) -> Da
     """``apply_changes(a, changes(a, b)) == b``."""
     values = [c for c in table.columns if c not in key]
     new = change_set.select(*key, F.struct("op", *values).alias("_c"))
-    return (
-        table.join(new, key, "full_outer")
-        .where(~F.coalesce(F.col("_c.op") == "delete", F.lit(False)))
-        .select(*[
+    kept = table.join(new, key, "left").where(~F.coalesce(F.col("_c.op") == "delete", F.lit(False))).select(
+        *[
             F.col(c) if c in key else F.when(F.col("_c").isNotNull(), F.col(f"_c.{c}")).otherwise(F.col(c)).alias(c)
             for c in table.columns
-        ])
+        ]
     )
+    known = table.select(*key).join(new.select(*key), key, "left_semi").distinct()
+    fresh = change_set.where(F.col("op") == "upsert").join(known, key, "left_anti").select(*table.columns)
+    return kept.unionByName(fresh)
 
 
 def schema_frame(df: DataFrame) -> DataFrame:

@@ -44,19 +44,30 @@ def upsert(table: DataFrame, source: DataFrame, on: list[str]) -> DataFrame:
         keyed = F.col(c).isNotNull() if keyed is None else keyed & F.col(c).isNotNull()
     source = source.select(*[F.col(c).cast(t) for c, t in table.dtypes])
     new = _source_by_key(source.where(keyed), columns, on)
-    merged = table.join(new, on, "full_outer").select(
+    updated = table.join(new, on, "left").select(
         *[
             F.col(c) if c in on else F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)
             for c in columns
         ]
     )
-    return merged.unionByName(source.where(~keyed))  # a null key matches nothing: plain insert
+    inserted = new.join(_known(table, new, on), on, "left_anti").select(*[F.col(f"_new.{c}").alias(c) for c in columns])
+    loose = source.where(~keyed)  # a null key matches nothing: plain insert
+    return updated.unionByName(inserted).unionByName(loose)
+
+
+def _known(table: DataFrame, source: DataFrame, on: list[str]) -> DataFrame:
+    """Keys of ``source`` that the table has.
+
+    With a small source both this and the update are broadcast joins: the big table is scanned but
+    never shuffled, and a key that fills much of the table does no harm.
+    """
+    return table.select(*on).join(source.select(*on), on, "left_semi").distinct()
 
 
 def insert_new(table: DataFrame, source: DataFrame, on: list[str]) -> DataFrame:
     """MERGE … WHEN NOT MATCHED INSERT: existing keys are left alone."""
-    fresh = source.select(*[F.col(c).cast(t) for c, t in table.dtypes]).join(table.select(*on), on, "left_anti")
-    return table.unionByName(fresh.select(*table.columns))
+    source = source.select(*[F.col(c).cast(t) for c, t in table.dtypes])
+    return table.unionByName(source.join(_known(table, source, on), on, "left_anti").select(*table.columns))
 
 
 def insert_rows(table: DataFrame, source: DataFrame) -> DataFrame:

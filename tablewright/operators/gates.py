@@ -85,7 +85,14 @@ def nearest_descriptor(objects: DataFrame, descriptors: DataFrame, name: str, ho
     )
     known = descriptors.select(F.col("path").alias("descriptor")).distinct()
     best = spots.join(known, "descriptor").groupBy("folder", "n").agg(F.min_by("descriptor", "up").alias("descriptor"))
-    return join_per_key(objects.withColumn("folder", folder), best, ["folder"], "n", "left", hot_rows).drop("folder")
+    return join_per_key(objects.withColumn("folder", folder), best, ["folder"], "n", "path", "left", hot_rows).drop("folder")
+
+
+def missing_descriptors(diff: DataFrame, descriptors: DataFrame, name: str) -> DataFrame:
+    """Added objects that no descriptor covers; changed and removed objects are not looked at."""
+    added = diff.where((F.col("type") == "added") & (paths.base_name(F.col("path")) != name)).select("path")
+    bare = nearest_descriptor(added, descriptors, name).where(F.col("descriptor").isNull())
+    return findings(bare, "descriptor", F.col("path"), F.lit("no dataset metadata found"))
 
 
 def descriptor_fields(descriptors: DataFrame, fields: list[dict], strict: bool = False) -> DataFrame:
@@ -128,17 +135,16 @@ def file_formats(diff: DataFrame, prefix: str, suffixes: list[str], folders: tup
 
 
 def freshness(source: DataFrame, tables: dict[str, DataFrame], period: Column) -> DataFrame:
-    """Tables whose latest period is not the source's: one job over all of them."""
-    frames = {"": source, **tables}
-    union = None
-    for name, df in frames.items():
-        part = df.select(F.lit(name).alias("table"), period.cast("string").alias("period"))
-        union = part if union is None else union.unionByName(part)
-    latest = union.groupBy("table").agg(F.max("period").alias("period"))
+    """Tables whose latest period is not the source's, empty tables included: one job over all of them."""
+    latest = None
+    for name, df in {"": source, **tables}.items():
+        part = df.agg(F.max(period).cast("string").alias("period")).select(F.lit(name).alias("table"), "period")
+        latest = part if latest is None else latest.unionByName(part)
+    # one row per table from here on
     wanted = latest.where(F.col("table") == "").select(F.col("period").alias("wanted"), F.lit(1).alias("_k"))
     late = latest.where(F.col("table") != "").withColumn("_k", F.lit(1)).join(wanted, "_k")
     late = late.where(~F.col("period").eqNullSafe(F.col("wanted")))
-    return findings(late, "freshness", F.col("table"), F.concat("period", F.lit(" instead of "), "wanted"))
+    return findings(late, "freshness", F.col("table"), F.concat(F.coalesce("period", F.lit("nothing")), F.lit(" instead of "), "wanted"))
 
 
 def null_dimensions(table: DataFrame, columns: list[str]) -> DataFrame:

@@ -18,6 +18,28 @@ MAX_YEAR = 2099
 CURRENCY = "USD"
 REQUIRED = ["vendor", "date", "total", "currency"]
 
+# The wording of reasons.
+NO_VENDOR = "missing vendor"
+NO_TOTAL = "missing or unparseable total"
+WRONG_SUM = "total %.2f != sum(line items) %.2f"
+NO_DATE = "missing date"
+BAD_DATE = "unparseable date ('%s')"
+FUTURE = "future-dated (%s)"
+STALE = "stale date (%s, before 2023)"
+NO_CURRENCY = "missing currency"
+WRONG_CURRENCY = "non-USD currency (%s)"
+OVER_CAP = "total %.2f exceeds policy cap %.2f"
+DUPLICATE = "duplicate invoice number (%s)"
+NO_VERDICT = "validator produced no outcome"
+COPY = "exact duplicate of %s"
+UNREADABLE = "corrupt / unreadable file"
+NO_RECEIPT = "not a receipt"
+GATE_NO_TOTAL = "missing/unparseable total"
+GATE_WRONG_SUM = "total != sum(line items)"
+GATE_OVER_CAP = "total exceeds cap %.1f"
+GATE_NO_DATE = "missing/unparseable date"
+GATE_YEAR = "date year out of range (%s)"
+
 
 def gate_inputs(receipts: DataFrame) -> DataFrame:
     """Typed fields from a raw record (vendor, date, currency, total, invoice_no, line_items[{name, amount}]).
@@ -34,6 +56,7 @@ def gate_inputs(receipts: DataFrame) -> DataFrame:
         ((F.size(amounts) > 0) & F.forall(amounts, lambda a: a.isNotNull())).alias("check_sum"),
         F.aggregate(amounts, F.lit(0.0), lambda s, a: s + F.coalesce(a, F.lit(0.0))).alias("item_sum"),
         iso.alias("date_iso"),
+        tidy(F.col("date")).alias("date_raw"),
         F.when(iso != "", F.substring(iso, 1, 4).cast("int")).otherwise(0).alias("year"),
         tidy(F.col("invoice_no")).alias("invoice_no"),
     )
@@ -45,16 +68,27 @@ def missing_fields(receipts: DataFrame, required: list[str] = REQUIRED) -> DataF
     return receipts.select("source_file", names.alias("missing")).where(F.size("missing") > 0)
 
 
+def _say(text: str, *values) -> Column:
+    return F.format_string(text, *values)
+
+
+def _duplicate(invoice: str, count: str) -> Column:
+    return F.when(F.col(count) > 1, _say(DUPLICATE, F.col(invoice)))
+
+
 def _reasons(today: str, cap: float) -> Column:
-    total, iso, year, currency = F.col("total"), F.col("date_iso"), F.col("year"), F.col("currency")
+    total, iso, currency = F.col("total"), F.col("date_iso"), F.col("currency")
     return F.array_compact(
         F.array(
-            F.when(F.col("vendor") == "", "missing vendor"),
-            F.when(total.isNull(), "missing total"),
-            F.when(F.col("check_sum") & differs(total, F.col("item_sum")), "total is not the sum of its items"),
-            F.when(iso == "", "missing date").when(iso > today, "future date").when(year < MIN_YEAR, "stale date"),
-            F.when(currency == "", "missing currency").when(currency != CURRENCY, "wrong currency"),
-            F.when(total > cap, "total above cap"),
+            F.when(F.col("vendor") == "", NO_VENDOR),
+            F.when(total.isNull(), NO_TOTAL),
+            F.when(F.col("check_sum") & differs(total, F.col("item_sum")), _say(WRONG_SUM, total, F.col("item_sum"))),
+            F.when((iso == "") & (F.col("date_raw") == ""), NO_DATE)
+            .when(iso == "", _say(BAD_DATE, F.col("date_raw")))
+            .when(iso > today, _say(FUTURE, iso))
+            .when(F.col("year") < MIN_YEAR, _say(STALE, iso)),
+            F.when(currency == "", NO_CURRENCY).when(currency != CURRENCY, _say(WRONG_CURRENCY, currency)),
+            F.when(total > cap, _say(OVER_CAP, total, F.lit(float(cap)))),
         )
     )
 
@@ -71,13 +105,13 @@ def apply_uniqueness(drafts: DataFrame, verdicts: DataFrame, hot_rows: int = HOT
 
     ``drafts`` (source_file, invoice_no), ``verdicts`` (source_file, outcome, reasons).
     """
-    counted = shared_keys(drafts.select("source_file", "invoice_no"), F.nullif(tidy(F.col("invoice_no")), F.lit("")), hot_rows)
+    counted = shared_keys(drafts.select("source_file", "invoice_no"), F.nullif(tidy(F.col("invoice_no")), F.lit("")), "source_file", hot_rows)
     judged = counted.join(verdicts.select("source_file", "outcome", "reasons"), "source_file", "left")
     reasons = F.concat(
-        F.when(F.col("outcome").isNull(), F.array(F.lit("no verdict"))).otherwise(
+        F.when(F.col("outcome").isNull(), F.array(F.lit(NO_VERDICT))).otherwise(
             F.coalesce("reasons", F.array().cast("array<string>"))
         ),
-        F.when(F.col("n_same") > 1, F.array(F.lit("duplicate invoice"))).otherwise(F.array().cast("array<string>")),
+        F.array_compact(F.array(_duplicate("invoice_no", "n_same"))),
     )
     accepted = F.coalesce(F.col("outcome") == "accepted", F.lit(False)) & (F.size(reasons) == 0)
     return judged.select(
@@ -92,9 +126,9 @@ def triage(inbox: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """
     return keep_first(inbox, F.col("digest"), "file", hot_rows).select(
         "file",
-        F.when(F.col("survivor") != F.col("file"), F.concat(F.lit("duplicate of "), "survivor"))
-        .when(~F.col("readable"), "unreadable")
-        .when(~F.col("is_receipt"), "not a receipt")
+        F.when(F.col("survivor") != F.col("file"), _say(COPY, F.col("survivor")))
+        .when(~F.col("readable"), UNREADABLE)
+        .when(~F.col("is_receipt"), NO_RECEIPT)
         .alias("reason"),
     )
 
@@ -116,7 +150,7 @@ def accounting(inbox: DataFrame, outcomes: DataFrame) -> DataFrame:
         F.array(
             F.when(F.col("n").isNull(), F.struct(F.lit("unaccounted").alias("problem"), F.lit(1).alias("phase"))),
             F.when(F.col("_in").isNull(), F.struct(F.lit("unexpected").alias("problem"), F.lit(1).alias("phase"))),
-            F.when(F.col("n") > 1, F.struct(F.lit("counted twice").alias("problem"), F.lit(1).alias("phase"))),
+            F.when(F.col("n") > 1, F.struct(F.lit("double-counted").alias("problem"), F.lit(1).alias("phase"))),
             F.when(F.col("bad") > 0, F.struct(F.lit("accepted with a reason").alias("problem"), F.lit(3).alias("phase"))),
         )
     )
@@ -133,11 +167,19 @@ def recheck(typed: DataFrame, decided: DataFrame, today: str, cap: float = POLIC
     Only this direction blocks; a rejected row that looks fine does not. Invoice numbers are
     counted over the whole batch, rejected rows included.
     """
-    counted = shared_keys(typed, F.nullif(F.col("invoice_no"), F.lit("")), hot_rows)
-    why = F.concat(
-        _reasons(today, cap),
-        F.when(F.col("year") > MAX_YEAR, F.array(F.lit("year out of range"))).otherwise(F.array().cast("array<string>")),
-        F.when(F.col("n_same") > 1, F.array(F.lit("duplicate invoice"))).otherwise(F.array().cast("array<string>")),
+    counted = shared_keys(typed, F.nullif(F.col("invoice_no"), F.lit("")), "source_file", hot_rows)
+    total, iso, year, currency = F.col("total"), F.col("date_iso"), F.col("year"), F.col("currency")
+    why = F.array_compact(
+        F.array(
+            F.when(F.col("vendor") == "", NO_VENDOR),
+            F.when(total.isNull(), GATE_NO_TOTAL),
+            F.when(F.col("check_sum") & differs(total, F.col("item_sum")), GATE_WRONG_SUM),
+            F.when(total > cap, _say(GATE_OVER_CAP, F.lit(float(cap)))),
+            F.when(currency == "", NO_CURRENCY).when(currency != CURRENCY, _say(WRONG_CURRENCY, currency)),
+            F.when(iso == "", GATE_NO_DATE).when(iso > today, _say(FUTURE, iso)),
+            F.when((year != 0) & ~year.between(MIN_YEAR, MAX_YEAR), _say(GATE_YEAR, iso)),
+            _duplicate("invoice_no", "n_same"),
+        )
     )
     accepted = decided.where(F.col("decided") == "accepted").select("source_file")
     return counted.withColumn("why", why).where(F.size("why") > 0).join(accepted, "source_file", "left_semi").select("source_file", "why")
@@ -152,3 +194,14 @@ def split_ledger(outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(ledger, rejects): accepted rows, and all others with the deciding phase and reason."""
     accepted = F.col("outcome") == "accepted"
     return outcomes.where(accepted), outcomes.where(~accepted).select("source_file", "outcome", "phase", "reason")
+
+
+def ledger_rows(accepted: DataFrame, receipts: DataFrame) -> DataFrame:
+    """The ledger as people read it: ISO dates, upper-case currency, plain two-digit totals, item counts."""
+    iso = to_iso_date(F.col("date"))
+    rows = receipts.select(
+        "source_file", "vendor", "invoice_no", F.when(iso != "", iso).otherwise(tidy(F.col("date"))).alias("date"),
+        F.upper(F.coalesce("currency", F.lit(""))).alias("currency"),
+        F.format_string("%.2f", parse_amount(F.col("total"))).alias("total"), F.size("line_items").alias("num_items"),
+    )
+    return rows.join(accepted.select("source_file"), "source_file", "left_semi")

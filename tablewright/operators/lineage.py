@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from tablewright.operators.skew import join_per_key
-from tablewright.session import persist_to_shared
+from tablewright.session import persist_to_shared, scratch
 
 
 def log_by_prefix(commits: DataFrame, prefixes: list[str], n: int) -> DataFrame:
@@ -67,7 +68,7 @@ def origins(parents: DataFrame, max_rounds: int = 40) -> DataFrame:
         via = jump.select(F.col("node").alias("to"), F.col("to").alias("next"), F.col("steps").alias("more"), F.col("done").alias("at_root"))
         # After a few rounds many nodes rest on the same few ancestors: those are looked up without a shuffle.
         wanted = pending.groupBy("to").agg(F.count(F.lit(1)).alias("n"))
-        moved = join_per_key(pending, via.join(wanted, "to"), ["to"], "n", "left").select(
+        moved = join_per_key(pending, via.join(wanted, "to"), ["to"], "n", "node", "left").select(
             "node", F.coalesce("next", "to").alias("to"),
             (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
             F.coalesce("at_root", F.lit(True)).alias("done"),  # a parent that is not listed ends the trail
@@ -79,15 +80,22 @@ def origins(parents: DataFrame, max_rounds: int = 40) -> DataFrame:
 def upstream(edges: DataFrame, targets: DataFrame, max_rounds: int = 100) -> DataFrame:
     """All ancestors of the targets in a graph (source, target): rows (node, hops), nearest distance.
 
-    A frontier join per level; nodes met before are not visited again, so cycles end.
+    One join per level; each level is written to the shared folder, and nodes met before are not
+    visited again, so cycles end and nothing is written twice.
     """
-    seen = persist_to_shared(targets.select("node").distinct().withColumn("hops", F.lit(0).cast("bigint")), "upstream")
-    frontier = seen
+    spark = edges.sparkSession
+    folder = scratch(spark, "upstream")
+
+    def put(level: DataFrame, hop: int) -> DataFrame:
+        level.write.parquet(f"{folder}/hops={hop}")
+        return spark.read.schema(level.schema).parquet(f"{folder}/hops={hop}")
+
+    frontier = put(targets.select("node").distinct(), 0)
     for hop in range(1, max_rounds + 1):
+        seen = spark.read.schema(targets.select("node").schema.add("hops", LongType())).parquet(folder)
         step = edges.join(frontier.select(F.col("node").alias("target")), "target", "left_semi")
-        fresh = step.select(F.col("source").alias("node")).distinct().join(seen, "node", "left_anti")
-        frontier = persist_to_shared(fresh.withColumn("hops", F.lit(hop).cast("bigint")), "upstream")
+        fresh = step.select(F.col("source").alias("node")).distinct().join(seen.select("node"), "node", "left_anti")
+        frontier = put(fresh, hop)
         if frontier.isEmpty():
             return seen
-        seen = persist_to_shared(seen.unionByName(frontier), "upstream")
     raise ValueError(f"more than {max_rounds} levels")

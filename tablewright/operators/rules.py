@@ -17,6 +17,7 @@ CATEGORIES = ["electronics", "clothing", "books", "home", "sports"]
 CURRENCY = "USD"
 AMOUNT_CEILING = 350.00
 MIN_YEAR = 2023
+PHASES = {1: "Structural Integrity", 2: "Format & Value Conformance", 3: "Business Rules"}
 
 
 def _year(c: Column) -> Column:
@@ -63,6 +64,26 @@ def first_failing_phase(found: DataFrame) -> DataFrame:
     return found.join(F.broadcast(lowest), "phase", "left_semi")
 
 
+def report(orders: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """One row: status, first failing phase and its name, rows looked at, and ``rule:rows`` of that phase.
+
+    There are as many (phase, rule) counts as rules, so the last steps handle a dozen rows.
+    """
+    counts = order_findings(orders, hot_rows=hot_rows).groupBy("phase", "rule").agg(F.count(F.lit(1)).alias("n"))
+    per_phase = counts.groupBy("phase").agg(
+        F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "rule", F.col("n").cast("string")))), ",").alias("failures")
+    )
+    first = per_phase.agg(F.min_by(F.struct("phase", "failures"), "phase").alias("f"))
+    rows = orders.agg(F.count(F.lit(1)).alias("row_count"))
+    one = first.withColumn("_j", F.lit(1)).join(rows.withColumn("_j", F.lit(1)), "_j")
+    name = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in PHASES.items() for x in kv]), F.col("f.phase")), F.lit("All phases passed"))
+    return one.select(
+        F.when(F.col("f").isNull(), "passed").otherwise("failed").alias("status"),
+        F.coalesce("f.phase", F.lit(0)).alias("failed_phase"), name.alias("phase_name"), "row_count",
+        F.coalesce("f.failures", F.lit("")).alias("failures"),
+    )
+
+
 def rule_summary(found: DataFrame, block_rows: int = 1000) -> DataFrame:
     """Affected row numbers per rule, as lists over blocks of ``block_rows`` row numbers.
 

@@ -1,33 +1,42 @@
-"""Joins of rows to one-row-per-key frames when a single key may hold a large share of the rows."""
+"""Joining rows to one-row-per-key frames when a single key may hold a large share of the rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with at least this many rows is joined without shuffling its rows. There can be at most
-# (rows / HOT_ROWS) such keys, which bounds the broadcast: a trillion rows give at most a million.
+# A key with at least this many rows counts as hot. There can be at most (rows / HOT_ROWS) such keys,
+# which bounds what is broadcast: a trillion rows give at most a million entries.
 HOT_ROWS = 1_000_000
+SALTS = 4096
 
 
 def join_per_key(
-    rows: DataFrame, per_key: DataFrame, on: list[str], weight: str, how: str = "inner", hot_rows: int = HOT_ROWS
+    rows: DataFrame, per_key: DataFrame, on: list[str], weight: str, spread: str,
+    how: str = "inner", hot_rows: int = HOT_ROWS, salts: int = SALTS,
 ) -> DataFrame:
-    """Join ``rows`` to ``per_key`` (unique on ``on``; ``weight`` = rows of that key in ``rows``).
+    """Join ``rows`` to ``per_key`` (unique on ``on``; ``weight`` = how many of the rows have that key).
 
-    Rows of hot keys meet a broadcast of the few hot entries and never move; all others take the
-    ordinary shuffled join. ``how`` is ``inner`` or ``left``; the result has no ``weight`` column
-    unless the caller keeps a copy of it.
+    Hot entries are broadcast; their rows, and rows with a null key, then travel under a salt taken
+    from ``spread`` (a column that differs between rows of one key), so no task receives all rows of
+    a key. All other rows meet their entry in the ordinary shuffled join. Both readings of
+    ``per_key`` use the same columns, so Spark computes it once. ``weight`` is not in the result.
     """
     if how not in ("inner", "left"):
         raise ValueError(how)
-    heavy = F.broadcast(per_key.where(F.col(weight) >= hot_rows).drop(weight))
-    light = per_key.where(F.col(weight) < hot_rows).drop(weight)
-    hot = rows.join(heavy, on, "inner")
-    rest = rows.join(F.broadcast(per_key.where(F.col(weight) >= hot_rows).select(*on)), on, "left_anti")
-    return hot.unionByName(rest.join(light, on, how))
-
-
-def keep_keys(rows: DataFrame, per_key: DataFrame, on: list[str], weight: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Rows whose key occurs in ``per_key`` (a semi join that survives hot keys)."""
-    return join_per_key(rows, per_key.select(*on, weight), on, weight, "inner", hot_rows)
+    values = [c for c in per_key.columns if c not in on and c != weight]
+    entry = F.struct(F.lit(True).alias("_found"), *values)
+    hot = F.col(weight) >= hot_rows
+    heavy = F.broadcast(per_key.where(hot).select(*on, entry.alias("_heavy")))
+    light = per_key.where(~hot).select(*on, F.lit(0).cast("bigint").alias("_salt"), entry.alias("_light"))
+    no_key = F.col(on[0]).isNull()
+    for c in on[1:]:
+        no_key = no_key | F.col(c).isNull()
+    marked = rows.join(heavy, on, "left").withColumn(
+        "_salt",
+        F.when(F.col("_heavy").isNotNull() | no_key, F.pmod(F.xxhash64(spread), F.lit(salts)) + 1).otherwise(F.lit(0).cast("bigint")),
+    )
+    joined = marked.join(light, [*on, "_salt"], "left").withColumn("_entry", F.coalesce("_heavy", "_light"))
+    if how == "inner":
+        joined = joined.where(F.col("_entry").isNotNull())
+    return joined.select(*rows.columns, *[F.col(f"_entry.{c}").alias(c) for c in values])

@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from tablewright.functions.arrays import squared_distance
 
-MAX_QUERY_VALUES = 10_000_000  # query vectors shipped with each task: at most 80 MB of doubles
+MAX_QUERIES = 10_000  # query vectors shipped with each task
 
 
 def nearest(vectors: DataFrame, query: list[float], k: int = 4, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -25,17 +25,19 @@ def nearest(vectors: DataFrame, query: list[float], k: int = 4, key: str = "vec_
 
 
 def nearest_many(
-    vectors: DataFrame, queries: list[tuple[int, list[float]]], k: int = 4, key: str = "vec_id", vector: str = "embedding"
+    vectors: DataFrame, queries: DataFrame, k: int = 4, key: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
     """The ``k`` nearest vectors to each of several queries, exact.
 
-    Queries travel with the tasks (their total size is checked). Each task keeps its own k best per
-    query, so the shuffle carries k rows per query and task, not one per pair.
+    ``queries`` (query_id, vector) are a handful by nature and travel with the tasks; more than
+    ``MAX_QUERIES`` are refused. Each task keeps its own k best per query, so the shuffle carries k
+    rows per query and task, not one per pair.
     """
-    ids = np.array([q[0] for q in queries])
-    points = np.array([q[1] for q in queries], dtype="float64")
-    if points.size > MAX_QUERY_VALUES:
+    asked = queries.select("query_id", "vector").take(MAX_QUERIES + 1)
+    if len(asked) > MAX_QUERIES:
         raise ValueError("too many query vectors for one pass; split them into several calls")
+    ids = np.array([q["query_id"] for q in asked])
+    points = np.array([q["vector"] for q in asked], dtype="float64")
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept_d = np.empty((len(ids), 0))

@@ -46,7 +46,7 @@ _DIMS = ["l_returnflag", "l_linestatus", "l_linenumber"]
     ),
 )
 def _(t):
-    return aggregates.dim_aggregates(t.lineitem, _DIMS, "l_extendedprice")
+    return aggregates.dim_aggregates(t.lineitem, _DIMS, "l_extendedprice", accuracy=100_000)
 
 
 @query(
@@ -214,7 +214,7 @@ def _(t):
     count(*) OVER (PARTITION BY invoice_no) AS n_same FROM receipts WHERE invoice_no <> '') WHERE n_same > 1""",
 )
 def _(t):
-    counted = dedup.shared_keys(t.receipts.select("source_file", "invoice_no"), F.nullif(tidy(F.col("invoice_no")), F.lit("")))
+    counted = dedup.shared_keys(t.receipts.select("source_file", "invoice_no"), F.nullif(tidy(F.col("invoice_no")), F.lit("")), "source_file")
     return counted.where(F.col("n_same") > 1).select("source_file", "invoice_no", "n_same")
 
 

@@ -143,9 +143,9 @@ def _(t):
     WHERE r <= 4""",
 )
 def _(t):
-    # one query per label: the number of labels is fixed, and nearest_many checks the total size
-    asked = t.embeddings.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("q")).collect()
-    out = vectors.nearest_many(t.embeddings, [(r["label"], r["q"]) for r in asked], k=4)
+    # one query per label; nearest_many refuses more than it can ship
+    asked = t.embeddings.groupBy(F.col("label").alias("query_id")).agg(F.min_by("embedding", "vec_id").alias("vector"))
+    out = vectors.nearest_many(t.embeddings, asked, k=4)
     return out.withColumn("distance", F.round("distance", 6))
 
 

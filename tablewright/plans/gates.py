@@ -92,6 +92,15 @@ def _(t):
     return gates.nearest_descriptor(t.manifest_main.select("path"), t.descriptors, DESCRIPTOR)
 
 
+@query(
+    "check_descriptor_present",
+    """SELECT 'descriptor' AS "check", b.path AS subject, 'no dataset metadata found' AS detail FROM manifest_dev b
+    LEFT JOIN manifest_main a ON a.path = b.path WHERE a.path IS NULL AND b.path LIKE 'docs/new/%'""",
+)
+def _(t):
+    return gates.missing_descriptors(diff.diff_objects(t.manifest_main, t.manifest_dev), t.descriptors, DESCRIPTOR)
+
+
 @query(
     "check_descriptor_fields",
     """WITH p AS (SELECT 'datasets/' || p_partkey AS path, p_partkey AS k FROM part)
@@ -244,6 +253,15 @@ def _(t):
     return rules.first_failing_phase(rules.order_findings(t.orders_dirty))
 
 
+@query(
+    "validation_report",
+    f"""SELECT 'failed' AS status, 1 AS failed_phase, 'Structural Integrity' AS phase_name, (SELECT count(*) FROM orders_dirty) AS row_count,
+    string_agg(rule || ':' || n, ',' ORDER BY rule) AS failures FROM (SELECT rule, count(*) AS n FROM ({_found_sql(1)}) GROUP BY rule)""",
+)
+def _(t):
+    return rules.report(t.orders_dirty)
+
+
 @query(
     "rule_summary",
     f"""SELECT phase, rule, row_no // 1000 AS row_block, count(*) AS n_rows, string_agg(row_no, ',' ORDER BY row_no) AS affected_rows

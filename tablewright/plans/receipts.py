@@ -15,16 +15,24 @@ _TYPED = f"""typed AS (SELECT source_file, trim(vendor) AS vendor, upper(trim(cu
     {_NUM.format('goods')} IS NOT NULL AND {_NUM.format('fee')} IS NOT NULL AS check_sum,
     coalesce({_NUM.format('goods')}, 0) + coalesce({_NUM.format('fee')}, 0) AS item_sum, date_iso,
     CASE WHEN date_iso <> '' THEN CAST(substr(date_iso, 1, 4) AS INTEGER) ELSE 0 END AS year, trim(invoice_no) AS invoice_no FROM receipts)"""
-_REASONS = f"""concat_ws(';', CASE WHEN vendor = '' THEN 'missing vendor' END, CASE WHEN total IS NULL THEN 'missing total' END,
-    CASE WHEN check_sum AND abs(total - item_sum) > 0.01 THEN 'total is not the sum of its items' END,
-    CASE WHEN date_iso = '' THEN 'missing date' WHEN date_iso > '{TODAY}' THEN 'future date' WHEN year < 2023 THEN 'stale date' END,
-    CASE WHEN currency = '' THEN 'missing currency' WHEN currency <> 'USD' THEN 'wrong currency' END,
-    CASE WHEN total > 500 THEN 'total above cap' END)"""
+_REASONS = f"""concat_ws('; ', CASE WHEN vendor = '' THEN 'missing vendor' END, CASE WHEN total IS NULL THEN 'missing or unparseable total' END,
+    CASE WHEN check_sum AND abs(total - item_sum) > 0.01 THEN printf('total %.2f != sum(line items) %.2f', total, item_sum) END,
+    CASE WHEN date_iso = '' THEN 'missing date' WHEN date_iso > '{TODAY}' THEN 'future-dated (' || date_iso || ')'
+    WHEN year < 2023 THEN 'stale date (' || date_iso || ', before 2023)' END,
+    CASE WHEN currency = '' THEN 'missing currency' WHEN currency <> 'USD' THEN 'non-USD currency (' || currency || ')' END,
+    CASE WHEN total > 500 THEN printf('total %.2f exceeds policy cap 500.00', total) END)"""
+_WHY = f"""concat_ws('; ', CASE WHEN vendor = '' THEN 'missing vendor' END, CASE WHEN total IS NULL THEN 'missing/unparseable total' END,
+    CASE WHEN check_sum AND abs(total - item_sum) > 0.01 THEN 'total != sum(line items)' END,
+    CASE WHEN total > 500 THEN 'total exceeds cap 500.0' END,
+    CASE WHEN currency = '' THEN 'missing currency' WHEN currency <> 'USD' THEN 'non-USD currency (' || currency || ')' END,
+    CASE WHEN date_iso = '' THEN 'missing/unparseable date' WHEN date_iso > '{TODAY}' THEN 'future-dated (' || date_iso || ')' END,
+    CASE WHEN year <> 0 AND (year < 2023 OR year > 2099) THEN 'date year out of range (' || date_iso || ')' END,
+    CASE WHEN n_same > 1 THEN 'duplicate invoice number (' || invoice_no || ')' END)"""
 _JUDGED = f"judged AS (SELECT *, {_REASONS} AS reasons FROM typed)"
 _COUNTED = """counted AS (SELECT *, CASE WHEN invoice_no = '' THEN 1 ELSE count(*) OVER (PARTITION BY invoice_no) END AS n_same FROM judged)"""
-_DUP = "CASE WHEN n_same > 1 THEN 'duplicate invoice' END"
+_DUP = "CASE WHEN n_same > 1 THEN 'duplicate invoice number (' || invoice_no || ')' END"
 _NO_VERDICT = "CAST(substr(source_file, 2, length(source_file) - 5) AS BIGINT) % 89 = 0"
-_FINAL = f"""final AS (SELECT source_file, concat_ws(';', CASE WHEN {_NO_VERDICT} THEN 'no verdict' ELSE nullif(reasons, '') END, {_DUP}) AS reasons FROM counted)"""
+_FINAL = f"""final AS (SELECT source_file, concat_ws('; ', CASE WHEN {_NO_VERDICT} THEN 'validator produced no outcome' ELSE nullif(reasons, '') END, {_DUP}) AS reasons FROM counted)"""
 
 
 def records(t):
@@ -52,7 +60,7 @@ def _final(t):
 
 @query("gate_inputs", f"WITH {_TYPED} SELECT source_file, vendor, currency, total, check_sum, round(item_sum, 4) AS item_sum, date_iso, year, invoice_no FROM typed")
 def _(t):
-    return ledger.gate_inputs(records(t)).withColumn("item_sum", F.round("item_sum", 4))
+    return ledger.gate_inputs(records(t)).drop("date_raw").withColumn("item_sum", F.round("item_sum", 4))
 
 
 @query(
@@ -64,7 +72,7 @@ def _(t):
 
 
 def joined_reasons(column: str = "reasons"):
-    return F.array_join(column, ";").alias(column)
+    return F.array_join(column, "; ").alias(column)
 
 
 @query(
@@ -89,7 +97,7 @@ def _(t):
 @query(
     "triage",
     """WITH h AS (SELECT *, min(file) OVER (PARTITION BY sha256(content)) AS survivor FROM inbox)
-    SELECT file, CASE WHEN survivor <> file THEN 'duplicate of ' || survivor WHEN NOT readable THEN 'unreadable'
+    SELECT file, CASE WHEN survivor <> file THEN 'exact duplicate of ' || survivor WHEN NOT readable THEN 'corrupt / unreadable file'
     WHEN NOT is_receipt THEN 'not a receipt' END AS reason FROM h""",
 )
 def _(t):
@@ -112,7 +120,7 @@ _KEY = "CAST(substr(source_file, 2, length(source_file) - 5) AS BIGINT)"
     f"""WITH {_TYPED}, {_JUDGED}, {_COUNTED}, {_FINAL}, {_OUT}, k AS (SELECT *, {_KEY} AS k FROM outcomes)
     SELECT 'unaccounted' AS problem, 1 AS phase, source_file FROM k WHERE k % 101 = 0
     UNION ALL SELECT 'unexpected', 1, 'ghost-' || source_file FROM k WHERE k % 103 = 0 AND k % 101 <> 0
-    UNION ALL SELECT 'counted twice', 1, source_file FROM k WHERE k % 107 = 0 AND k % 101 <> 0
+    UNION ALL SELECT 'double-counted', 1, source_file FROM k WHERE k % 107 = 0 AND k % 101 <> 0
     UNION ALL SELECT 'accepted with a reason', 3, source_file FROM k WHERE k % 101 <> 0 AND k % 109 = 0""",
 )
 def _(t):
@@ -133,17 +141,14 @@ def _(t):
 
 @query(
     "gate_recheck",
-    f"""WITH {_TYPED}, {_JUDGED}, {_COUNTED}
-    SELECT source_file, concat_ws(';', nullif(reasons, ''), CASE WHEN year > 2099 THEN 'year out of range' END, {_DUP}) AS why FROM counted
-    WHERE {_KEY} % 2 = 0 AND (reasons <> '' OR year > 2099 OR n_same > 1)""",
+    f"""WITH {_TYPED}, {_JUDGED}, {_COUNTED} SELECT source_file, why FROM (SELECT source_file, {_WHY} AS why FROM counted)
+    WHERE {_KEY} % 2 = 0 AND why <> ''""",
 )
 def _(t):
     typed = ledger.gate_inputs(records(t))
     # a careless judge accepted every second receipt
     decided = typed.select("source_file", F.when(_number() % 2 == 0, "accepted").otherwise("rejected").alias("decided"))
-    return ledger.recheck(typed, decided, TODAY).select("source_file", joined_list("why", "why")).withColumn(
-        "why", F.replace("why", F.lit(","), F.lit(";"))
-    )
+    return ledger.recheck(typed, decided, TODAY).select("source_file", joined_reasons("why"))
 
 
 @query(
@@ -159,9 +164,21 @@ def _(t):
     "ledger_split",
     f"""WITH {_TYPED}, {_JUDGED}, {_COUNTED}, {_FINAL}, {_OUT}
     SELECT 'ledger' AS part, source_file, 'accepted' AS outcome, phase, '' AS reason FROM outcomes WHERE outcome = 'accepted'
-    UNION ALL SELECT 'rejects', source_file, outcome, phase, replace(reason, ';', '; ') FROM outcomes WHERE outcome <> 'accepted'""",
+    UNION ALL SELECT 'rejects', source_file, outcome, phase, reason FROM outcomes WHERE outcome <> 'accepted'""",
 )
 def _(t):
     accepted, rejects = ledger.split_ledger(_outcomes(t))
     cols = ["source_file", "outcome", "phase", "reason"]
     return accepted.select(F.lit("ledger").alias("part"), *cols).unionByName(rejects.select(F.lit("rejects").alias("part"), *cols))
+
+
+@query(
+    "ledger_rows",
+    f"""WITH {_TYPED}, {_JUDGED}, {_COUNTED}, {_FINAL}, {_OUT}
+    SELECT r.source_file, r.vendor, r.invoice_no, r.date_iso AS date, upper(r.currency) AS currency,
+    printf('%.2f', {_NUM.format('r.total')}) AS total, 2 AS num_items
+    FROM receipts r JOIN outcomes o ON o.source_file = r.source_file WHERE outcome = 'accepted'""",
+)
+def _(t):
+    accepted, _rejects = ledger.split_ledger(_outcomes(t))
+    return ledger.ledger_rows(accepted, records(t))

@@ -38,7 +38,7 @@ def _(t):
 )
 def _(t):
     path = t.scratch("by-segment")
-    sinks.partitioned(t.customer_nulls, path, "c_mktsegment", files_per_value=4, spread="c_custkey")
+    sinks.partitioned(t.customer_nulls, path, "c_mktsegment")
     back = t.spark.read.parquet(path)
     return back.groupBy(F.coalesce("c_mktsegment", F.lit("__HIVE_DEFAULT_PARTITION__")).alias("c_mktsegment")).agg(
         F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("keys")
@@ -52,7 +52,7 @@ def _(t):
 def _(t):
     path = t.scratch("by-flag")
     cols = t.lineitem.select("l_returnflag", "l_linestatus", "l_orderkey", "l_linenumber", "l_quantity")
-    sinks.partitioned(cols, path, "l_returnflag", "l_linestatus", files_per_value=8, spread="l_orderkey")
+    sinks.partitioned(cols, path, "l_returnflag", "l_linestatus")
     return t.spark.read.parquet(path).groupBy("l_returnflag", "l_linestatus").agg(
         F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("keys")
     )
@@ -92,7 +92,7 @@ def _(t):
     db = sinks.own_database(t.spark)
     t.spark.sql(f"CREATE TABLE {db}.gold (o_orderkey BIGINT, o_orderstatus STRING, year INT) USING parquet PARTITIONED BY (year)")
     t.spark.sql(
-        f"INSERT INTO {db}.gold SELECT o_orderkey, o_orderstatus, year(o_orderdate) FROM {{orders}} DISTRIBUTE BY year(o_orderdate), o_orderkey % 8",
+        f"INSERT INTO {db}.gold SELECT /*+ REBALANCE(year) */ o_orderkey, o_orderstatus, year FROM (SELECT *, year(o_orderdate) AS year FROM {{orders}})",
         orders=t.orders,
     )
     return t.spark.table(f"{db}.gold").groupBy("year", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
@@ -106,7 +106,7 @@ def _(t):
 def _(t):
     path = t.scratch("by-year")
     rows = t.orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
-    sinks.partitioned(rows, path, "year", files_per_value=4, spread="o_orderkey")
+    sinks.partitioned(rows, path, "year")
     fixed = rows.where("year = 1998").withColumn("o_totalprice", F.col("o_totalprice") * 2)
     sinks.overwrite_partitions(fixed, path, "year")
     return t.spark.read.parquet(path).groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))

@@ -8,16 +8,13 @@ from pyspark.sql import functions as F
 from tablewright.session import scratch
 
 
-def partitioned(df: DataFrame, path: str, *columns: str, fmt: str = "parquet", files_per_value: int = 1, spread: str | None = None) -> None:
-    """Hive-style partitioned write with ``files_per_value`` files per partition value.
+def partitioned(df: DataFrame, path: str, *columns: str, fmt: str = "parquet") -> None:
+    """Hive-style partitioned write without a flood of small files.
 
-    Rows are first brought together by partition value. A value that holds much of the table should
-    get several files: ``spread`` names a column whose hash divides its rows.
+    Rows are brought together by partition value; adaptive execution sizes the result, merging
+    small values into one task and dividing a value that holds much of the table over several.
     """
-    keys = [F.col(c) for c in columns]
-    if files_per_value > 1:
-        keys.append(F.pmod(F.xxhash64(spread) if spread else F.xxhash64(*df.columns), F.lit(files_per_value)))
-    df.repartition(*keys).write.partitionBy(*columns).format(fmt).save(path)
+    df.hint("rebalance", *columns).write.partitionBy(*columns).format(fmt).save(path)
 
 
 def overwrite_partitions(df: DataFrame, path: str, *columns: str) -> None:
