@@ -1,57 +1,61 @@
-"""Dates out of dirty text, and labels made from timestamps."""
+"""Dates out of dirty text, and labels made from timestamps.
 
-from __future__ import annotations
+Functions here take a SQL expression as text and return one.
+"""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from __future__ import annotations
 
 # Accepted spellings, tried in this order; the shape keeps parsing (and its
 # exceptions) away from text that cannot match. Slashed dates are month first.
 DATE_SHAPES = (
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "y-M-d"),
-    (r"^\d{4}/\d{1,2}/\d{1,2}$", "y/M/d"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/y"),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", "M-d-y"),
-    (r"^[A-Z][a-z]{2} \d{1,2}, \d{4}$", "MMM d, y"),
-    (r"^\d{1,2} [A-Z][a-z]{2} \d{4}$", "d MMM y"),
-    (r"^\d{1,2}[A-Z]{3}\d{4}$", "dMMMy"),
+    ("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", "y-M-d"),
+    ("^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$", "y/M/d"),
+    ("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "M/d/y"),
+    ("^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$", "M-d-y"),
+    ("^[A-Z][a-z]{2} [0-9]{1,2}, [0-9]{4}$", "MMM d, y"),
+    ("^[0-9]{1,2} [A-Z][a-z]{2} [0-9]{4}$", "d MMM y"),
+    ("^[0-9]{1,2}[A-Z]{3}[0-9]{4}$", "dMMMy"),
 )
 
 
-def _try_date(c: Column, fmt: str) -> Column:
-    return F.try_to_timestamp(c, F.lit(fmt)).cast("date")
+def _try_date(x: str, fmt: str) -> str:
+    return f"cast(try_to_timestamp({x}, '{fmt}') AS date)"
 
 
-def parse_date(c: Column) -> Column:
+def parse_date(x: str) -> str:
     """Date, or null if no accepted spelling fits."""
-    text = F.trim(c)
-    out = F.lit(None).cast("date")
-    for shape, fmt in reversed(DATE_SHAPES):
-        # the parser wants 'Jun', also where the data has 'JUN'
-        spelled = F.regexp_replace(F.initcap(F.regexp_replace(text, r"([A-Z]{3})", " $1 ")), " ", "") if fmt == "dMMMy" else text
-        out = F.when(text.rlike(shape), _try_date(spelled, fmt)).otherwise(out)
-    return out
+    text = f"trim({x})"
+    # the parser wants 'Jun', also where the data has 'JUN'
+    spelled = f"replace(initcap(regexp_replace({text}, '([A-Z]{{3}})', ' $1 ')), ' ', '')"
+    cases = [
+        f"WHEN {text} RLIKE '{shape}' THEN {_try_date(spelled if fmt == 'dMMMy' else text, fmt)}" for shape, fmt in DATE_SHAPES
+    ]
+    return f"CASE {' '.join(cases)} END"
 
 
-def to_iso_date(c: Column) -> Column:
+def to_iso_date(x: str) -> str:
     """ISO text, '' if missing or unparseable."""
-    return F.coalesce(F.date_format(parse_date(c), "yyyy-MM-dd"), F.lit(""))
+    return f"coalesce(date_format({parse_date(x)}, 'yyyy-MM-dd'), '')"
+
+
+def calendar_date(x: str) -> str:
+    """The date of a year-month-day text that names a real day, else null."""
+    shape, fmt = DATE_SHAPES[0]
+    return f"CASE WHEN trim({x}) RLIKE '{shape}' THEN {_try_date(f'trim({x})', fmt)} END"
 
 
-def is_calendar_date(c: Column) -> Column:
-    """True for a year-month-day text that names a real day."""
-    text = F.trim(F.coalesce(c, F.lit("")))
-    return F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), _try_date(text, "y-M-d").isNotNull()).otherwise(F.lit(False))
+def is_calendar_date(x: str) -> str:
+    return f"(({calendar_date(x)}) IS NOT NULL)"
 
 
-def parse_timestamp(c: Column, fmt: str = "yyyy-MM-dd'T'HH:mm:ss'Z'") -> Column:
-    return F.try_to_timestamp(c, F.lit(fmt))
+def parse_timestamp(x: str, fmt: str = "yyyy-MM-dd''T''HH:mm:ss''Z''") -> str:
+    return f"try_to_timestamp({x}, '{fmt}')"
 
 
-def ts_label(c: Column) -> Column:
+def ts_label(x: str) -> str:
     """A timestamp as used in run, branch and tag names."""
-    return F.date_format(c, "_yyyy-MM-dd_HH-mm-ss")
+    return f"date_format({x}, '_yyyy-MM-dd_HH-mm-ss')"
 
 
-def month_of(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM")
+def month_of(x: str) -> str:
+    return f"date_format({x}, 'yyyy-MM')"

@@ -1,25 +1,22 @@
-"""Numbers out of dirty text."""
+"""Numbers out of dirty text. Functions here take a SQL expression as text and return one."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def to_number(c: Column) -> Column:
+def to_number(x: str) -> str:
     """Double, or null where the text is no number."""
-    return c.cast("string").try_cast("double")
+    return f"try_cast({x} AS double)"
 
 
-def parse_amount(c: Column) -> Column:
+def parse_amount(x: str) -> str:
     """Money as printed: currency sign and thousands separators are dropped."""
-    return F.trim(F.translate(c.cast("string"), "$,", "")).try_cast("double")
+    return f"try_cast(trim(translate(cast({x} AS string), '$,', '')) AS double)"
 
 
-def real(c: Column) -> Column:
+def real(x: str) -> str:
     """The value, or null for NaN: Spark orders NaN above all numbers, most languages compare it false."""
-    return F.when(~F.isnan(c), c)
+    return f"nullif({x}, double('NaN'))"
 
 
-def differs(a: Column, b: Column, tolerance: float = 0.01) -> Column:
-    return F.abs(a - b) > F.lit(tolerance)
+def differs(a: str, b: str, tolerance: float = 0.01) -> str:
+    return f"abs({a} - {b}) > {tolerance}D"

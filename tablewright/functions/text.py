@@ -1,24 +1,30 @@
-"""Text tests and cleaning, all as built-in column expressions."""
+"""Text tests and cleaning. Functions here take a SQL expression as text and return one."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def present(c: Column) -> Column:
+def present(x: str) -> str:
     """Neither null nor blank: empty CSV cells arrive as null from one reader and '' from another."""
-    return F.nullif(F.trim(c.cast("string")), F.lit("")).isNotNull()
+    return f"(coalesce(trim(cast({x} AS string)), '') <> '')"
 
 
-def tidy(c: Column) -> Column:
+def tidy(x: str) -> str:
     """Trimmed text, '' for null."""
-    return F.coalesce(F.trim(c), F.lit(""))
+    return f"coalesce(trim({x}), '')"
+
+
+def tidy_upper(x: str) -> str:
+    return f"upper({tidy(x)})"
+
+
+def tidy_lower(x: str) -> str:
+    return f"lower({tidy(x)})"
 
 
-def tidy_upper(c: Column) -> Column:
-    return F.upper(tidy(c))
+def one_of(x: str, values: list[str]) -> str:
+    return f"{x} IN ({', '.join(quoted(v) for v in values)})"
 
 
-def tidy_lower(c: Column) -> Column:
-    return F.lower(tidy(c))
+def quoted(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
-from tablewright.functions.numbers import to_number
-from tablewright.functions.text import present
+from tablewright.functions.numbers import real, to_number
+from tablewright.functions.text import present, quoted
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -65,21 +65,15 @@ def threshold(c: Column, at: float) -> Column:
 
 
 def _valid_order(status: str, currency: str) -> Column:
-    amount = to_number(F.col("amount"))
-    return F.coalesce(
-        present(F.col("order_id"))
-        & present(F.col("customer_id"))
-        & (F.col("status") == status)
-        & (F.col("currency") == currency)
-        & (amount > 0)
-        & ~F.isnan(amount),
-        F.lit(False),
+    return F.expr(
+        f"""coalesce({present('order_id')} AND {present('customer_id')} AND status = {quoted(status)}
+        AND currency = {quoted(currency)} AND {real(to_number('amount'))} > 0, false)"""
     )
 
 
 def clean_orders(df: DataFrame, status: str = "PAID", currency: str = "USD") -> DataFrame:
     """Rows with both ids, the wanted status and currency, and a positive numeric amount."""
-    return df.where(_valid_order(status, currency)).withColumn("amount", to_number(F.col("amount")))
+    return df.where(_valid_order(status, currency)).withColumn("amount", F.expr(to_number("amount")))
 
 
 def quality_report(df: DataFrame, status: str = "PAID", currency: str = "USD") -> DataFrame:

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tablewright.functions import paths
-from tablewright.functions.numbers import to_number
 from tablewright.operators.skew import HOT_ROWS, join_per_key
 
 FINDINGS = "check string, subject string, detail string"
@@ -106,8 +105,8 @@ def descriptor_fields(descriptors: DataFrame, fields: list[dict], strict: bool =
         value = F.try_element_at("fields", F.lit(name))
         kind = {
             "boolean": F.lower(value).isin("true", "false"),
-            "number": to_number(value).isNotNull(),
-            "string": to_number(value).isNull() & ~F.lower(value).isin("true", "false"),
+            "number": value.try_cast("double").isNotNull(),
+            "string": value.try_cast("double").isNull() & ~F.lower(value).isin("true", "false"),
         }
         if rule.get("required"):
             problems.append(F.when(value.isNull(), f"{name} is required"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.dates import to_iso_date
 from tablewright.functions.numbers import differs, parse_amount
-from tablewright.functions.text import present, tidy, tidy_upper
+from tablewright.functions.text import present, quoted, tidy, tidy_upper
 from tablewright.operators.dedup import keep_first, shared_keys
 from tablewright.operators.skew import HOT_ROWS
 
@@ -18,27 +18,41 @@ MAX_YEAR = 2099
 CURRENCY = "USD"
 REQUIRED = ["vendor", "date", "total", "currency"]
 
-# The wording of reasons.
-NO_VENDOR = "missing vendor"
-NO_TOTAL = "missing or unparseable total"
-WRONG_SUM = "total %.2f != sum(line items) %.2f"
-NO_DATE = "missing date"
-BAD_DATE = "unparseable date ('%s')"
-FUTURE = "future-dated (%s)"
-STALE = "stale date (%s, before 2023)"
-NO_CURRENCY = "missing currency"
-WRONG_CURRENCY = "non-USD currency (%s)"
-OVER_CAP = "total %.2f exceeds policy cap %.2f"
-DUPLICATE = "duplicate invoice number (%s)"
-NO_VERDICT = "validator produced no outcome"
-COPY = "exact duplicate of %s"
-UNREADABLE = "corrupt / unreadable file"
-NO_RECEIPT = "not a receipt"
-GATE_NO_TOTAL = "missing/unparseable total"
-GATE_WRONG_SUM = "total != sum(line items)"
-GATE_OVER_CAP = "total exceeds cap %.1f"
-GATE_NO_DATE = "missing/unparseable date"
-GATE_YEAR = "date year out of range (%s)"
+# The reasons of the per-receipt judge, each with the condition that earns it. Among
+# conditions of one group only the first that holds is reported.
+_JUDGE = [
+    [("vendor = ''", "'missing vendor'")],
+    [("total IS NULL", "'missing or unparseable total'")],
+    [(f"check_sum AND {differs('total', 'item_sum')}", "format_string('total %.2f != sum(line items) %.2f', total, item_sum)")],
+    [
+        ("date_iso = '' AND date_raw = ''", "'missing date'"),
+        ("date_iso = ''", "concat('unparseable date (\\'', date_raw, '\\')')"),
+        ("date_iso > {today}", "concat('future-dated (', date_iso, ')')"),
+        (f"year < {MIN_YEAR}", f"concat('stale date (', date_iso, ', before {MIN_YEAR})')"),
+    ],
+    [("currency = ''", "'missing currency'"), (f"currency <> '{CURRENCY}'", f"concat('non-{CURRENCY} currency (', currency, ')')")],
+    [("total > {cap}", "format_string('total %.2f exceeds policy cap %.2f', total, {cap})")],
+]
+_DUPLICATE = [("n_same > 1", "concat('duplicate invoice number (', invoice_no, ')')")]
+
+# The same for the independent check before publishing.
+_GATE = [
+    [("vendor = ''", "'missing vendor'")],
+    [("total IS NULL", "'missing/unparseable total'")],
+    [(f"check_sum AND {differs('total', 'item_sum')}", "'total != sum(line items)'")],
+    [("total > {cap}", "concat('total exceeds cap ', {cap})")],
+    [("currency = ''", "'missing currency'"), (f"currency <> '{CURRENCY}'", f"concat('non-{CURRENCY} currency (', currency, ')')")],
+    [("date_iso = ''", "'missing/unparseable date'"), ("date_iso > {today}", "concat('future-dated (', date_iso, ')')")],
+    [(f"year <> 0 AND year NOT BETWEEN {MIN_YEAR} AND {MAX_YEAR}", "concat('date year out of range (', date_iso, ')')")],
+    _DUPLICATE,
+]
+
+
+def _reasons(groups: list, today: str = "", cap: float = POLICY_CAP) -> Column:
+    """Array of the reasons that apply."""
+    cases = [" ".join(f"WHEN {when} THEN {text}" for when, text in group) for group in groups]
+    array = ", ".join(f"CASE {c} END" for c in cases).replace("{today}", quoted(today)).replace("{cap}", f"{float(cap)}D")
+    return F.expr(f"array_compact(array({array}))")
 
 
 def gate_inputs(receipts: DataFrame) -> DataFrame:
@@ -46,56 +60,35 @@ def gate_inputs(receipts: DataFrame) -> DataFrame:
 
     ``check_sum`` says whether every line item is a number; only then is ``item_sum`` comparable.
     """
-    amounts = F.transform(F.coalesce("line_items", F.array()), lambda it: parse_amount(it["amount"]))
-    iso = to_iso_date(F.col("date"))
-    return receipts.select(
+    typed = receipts.selectExpr(
         "source_file",
-        tidy(F.col("vendor")).alias("vendor"),
-        tidy_upper(F.col("currency")).alias("currency"),
-        parse_amount(F.col("total")).alias("total"),
-        ((F.size(amounts) > 0) & F.forall(amounts, lambda a: a.isNotNull())).alias("check_sum"),
-        F.aggregate(amounts, F.lit(0.0), lambda s, a: s + F.coalesce(a, F.lit(0.0))).alias("item_sum"),
-        iso.alias("date_iso"),
-        tidy(F.col("date")).alias("date_raw"),
-        F.when(iso != "", F.substring(iso, 1, 4).cast("int")).otherwise(0).alias("year"),
-        tidy(F.col("invoice_no")).alias("invoice_no"),
+        f"{tidy('vendor')} AS vendor",
+        f"{tidy_upper('currency')} AS currency",
+        f"{parse_amount('total')} AS total",
+        f"transform(coalesce(line_items, array()), it -> {parse_amount('it.amount')}) AS amounts",
+        f"inline(array(named_struct('date_iso', {to_iso_date('date')})))",  # parsed once
+        f"{tidy('date')} AS date_raw",
+        f"{tidy('invoice_no')} AS invoice_no",
+    )
+    return typed.selectExpr(
+        "source_file", "vendor", "currency", "total",
+        "size(amounts) > 0 AND forall(amounts, a -> a IS NOT NULL) AS check_sum",
+        "aggregate(amounts, 0D, (s, a) -> s + coalesce(a, 0D)) AS item_sum",
+        "date_iso", "date_raw",
+        "if(date_iso = '', 0, cast(substring(date_iso, 1, 4) AS int)) AS year",
+        "invoice_no",
     )
 
 
 def missing_fields(receipts: DataFrame, required: list[str] = REQUIRED) -> DataFrame:
     """Receipts with blank required fields and their names."""
-    names = F.array_compact(F.array(*[F.when(~present(F.col(c)), F.lit(c)) for c in required]))
-    return receipts.select("source_file", names.alias("missing")).where(F.size("missing") > 0)
-
-
-def _say(text: str, *values) -> Column:
-    return F.format_string(text, *values)
-
-
-def _duplicate(invoice: str, count: str) -> Column:
-    return F.when(F.col(count) > 1, _say(DUPLICATE, F.col(invoice)))
-
-
-def _reasons(today: str, cap: float) -> Column:
-    total, iso, currency = F.col("total"), F.col("date_iso"), F.col("currency")
-    return F.array_compact(
-        F.array(
-            F.when(F.col("vendor") == "", NO_VENDOR),
-            F.when(total.isNull(), NO_TOTAL),
-            F.when(F.col("check_sum") & differs(total, F.col("item_sum")), _say(WRONG_SUM, total, F.col("item_sum"))),
-            F.when((iso == "") & (F.col("date_raw") == ""), NO_DATE)
-            .when(iso == "", _say(BAD_DATE, F.col("date_raw")))
-            .when(iso > today, _say(FUTURE, iso))
-            .when(F.col("year") < MIN_YEAR, _say(STALE, iso)),
-            F.when(currency == "", NO_CURRENCY).when(currency != CURRENCY, _say(WRONG_CURRENCY, currency)),
-            F.when(total > cap, _say(OVER_CAP, total, F.lit(float(cap)))),
-        )
-    )
+    names = ", ".join(f"CASE WHEN NOT {present(c)} THEN {quoted(c)} END" for c in required)
+    return receipts.selectExpr("source_file", f"array_compact(array({names})) AS missing").where(F.size("missing") > 0)
 
 
 def receipt_rules(typed: DataFrame, today: str, cap: float = POLICY_CAP) -> DataFrame:
     """Per-receipt verdict: outcome and the list of broken rules."""
-    return typed.withColumn("reasons", _reasons(today, cap)).withColumn(
+    return typed.withColumn("reasons", _reasons(_JUDGE, today, cap)).withColumn(
         "outcome", F.when(F.size("reasons") == 0, "accepted").otherwise("rejected")
     )
 
@@ -105,17 +98,18 @@ def apply_uniqueness(drafts: DataFrame, verdicts: DataFrame, hot_rows: int = HOT
 
     ``drafts`` (source_file, invoice_no), ``verdicts`` (source_file, outcome, reasons).
     """
-    counted = shared_keys(drafts.select("source_file", "invoice_no"), F.nullif(tidy(F.col("invoice_no")), F.lit("")), "source_file", hot_rows)
+    counted = shared_keys(
+        drafts.select("source_file", "invoice_no"), F.expr(f"nullif({tidy('invoice_no')}, '')"), "source_file", hot_rows
+    )
     judged = counted.join(verdicts.select("source_file", "outcome", "reasons"), "source_file", "left")
-    reasons = F.concat(
-        F.when(F.col("outcome").isNull(), F.array(F.lit(NO_VERDICT))).otherwise(
-            F.coalesce("reasons", F.array().cast("array<string>"))
-        ),
-        F.array_compact(F.array(_duplicate("invoice_no", "n_same"))),
+    final = judged.select(
+        "source_file", "outcome",
+        F.concat(
+            F.expr("if(outcome IS NULL, array('validator produced no outcome'), coalesce(reasons, array()))"), _reasons([_DUPLICATE])
+        ).alias("reasons"),
     )
-    accepted = F.coalesce(F.col("outcome") == "accepted", F.lit(False)) & (F.size(reasons) == 0)
-    return judged.select(
-        "source_file", F.when(accepted, "accepted").otherwise("rejected").alias("outcome"), reasons.alias("reasons")
+    return final.selectExpr(
+        "source_file", "if(coalesce(outcome = 'accepted', false) AND size(reasons) = 0, 'accepted', 'rejected') AS outcome", "reasons"
     )
 
 
@@ -124,12 +118,10 @@ def triage(inbox: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 
     ``inbox`` (file, digest, readable, is_receipt). Copies of one content may be very many.
     """
-    return keep_first(inbox, F.col("digest"), "file", hot_rows).select(
+    return keep_first(inbox, F.col("digest"), "file", hot_rows).selectExpr(
         "file",
-        F.when(F.col("survivor") != F.col("file"), _say(COPY, F.col("survivor")))
-        .when(~F.col("readable"), UNREADABLE)
-        .when(~F.col("is_receipt"), NO_RECEIPT)
-        .alias("reason"),
+        """CASE WHEN survivor <> file THEN concat('exact duplicate of ', survivor)
+        WHEN NOT readable THEN 'corrupt / unreadable file' WHEN NOT is_receipt THEN 'not a receipt' END AS reason""",
     )
 
 
@@ -140,25 +132,21 @@ def accounting(inbox: DataFrame, outcomes: DataFrame) -> DataFrame:
     carry a reason; something must be accepted.
     """
     per_file = outcomes.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if((F.col("outcome") == "accepted") & present(F.col("reason"))).alias("bad"),
-        F.count_if(F.col("outcome") == "accepted").alias("ok"),
+        F.count(F.lit(1)).alias("n"), F.expr(f"count_if(outcome = 'accepted' AND {present('reason')})").alias("bad")
     )
     files = inbox.select("source_file").distinct().withColumn("_in", F.lit(True))
-    both = files.join(per_file, "source_file", "full_outer")
-    problem = F.array_compact(
-        F.array(
-            F.when(F.col("n").isNull(), F.struct(F.lit("unaccounted").alias("problem"), F.lit(1).alias("phase"))),
-            F.when(F.col("_in").isNull(), F.struct(F.lit("unexpected").alias("problem"), F.lit(1).alias("phase"))),
-            F.when(F.col("n") > 1, F.struct(F.lit("double-counted").alias("problem"), F.lit(1).alias("phase"))),
-            F.when(F.col("bad") > 0, F.struct(F.lit("accepted with a reason").alias("problem"), F.lit(3).alias("phase"))),
-        )
-    )
-    each = both.select(F.inline(problem), "source_file")
-    none = outcomes.agg(F.count_if(F.col("outcome") == "accepted").alias("ok")).where(F.col("ok") == 0)
-    return each.unionByName(
-        none.select(F.lit("nothing accepted").alias("problem"), F.lit(2).alias("phase"), F.lit(None).cast("string").alias("source_file"))
+    each = files.join(per_file, "source_file", "full_outer").select(
+        F.expr(
+            """inline(array_compact(array(
+            CASE WHEN n IS NULL THEN named_struct('problem', 'unaccounted', 'phase', 1) END,
+            CASE WHEN _in IS NULL THEN named_struct('problem', 'unexpected', 'phase', 1) END,
+            CASE WHEN n > 1 THEN named_struct('problem', 'double-counted', 'phase', 1) END,
+            CASE WHEN bad > 0 THEN named_struct('problem', 'accepted with a reason', 'phase', 3) END)))"""
+        ),
+        "source_file",
     )
+    none = outcomes.agg(F.expr("count_if(outcome = 'accepted')").alias("ok")).where("ok = 0")
+    return each.unionByName(none.selectExpr("'nothing accepted' AS problem", "2 AS phase", "cast(NULL AS string) AS source_file"))
 
 
 def recheck(typed: DataFrame, decided: DataFrame, today: str, cap: float = POLICY_CAP, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -168,21 +156,8 @@ def recheck(typed: DataFrame, decided: DataFrame, today: str, cap: float = POLIC
     counted over the whole batch, rejected rows included.
     """
     counted = shared_keys(typed, F.nullif(F.col("invoice_no"), F.lit("")), "source_file", hot_rows)
-    total, iso, year, currency = F.col("total"), F.col("date_iso"), F.col("year"), F.col("currency")
-    why = F.array_compact(
-        F.array(
-            F.when(F.col("vendor") == "", NO_VENDOR),
-            F.when(total.isNull(), GATE_NO_TOTAL),
-            F.when(F.col("check_sum") & differs(total, F.col("item_sum")), GATE_WRONG_SUM),
-            F.when(total > cap, _say(GATE_OVER_CAP, F.lit(float(cap)))),
-            F.when(currency == "", NO_CURRENCY).when(currency != CURRENCY, _say(WRONG_CURRENCY, currency)),
-            F.when(iso == "", GATE_NO_DATE).when(iso > today, _say(FUTURE, iso)),
-            F.when((year != 0) & ~year.between(MIN_YEAR, MAX_YEAR), _say(GATE_YEAR, iso)),
-            _duplicate("invoice_no", "n_same"),
-        )
-    )
     accepted = decided.where(F.col("decided") == "accepted").select("source_file")
-    return counted.withColumn("why", why).where(F.size("why") > 0).join(accepted, "source_file", "left_semi").select("source_file", "why")
+    return counted.withColumn("why", _reasons(_GATE, today, cap)).where(F.size("why") > 0).join(accepted, "source_file", "left_semi").select("source_file", "why")
 
 
 def count_mismatch(decided: DataFrame, reported: int) -> DataFrame:
@@ -198,10 +173,9 @@ def split_ledger(outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def ledger_rows(accepted: DataFrame, receipts: DataFrame) -> DataFrame:
     """The ledger as people read it: ISO dates, upper-case currency, plain two-digit totals, item counts."""
-    iso = to_iso_date(F.col("date"))
-    rows = receipts.select(
-        "source_file", "vendor", "invoice_no", F.when(iso != "", iso).otherwise(tidy(F.col("date"))).alias("date"),
-        F.upper(F.coalesce("currency", F.lit(""))).alias("currency"),
-        F.format_string("%.2f", parse_amount(F.col("total"))).alias("total"), F.size("line_items").alias("num_items"),
+    rows = receipts.selectExpr(
+        "source_file", "vendor", "invoice_no", f"coalesce(nullif({to_iso_date('date')}, ''), {tidy('date')}) AS date",
+        "upper(coalesce(currency, '')) AS currency", f"format_string('%.2f', {parse_amount('total')}) AS total",
+        "size(line_items) AS num_items",
     )
     return rows.join(accepted.select("source_file"), "source_file", "left_semi")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.dates import is_calendar_date, parse_date
+from tablewright.functions.dates import calendar_date, parse_date
 from tablewright.functions.numbers import real, to_number
-from tablewright.functions.text import present, tidy, tidy_lower
+from tablewright.functions.text import one_of, quoted, tidy, tidy_lower
 from tablewright.operators.dedup import later_duplicates
 from tablewright.operators.skew import HOT_ROWS
 
@@ -19,40 +19,54 @@ AMOUNT_CEILING = 350.00
 MIN_YEAR = 2023
 PHASES = {1: "Structural Integrity", 2: "Format & Value Conformance", 3: "Business Rules"}
 
-
-def _year(c: Column) -> Column:
-    return F.when(is_calendar_date(c), F.substring(tidy(c), 1, 4).cast("int"))
-
-
-def row_rules() -> dict[str, tuple[int, Column]]:
-    """Rule name → (phase, broken?) for all rules that look at one row."""
-    amount = to_number(F.col("amount"))
-    return {
-        "order_id_required": (1, ~present(F.col("order_id"))),
-        "customer_id_required": (1, ~present(F.col("customer_id"))),
-        "amount_parseable": (1, amount.isNull()),
-        "order_date_format": (2, ~is_calendar_date(F.col("order_date"))),
-        "amount_positive": (2, real(amount) <= 0),
-        "currency_usd": (2, tidy(F.col("currency")) != CURRENCY),
-        "status_valid": (2, ~tidy(F.col("status")).isin(STATUSES)),
-        "product_category_valid": (2, ~tidy(F.col("product_category")).isin(CATEGORIES)),
-        "date_recency": (3, _year(F.col("order_date")) < MIN_YEAR),
-        "amount_ceiling": (3, real(amount) > AMOUNT_CEILING),
-    }
+# What the rules look at, parsed once per row.
+_PARSED = {
+    "id": tidy("order_id"),
+    "customer": tidy("customer_id"),
+    "amount": to_number("amount"),
+    "day": calendar_date("order_date"),
+    "year": f"try_cast(substring({tidy('order_date')}, 1, 4) AS int)",
+    "currency": tidy("currency"),
+    "status": tidy("status"),
+    "category": tidy("product_category"),
+}
+
+# Rule name → phase and the condition that breaks it.
+ROW_RULES = {
+    "order_id_required": (1, "p.id = ''"),
+    "customer_id_required": (1, "p.customer = ''"),
+    "amount_parseable": (1, "p.amount IS NULL"),
+    "order_date_format": (2, "p.day IS NULL"),
+    "amount_positive": (2, f"{real('p.amount')} <= 0"),
+    "currency_usd": (2, f"p.currency <> {quoted(CURRENCY)}"),
+    "status_valid": (2, f"NOT {one_of('p.status', STATUSES)}"),
+    "product_category_valid": (2, f"NOT {one_of('p.category', CATEGORIES)}"),
+    "date_recency": (3, f"p.day IS NOT NULL AND p.year < {MIN_YEAR}"),
+    "amount_ceiling": (3, f"{real('p.amount')} > {AMOUNT_CEILING}D"),
+}
+UNIQUE_RULE = (1, "order_id_unique")
+
+
+def _parse(orders: DataFrame, *keep: str) -> DataFrame:
+    """Rows with a struct ``p``. inline keeps the optimizer from copying the parsing into every rule."""
+    fields = ", ".join(f"'{name}', {sql}" for name, sql in _PARSED.items())
+    return orders.select(*keep, F.expr(f"inline(array(named_struct('p', named_struct({fields}))))"))
 
 
 def order_findings(orders: DataFrame, phases: tuple[int, ...] = (1, 2, 3), hot_rows: int = HOT_ROWS) -> DataFrame:
     """Findings (phase, rule, row_no). Only the uniqueness rule needs a shuffle, of ids that repeat."""
-    checks = [
-        F.when(broken, F.struct(F.lit(phase).alias("phase"), F.lit(rule).alias("rule")))
-        for rule, (phase, broken) in row_rules().items()
+    checks = ", ".join(
+        f"CASE WHEN {broken} THEN named_struct('phase', {phase}, 'rule', {quoted(rule)}) END"
+        for rule, (phase, broken) in ROW_RULES.items()
         if phase in phases
-    ]
-    found = orders.select("row_no", F.inline(F.array_compact(F.array(*checks)))).select("phase", "rule", "row_no")
-    if 1 in phases:
-        ids = orders.select("row_no", "order_id")
-        again = later_duplicates(ids, F.nullif(tidy(F.col("order_id")), F.lit("")), "row_no", hot_rows)
-        found = found.unionByName(again.select(F.lit(1).alias("phase"), F.lit("order_id_unique").alias("rule"), "row_no"))
+    )
+    found = _parse(orders, "row_no").select("row_no", F.expr(f"inline(array_compact(array({checks})))"))
+    found = found.select("phase", "rule", "row_no")
+    phase, rule = UNIQUE_RULE
+    if phase in phases:
+        ids = orders.select("row_no", F.expr(f"nullif({tidy('order_id')}, '')").alias("id"))
+        again = later_duplicates(ids, F.col("id"), "row_no", hot_rows)
+        found = found.unionByName(again.selectExpr(f"{phase} AS phase", f"{quoted(rule)} AS rule", "row_no"))
     return found
 
 
@@ -71,16 +85,17 @@ def report(orders: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """
     counts = order_findings(orders, hot_rows=hot_rows).groupBy("phase", "rule").agg(F.count(F.lit(1)).alias("n"))
     per_phase = counts.groupBy("phase").agg(
-        F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "rule", F.col("n").cast("string")))), ",").alias("failures")
+        F.expr("array_join(array_sort(collect_list(concat(rule, ':', n))), ',')").alias("failures")
     )
-    first = per_phase.agg(F.min_by(F.struct("phase", "failures"), "phase").alias("f"))
-    rows = orders.agg(F.count(F.lit(1)).alias("row_count"))
-    one = first.withColumn("_j", F.lit(1)).join(rows.withColumn("_j", F.lit(1)), "_j")
-    name = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in PHASES.items() for x in kv]), F.col("f.phase")), F.lit("All phases passed"))
-    return one.select(
-        F.when(F.col("f").isNull(), "passed").otherwise("failed").alias("status"),
-        F.coalesce("f.phase", F.lit(0)).alias("failed_phase"), name.alias("phase_name"), "row_count",
-        F.coalesce("f.failures", F.lit("")).alias("failures"),
+    first = per_phase.agg(F.min_by(F.struct("phase", "failures"), "phase").alias("f")).withColumn("_j", F.lit(1))
+    rows = orders.agg(F.count(F.lit(1)).alias("row_count")).withColumn("_j", F.lit(1))
+    names = " ".join(f"WHEN {phase} THEN {quoted(name)}" for phase, name in PHASES.items())
+    return first.join(rows, "_j").selectExpr(
+        "if(f IS NULL, 'passed', 'failed') AS status",
+        "coalesce(f.phase, 0) AS failed_phase",
+        f"CASE f.phase {names} ELSE 'All phases passed' END AS phase_name",
+        "row_count",
+        "coalesce(f.failures, '') AS failures",
     )
 
 
@@ -97,21 +112,18 @@ def rule_summary(found: DataFrame, block_rows: int = 1000) -> DataFrame:
 
 def repair_orders(orders: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Normalise case and date spelling, then drop every row that still breaks a rule. Nothing is invented."""
-    fixed = orders.withColumns(
-        {
-            "order_id": F.trim("order_id"),
-            "customer_id": F.trim("customer_id"),
-            "order_date": F.coalesce(F.date_format(parse_date(F.col("order_date")), "yyyy-MM-dd"), F.col("order_date")),
-            "amount": F.trim("amount"),
-            "currency": F.upper(F.trim("currency")),
-            "status": tidy_lower(F.col("status")),
-            "product_category": tidy_lower(F.col("product_category")),
-        }
-    )
-    ok = F.lit(True)
-    for _, broken in row_rules().values():
-        ok = ok & ~F.coalesce(broken, F.lit(False))
-    ok = ok & real(to_number(F.col("amount"))).isNotNull()
-    valid = fixed.where(ok)
+    fixes = {
+        "order_id": "trim(order_id)",
+        "customer_id": "trim(customer_id)",
+        "order_date": f"coalesce(date_format({parse_date('order_date')}, 'yyyy-MM-dd'), order_date)",
+        "amount": "trim(amount)",
+        "currency": "upper(trim(currency))",
+        "status": tidy_lower("status"),
+        "product_category": tidy_lower("product_category"),
+    }
+    fields = ", ".join(f"'{name}', {sql}" for name, sql in fixes.items())
+    fixed = orders.select("row_no", F.expr(f"inline(array(named_struct({fields})))"))  # dates are parsed once
+    broken = " OR ".join(f"coalesce({condition}, false)" for _, condition in ROW_RULES.values())
+    valid = _parse(fixed, *fixed.columns).where(f"NOT ({broken}) AND NOT isnan(p.amount)").drop("p")
     again = later_duplicates(valid.select("row_no", "order_id"), F.col("order_id"), "row_no", hot_rows)
     return valid.join(again.select("row_no"), "row_no", "left_anti")

@@ -70,7 +70,7 @@ def _(t):
 
 @query("total_by_month", "SELECT strftime(ts, '%Y-%m') AS month, round(sum(value), 2) AS total FROM events GROUP BY 1")
 def _(t):
-    return t.events.groupBy(dates.month_of(F.col("ts")).alias("month")).agg(F.round(F.sum("value"), 2).alias("total"))
+    return t.events.groupBy(F.expr(dates.month_of("ts")).alias("month")).agg(F.round(F.sum("value"), 2).alias("total"))
 
 
 @query(
@@ -193,7 +193,7 @@ def _(t):
     WHERE row_no > first_row_no""",
 )
 def _(t):
-    ids = t.orders_dirty.select("row_no", tidy(F.col("order_id")).alias("order_id"))
+    ids = t.orders_dirty.select("row_no", F.expr(tidy("order_id")).alias("order_id"))
     return dedup.later_duplicates(ids, F.nullif("order_id", F.lit("")), "row_no").select("row_no", "order_id", "first_row_no")
 
 
@@ -214,7 +214,7 @@ def _(t):
     count(*) OVER (PARTITION BY invoice_no) AS n_same FROM receipts WHERE invoice_no <> '') WHERE n_same > 1""",
 )
 def _(t):
-    counted = dedup.shared_keys(t.receipts.select("source_file", "invoice_no"), F.nullif(tidy(F.col("invoice_no")), F.lit("")), "source_file")
+    counted = dedup.shared_keys(t.receipts.select("source_file", "invoice_no"), F.expr(f"nullif({tidy('invoice_no')}, '')"), "source_file")
     return counted.where(F.col("n_same") > 1).select("source_file", "invoice_no", "n_same")
 
 

@@ -22,7 +22,7 @@ def _(t):
 
 @query("fn_to_number", "SELECT row_no, TRY_CAST(amount AS DOUBLE) AS amount FROM orders_dirty")
 def _(t):
-    return t.orders_dirty.select("row_no", numbers.to_number(F.col("amount")).alias("amount"))
+    return t.orders_dirty.select("row_no", F.expr(numbers.to_number("amount")).alias("amount"))
 
 
 @query("fn_rand")
@@ -32,13 +32,13 @@ def _(t):
 
 @query("fn_parse_ts", "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS parsed FROM events")
 def _(t):
-    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    return t.events.select("event_id", F.date_format(dates.parse_timestamp(iso), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
+    iso = t.events.select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("iso"))
+    return iso.selectExpr("event_id", f"date_format({dates.parse_timestamp('iso')}, 'yyyy-MM-dd HH:mm:ss') AS parsed")
 
 
 @query("fn_ts_label", "SELECT event_id, strftime(ts, '_%Y-%m-%d_%H-%M-%S') AS label FROM events")
 def _(t):
-    return t.events.select("event_id", dates.ts_label(F.col("ts")).alias("label"))
+    return t.events.select("event_id", F.expr(dates.ts_label("ts")).alias("label"))
 
 
 @query(
@@ -47,19 +47,19 @@ def _(t):
     FROM orders_dirty""",
 )
 def _(t):
-    return t.orders_dirty.select("row_no", dates.is_calendar_date(F.col("order_date")).alias("valid"))
+    return t.orders_dirty.select("row_no", F.expr(dates.is_calendar_date("order_date")).alias("valid"))
 
 
 @query("fn_normalize", "SELECT source_file, upper(trim(coalesce(currency, ''))) AS currency, nullif(trim(vendor), '') IS NOT NULL AS has_vendor FROM receipts")
 def _(t):
     return t.receipts.select(
-        "source_file", text.tidy_upper(F.col("currency")).alias("currency"), text.present(F.col("vendor")).alias("has_vendor")
+        "source_file", F.expr(text.tidy_upper("currency")).alias("currency"), F.expr(text.present("vendor")).alias("has_vendor")
     )
 
 
 @query("parse_amount", "SELECT source_file, TRY_CAST(trim(replace(replace(total, '$', ''), ',', '')) AS DOUBLE) AS total FROM receipts")
 def _(t):
-    return t.receipts.select("source_file", numbers.parse_amount(F.col("total")).alias("total"))
+    return t.receipts.select("source_file", F.expr(numbers.parse_amount("total")).alias("total"))
 
 
 @query(
@@ -68,7 +68,7 @@ def _(t):
     FROM printed_dates p JOIN orders o ON o.o_orderkey = p.o_orderkey""",
 )
 def _(t):
-    return t.printed_dates.select("o_orderkey", "printed", dates.to_iso_date(F.col("printed")).alias("iso"))
+    return t.printed_dates.select("o_orderkey", "printed", F.expr(dates.to_iso_date("printed")).alias("iso"))
 
 
 @query("json_to_map", "SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.none') AS absent FROM events")

@@ -121,10 +121,10 @@ def test_dates(spark):
         "2024-13-01": "", "2/30/2024": "", None: "",
     }
     df = spark.createDataFrame([(k, v) for k, v in cases.items()], "raw string, want string")
-    for r in df.select("raw", "want", to_iso_date(F.col("raw")).alias("got"), parse_date(F.col("raw")).alias("d")).collect():
+    for r in df.select("raw", "want", F.expr(to_iso_date("raw")).alias("got"), F.expr(parse_date("raw")).alias("d")).collect():
         assert r.got == r.want, r
 
 
 def test_amounts(spark):
     df = spark.createDataFrame([("$1,234.50",), (" 7 ",), ("n/a",), (None,), ("1e3",)], "raw string")
-    assert [r[0] for r in df.select(parse_amount(F.col("raw"))).collect()] == [1234.5, 7.0, None, None, 1000.0]
+    assert [r[0] for r in df.select(F.expr(parse_amount("raw"))).collect()] == [1234.5, 7.0, None, None, 1000.0]
