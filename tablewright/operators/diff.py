@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tablewright.sources.snapshots import SnapshotStore
+
 
 def diff_objects(old: DataFrame, new: DataFrame) -> DataFrame:
     """Changed objects of two listings (path, checksum, size_bytes); unchanged paths are left out."""
@@ -72,6 +74,13 @@ def diff_rows(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     )
 
 
+def diff_refs(store: SnapshotStore, table: str, old: str, new: str, key: list[str]) -> DataFrame:
+    """Row diff of a table between two refs that reads only folders the refs do not share: work follows the change."""
+    a, b = store.changed(table, old, new)
+    empty = store.read(table, new if b is not None else old).limit(0)
+    return diff_rows(a if a is not None else empty, b if b is not None else empty, key)
+
+
 def changes(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """The change set from ``old`` to ``new``: key, ``op`` (upsert / delete) and the new values."""
     values = [c for c in old.columns if c not in key]

@@ -25,9 +25,8 @@ class Scaler:
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weights: rows / (classes * rows of the class)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("k")).withColumn("_j", F.lit(1))
-    joined = counts.withColumn("_j", F.lit(1)).join(totals, "_j")
-    return joined.select(label, "n", (F.col("all") / (F.col("k") * F.col("n"))).alias("weight"))
+    per_class = counts.agg(F.sum("n") / F.count(F.lit(1))).scalar()  # rows / classes, one value
+    return counts.select(label, "n", (per_class / F.col("n")).alias("weight"))
 
 
 def confusion(df: DataFrame, label: str = "label", pred: str = "pred") -> DataFrame:

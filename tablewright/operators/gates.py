@@ -136,12 +136,10 @@ def file_formats(diff: DataFrame, prefix: str, suffixes: list[str], folders: tup
 def freshness(source: DataFrame, tables: dict[str, DataFrame], period: Column) -> DataFrame:
     """Tables whose latest period is not the source's, empty tables included: one job over all of them."""
     latest = None
-    for name, df in {"": source, **tables}.items():
+    for name, df in tables.items():
         part = df.agg(F.max(period).cast("string").alias("period")).select(F.lit(name).alias("table"), "period")
         latest = part if latest is None else latest.unionByName(part)
-    # one row per table from here on
-    wanted = latest.where(F.col("table") == "").select(F.col("period").alias("wanted"), F.lit(1).alias("_k"))
-    late = latest.where(F.col("table") != "").withColumn("_k", F.lit(1)).join(wanted, "_k")
+    late = latest.withColumn("wanted", source.agg(F.max(period).cast("string")).scalar())
     late = late.where(~F.col("period").eqNullSafe(F.col("wanted")))
     return findings(late, "freshness", F.col("table"), F.concat(F.coalesce("period", F.lit("nothing")), F.lit(" instead of "), "wanted"))
 

@@ -73,9 +73,7 @@ def order_findings(orders: DataFrame, phases: tuple[int, ...] = (1, 2, 3), hot_r
 def first_failing_phase(found: DataFrame) -> DataFrame:
     """Only the findings of the lowest phase that has any."""
     counts = found.groupBy("phase", "rule").agg(F.count(F.lit(1)).alias("n"))
-    # at most one row per rule, whatever the data size
-    lowest = counts.agg(F.min("phase").alias("phase"))
-    return found.join(F.broadcast(lowest), "phase", "left_semi")
+    return found.where(F.col("phase") == counts.agg(F.min("phase")).scalar())
 
 
 def report(orders: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -87,10 +85,10 @@ def report(orders: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     per_phase = counts.groupBy("phase").agg(
         F.expr("array_join(array_sort(collect_list(concat(rule, ':', n))), ',')").alias("failures")
     )
-    first = per_phase.agg(F.min_by(F.struct("phase", "failures"), "phase").alias("f")).withColumn("_j", F.lit(1))
-    rows = orders.agg(F.count(F.lit(1)).alias("row_count")).withColumn("_j", F.lit(1))
+    first = per_phase.agg(F.min_by(F.struct("phase", "failures"), "phase").alias("f"))
+    rows = orders.agg(F.count(F.lit(1))).scalar()
     names = " ".join(f"WHEN {phase} THEN {quoted(name)}" for phase, name in PHASES.items())
-    return first.join(rows, "_j").selectExpr(
+    return first.withColumn("row_count", rows).selectExpr(
         "if(f IS NULL, 'passed', 'failed') AS status",
         "coalesce(f.phase, 0) AS failed_phase",
         f"CASE f.phase {names} ELSE 'All phases passed' END AS phase_name",

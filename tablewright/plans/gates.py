@@ -181,8 +181,7 @@ def _(t):
 def _(t):
     needed = ["order_id", "customer_id", "amount", "currency", "status", "created_at"]
     found = gates.required_columns(t.orders_dirty, needed)
-    rows = t.orders_dirty.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("subject", F.lit("created_at"))
-    return found.join(rows, "subject", "left")
+    return found.withColumn("n_rows", t.orders_dirty.agg(F.count(F.lit(1))).scalar())
 
 
 @query(
@@ -342,8 +341,11 @@ def _(t):
     out = None
     for load, orders in (("good", t.orders_dev), ("bad", t.orders_orphans)):
         verdict, found = publish.write_audit_publish(store, load, "main", {"orders": orders}, audits)
-        n = found.agg(F.count(F.lit(1)).alias("n_findings"), F.lit(load).alias("load"))
-        rows = store.read("orders", "main").agg(F.count(F.lit(1)).alias("rows_on_main"), F.lit(load).alias("load"))
-        one = n.join(rows, "load").withColumn("verdict", F.lit(verdict))
+        one = found.agg(F.count(F.lit(1)).alias("n_findings")).withColumns(
+            {
+                "load": F.lit(load), "verdict": F.lit(verdict),
+                "rows_on_main": store.read("orders", "main").agg(F.count(F.lit(1))).scalar(),
+            }
+        )
         out = one if out is None else out.unionByName(one)
     return out.select("load", "verdict", "n_findings", "rows_on_main")

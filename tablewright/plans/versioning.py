@@ -75,6 +75,28 @@ def _(t):
     return diff.diff_rows(t.orders, t.orders_hotfix, ["o_orderkey"])
 
 
+def two_folder_change(t) -> SnapshotStore:
+    """orders in two folders on main; branch dev rewrites one of them and appends a third."""
+    early = F.year("o_orderdate") < 1998
+    store = SnapshotStore(t.spark, t.scratch("store"))
+    old, recent = store.write(t.orders.where(early), "orders"), store.write(t.orders.where(~early), "orders")
+    store.commit("main", "load", {"orders": [old, recent]})
+    store.create_branch("dev", "main")
+    fixed = dml.update_where(store.spark.read.parquet(recent), F.year("o_orderdate") == 1999, {"o_totalprice": F.col("o_totalprice") + 1})
+    fresh = t.order_updates.where("o_orderstatus = 'I'")
+    store.commit("dev", "fix and append", {"orders": [old, store.write(fixed, "orders"), store.write(fresh, "orders")]})
+    return store
+
+
+@query(
+    "diff_refs",
+    """SELECT o_orderkey, 'changed' AS change, 'o_totalprice' AS changed_columns FROM orders WHERE year(o_orderdate) = 1999
+    UNION ALL SELECT o_orderkey, 'added', '' FROM order_updates WHERE o_orderstatus = 'I'""",
+)
+def _(t):
+    return diff.diff_refs(two_folder_change(t), "orders", "main", "dev", ["o_orderkey"])
+
+
 @query("apply_diff", f"SELECT {ORDER_SQL} FROM orders_dev")
 def _(t):
     return order_rows(diff.apply_changes(t.orders, diff.changes(t.orders, t.orders_dev, ["o_orderkey"]), ["o_orderkey"]))
@@ -217,7 +239,7 @@ def _(t):
     store.create_branch("dev", "main")
     store.overwrite("dev", "orders", t.orders_dev, "edit orders")
     store.drop("dev")
-    return store.refs().select("ref").join(_sizes(store, ["main"]), "ref")
+    return store.refs().select("ref").withColumn("n_rows", store.read("orders", "main").agg(F.count(F.lit(1))).scalar())
 
 
 @query(

@@ -175,6 +175,16 @@ class SnapshotStore:
             raise RefError(f"{branch} has no version {version}")
         return self.read(table, found[0][0])
 
+    def changed(self, table: str, old: str, new: str) -> tuple[DataFrame | None, DataFrame | None]:
+        """The table at two refs, reduced to the folders the refs do not share (None if there are none).
+
+        Shared folders hold equal rows on both sides, so a comparison need not open them.
+        """
+        a, b = self.tables(old).get(table, []), self.tables(new).get(table, [])
+        read = self.spark.read.parquet
+        left, right = [p for p in a if p not in set(b)], [p for p in b if p not in set(a)]
+        return (read(*left) if left else None), (read(*right) if right else None)
+
     # -- whole-ref operations -----------------------------------------------------------
     def merge(self, source: str, target: str, message: str | None = None, **kw) -> str:
         """Promote every table that changed on ``source`` since it left ``target``, in one commit.
