@@ -7,39 +7,50 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+# A pair of the mask text: group 1 is the start, group 2 the length.
+_PAIR = r"([0-9]+)\s+([0-9]+)"
+
+
+def _column_of_pairs(c: Column, group: int) -> Column:
+    return F.regexp_extract_all(c, F.lit(_PAIR), F.lit(group))
+
+
 def runs(c: Column) -> Column:
     """A mask text as an array of (start, stop) pixel ranges, 0-based, stop exclusive."""
-    n = F.transform(F.split(F.trim(c), r"\s+"), lambda v: v.cast("bigint"))
-    return F.transform(
-        F.sequence(F.lit(0), F.floor(F.size(n) / 2).cast("int") - 1),
-        lambda i: F.struct(
-            (F.get(n, 2 * i) - 1).alias("start"), (F.get(n, 2 * i) - 1 + F.get(n, 2 * i + 1)).alias("stop")
-        ),
+    return F.zip_with(
+        _column_of_pairs(c, 1), _column_of_pairs(c, 2),
+        lambda s, n: F.struct((s.cast("bigint") - 1).alias("start"), (s.cast("bigint") - 1 + n.cast("bigint")).alias("stop")),
     )
 
 
 def mask_area(c: Column) -> Column:
     """Pixels of one mask: the sum of its run lengths."""
-    return F.aggregate(runs(c), F.lit(0).cast("bigint"), lambda s, r: s + r["stop"] - r["start"])
-
-
-def mask_box(c: Column, height: int) -> Column:
-    """Bounding box (x0, y0, x1, y1), inclusive. A run that crosses a column border spans all rows."""
-    r = runs(c)
-    crosses = F.exists(r, lambda v: F.floor(v["start"] / height) != F.floor((v["stop"] - 1) / height))
-    return F.struct(
-        F.floor(F.array_min(F.transform(r, lambda v: v["start"])) / height).alias("x0"),
-        F.when(crosses, F.lit(0).cast("bigint")).otherwise(F.array_min(F.transform(r, lambda v: F.pmod(v["start"], F.lit(height))))).alias("y0"),
-        F.floor((F.array_max(F.transform(r, lambda v: v["stop"])) - 1) / height).alias("x1"),
-        F.when(crosses, F.lit(height - 1).cast("bigint")).otherwise(F.array_max(F.transform(r, lambda v: F.pmod(v["stop"] - 1, F.lit(height))))).alias("y1"),
-    )
+    return F.aggregate(_column_of_pairs(c, 2), F.lit(0).cast("bigint"), lambda total, n: total + n.cast("bigint"))
+
+
+def mask_boxes(masks: DataFrame, height: int, mask: str = "encoded_pixels") -> DataFrame:
+    """Rows with the inclusive bounding box x0, y0, x1, y1 of each mask.
+
+    A run that crosses a column border spans all rows. The runs are decoded once per mask.
+    """
+    decoded = masks.select("*", F.inline(F.array(F.struct(runs(F.col(mask)).alias("_runs")))))
+    h = f"{int(height)}L"
+    return decoded.selectExpr(
+        *masks.columns,
+        f"""named_struct(
+            'x0', array_min(transform(_runs, r -> r.start)) div {h},
+            'y0', array_min(transform(_runs, r -> if(r.start div {h} <> (r.stop - 1) div {h}, 0L, r.start % {h}))),
+            'x1', (array_max(transform(_runs, r -> r.stop)) - 1) div {h},
+            'y1', array_max(transform(_runs, r -> if(r.start div {h} <> (r.stop - 1) div {h}, {h} - 1, (r.stop - 1) % {h})))
+        ) AS box""",
+    ).select(*masks.columns, "box.*")
 
 
 def mask_stats(masks: DataFrame, key: str = "image_id", mask: str = "encoded_pixels") -> DataFrame:
     """Masks and summed area per image, combined before the shuffle; no pixel image and no list is built."""
-    area = mask_area(F.col(mask))
-    return masks.where(F.col(mask).isNotNull()).groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_masks"), F.sum(area).alias("sum_area"), F.max(area).alias("max_area")
+    areas = masks.where(F.col(mask).isNotNull()).select(key, mask_area(F.col(mask)).alias("_area"))
+    return areas.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n_masks"), F.sum("_area").alias("sum_area"), F.max("_area").alias("max_area")
     )
 
 

@@ -49,8 +49,7 @@ def _(t):
     greatest(a1, b1) // 100 AS x1, CASE WHEN crosses THEN 99 ELSE greatest(a1 % 100, b1 % 100) END AS y1 FROM s""",
 )
 def _(t):
-    box = masks.mask_box(F.col("encoded_pixels"), height=100)
-    return t.masks.select("image_id", "mask_no", "part_no", box.alias("b")).select("image_id", "mask_no", "part_no", "b.*")
+    return masks.mask_boxes(t.masks, height=100).drop("encoded_pixels")
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tablewright.operators import ledger
 from tablewright.plans.registry import query
 from tablewright.plans.shapes import joined_list
+from tablewright.session import persist_to_shared
 
 TODAY = "2026-06-05"
 
@@ -125,7 +126,8 @@ _KEY = "CAST(substr(source_file, 2, length(source_file) - 5) AS BIGINT)"
 )
 def _(t):
     n = _number()
-    done = _outcomes(t).where(n % 101 != 0)
+    stored = persist_to_shared(_outcomes(t), "outcomes")  # a run's decisions are a table of their own
+    done = stored.where(n % 101 != 0)
     done = done.withColumns(
         {
             "outcome": F.when(n % 109 == 0, "accepted").otherwise(F.col("outcome")),

@@ -1,8 +1,8 @@
 """Branches, commits and tags over plain Parquet folders.
 
 A snapshot is a list of immutable folders; a commit maps each table to such a list; a ref names a
-commit. Commits and refs are small frames of their own, so the log, the ref list and the file
-listing are ordinary DataFrames. Only ref resolution (one row) passes through the driver.
+commit. Events are rows of one log, so the history, the ref list and the file listing are ordinary
+DataFrames. Only ref resolution (one row) passes through the driver.
 
 Publishing checks that the branch still points where the writer started. On a plain file system
 that check and the write that follows are two steps, so two writers can still race.
@@ -20,11 +20,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-COMMIT_SCHEMA = (
-    "commit_id string, parents array<string>, branch string, message string, committer string, "
-    "metadata map<string,string>, created_at timestamp, version long, tables map<string,array<string>>"
+# One row per event; it holds the whole state of its ref afterwards, so resolving a ref is one lookup.
+LOG_SCHEMA = (
+    "kind string, ref string, commit_id string, parents array<string>, message string, committer string, "
+    "metadata map<string,string>, created_at timestamp, version long, tables map<string,array<string>>, base string, seq long"
 )
-REF_SCHEMA = "ref string, kind string, commit_id string, base string, seq long, dropped boolean"
 
 
 class RefError(ValueError):
@@ -37,69 +37,71 @@ class SnapshotStore:
         self.root = root.rstrip("/")
         self._seq = 0
 
-    # -- metadata rows ------------------------------------------------------------------
-    def _append(self, kind: str, schema: str, row: dict) -> None:
-        """Add one metadata row; written as a literal, so no Python worker and one small file."""
-        one = self.spark.range(1).select(F.inline(F.array(F.from_json(F.lit(json.dumps(row)), schema))))
-        one.coalesce(1).write.mode("append").parquet(f"{self.root}/_{kind}")
+    # -- the log ------------------------------------------------------------------------
+    def _log(self) -> DataFrame:
+        return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/_log")
+
+    def _append(self, kind: str, ref: str, **state) -> None:
+        """Add one event; written as a literal, so no Python worker and one small file."""
+        self._seq = max(self._seq + 1, time.time_ns())
+        now = datetime.now(timezone.utc).isoformat()
+        row = json.dumps({"created_at": now, **state, "kind": kind, "ref": ref, "seq": self._seq})
+        one = self.spark.range(1).select(F.inline(F.array(F.from_json(F.lit(row), LOG_SCHEMA))))
+        one.coalesce(1).write.mode("append").parquet(f"{self.root}/_log")
 
     def commits(self) -> DataFrame:
-        return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.root}/_commits")
+        return self._log().where("kind = 'commit'").select(
+            "commit_id", "parents", F.col("ref").alias("branch"), "message", "committer", "metadata", "created_at", "version", "tables"
+        )
 
     def refs(self) -> DataFrame:
-        """Live refs: the last entry of each name, unless that entry drops it."""
-        log = self.spark.read.schema(REF_SCHEMA).parquet(f"{self.root}/_refs")
-        last = log.groupBy("ref").agg(F.max(F.struct("seq", "kind", "commit_id", "base", "dropped")).alias("r"))
-        return last.where(~F.col("r.dropped")).select("ref", "r.kind", "r.commit_id", "r.base")
-
-    def _point(self, ref: str, kind: str, commit_id: str, base: str | None = None, dropped: bool = False) -> None:
-        """Move a ref. ``base`` is the commit a branch was created from or last merged at."""
-        self._seq = max(self._seq + 1, time.time_ns())
-        row = {"ref": ref, "kind": kind, "commit_id": commit_id, "base": base, "seq": self._seq, "dropped": dropped}
-        self._append("refs", REF_SCHEMA, row)
+        """Live refs: the last event of each name, unless that event drops it."""
+        last = self._log().groupBy("ref").agg(F.max(F.struct("seq", "kind", "commit_id", "base")).alias("r"))
+        kind = F.when(F.col("r.kind") == "tag", "tag").otherwise("branch").alias("kind")
+        return last.where("r.kind <> 'drop'").select("ref", kind, "r.commit_id", "r.base")
 
     # -- refs ---------------------------------------------------------------------------
-    def _ref(self, name: str):
-        """The last entry of one ref, or None: a filtered scan and a top-1."""
+    def _ref(self, name: str) -> dict | None:
+        """The last event of one ref, or None: a filtered scan and a top-1."""
         try:
-            log = self.spark.read.schema(REF_SCHEMA).parquet(f"{self.root}/_refs")
+            log = self._log()
         except AnalysisException:  # no such folder yet: the first commit creates it
             return None
         found = log.where(F.col("ref") == name).orderBy(F.desc("seq")).take(1)
-        return found[0] if found and not found[0]["dropped"] else None
+        return found[0].asDict(recursive=True) if found and found[0]["kind"] != "drop" else None
 
-    def _commit(self, commit_id: str):
-        found = self.commits().where(F.col("commit_id") == commit_id).take(1)
-        return found[0] if found else None
-
-    def _resolve(self, ref: str):
-        """The commit row behind a branch, tag or commit id."""
+    def _resolve(self, ref: str) -> dict:
+        """The state behind a branch, tag or commit id."""
         entry = self._ref(ref)
-        row = self._commit(entry["commit_id"] if entry else ref)
-        if row is None:
-            raise RefError(f"unknown ref {ref}")
-        return row
+        if entry is None:
+            found = self._log().where((F.col("commit_id") == ref) & (F.col("kind") == "commit")).take(1)
+            if not found:
+                raise RefError(f"unknown ref {ref}")
+            entry = found[0].asDict(recursive=True)
+        return entry
+
+    def _state(self, entry: dict) -> dict:
+        return {k: entry[k] for k in ("commit_id", "parents", "version", "tables", "base")}
 
     def head(self, ref: str) -> str:
         """Commit id of a branch, tag or commit."""
-        entry = self._ref(ref)
-        return entry["commit_id"] if entry else self._resolve(ref)["commit_id"]
+        return self._resolve(ref)["commit_id"]
 
     def create_branch(self, name: str, source: str) -> None:
         """No data moves: one more name for the same commit."""
         if self._ref(name):
             raise RefError(f"ref {name} exists")
-        start = self.head(source)
-        self._point(name, "branch", start, base=start)
+        start = self._state(self._resolve(source))
+        self._append("branch", name, **start | {"base": start["commit_id"]})
 
     def tag(self, name: str, ref: str) -> None:
         """Tags never move."""
         if self._ref(name):
             raise RefError(f"ref {name} exists")
-        self._point(name, "tag", self.head(ref))
+        self._append("tag", name, **self._state(self._resolve(ref)))
 
     def drop(self, name: str) -> None:
-        self._point(name, "branch", self.head(name), dropped=True)
+        self._append("drop", name, commit_id=self.head(name))
 
     # -- data ---------------------------------------------------------------------------
     def write(self, df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> str:
@@ -112,7 +114,7 @@ class SnapshotStore:
         return path
 
     def tables(self, ref: str) -> dict[str, list[str]]:
-        return {t: list(p) for t, p in self._resolve(ref)["tables"].items()}
+        return dict(self._resolve(ref)["tables"])
 
     def commit(
         self,
@@ -130,22 +132,17 @@ class SnapshotStore:
         head = entry["commit_id"] if entry else None
         if expected_head is not None and head != expected_head:
             raise RefError(f"{branch} moved to {head}, expected {expected_head}")
-        content, version = {}, 0
-        if head is not None:
-            row = self._commit(head)
-            content, version = {t: list(p) for t, p in row["tables"].items()}, row["version"] + 1
-        content |= {t: p for t, p in tables.items() if p}
-        for t in [t for t, p in tables.items() if not p]:
-            content.pop(t, None)
+        if entry and entry["kind"] == "tag":
+            raise RefError(f"{branch} is a tag")
+        version = entry["version"] + 1 if entry else 0
+        content = {t: p for t, p in {**(entry["tables"] if entry else {}), **tables}.items() if p}
         chain = parents if parents is not None else ([head] if head else [])
         text = json.dumps([branch, message, chain, content, version], sort_keys=True)
         commit_id = hashlib.sha256(text.encode()).hexdigest()
-        row = {
-            "commit_id": commit_id, "parents": chain, "branch": branch, "message": message, "committer": committer,
-            "metadata": metadata or {}, "created_at": datetime.now(timezone.utc).isoformat(), "version": version, "tables": content,
-        }
-        self._append("commits", COMMIT_SCHEMA, row)
-        self._point(branch, "branch", commit_id, base=entry["base"] if entry else None)
+        self._append(
+            "commit", branch, commit_id=commit_id, parents=chain, message=message, committer=committer,
+            metadata=metadata or {}, version=version, tables=content, base=entry["base"] if entry else None,
+        )
         return commit_id
 
     def overwrite(self, branch: str, table: str, df: DataFrame, message: str = "overwrite", **kw) -> str:
@@ -157,9 +154,12 @@ class SnapshotStore:
 
     def read(self, table: str, ref: str, merge_schema: bool = False) -> DataFrame:
         """The table at a branch, tag or commit."""
-        paths = self.tables(ref).get(table)
+        return self._load(table, ref, self.tables(ref), merge_schema)
+
+    def _load(self, table: str, at: str, tables: dict[str, list[str]], merge_schema: bool = False) -> DataFrame:
+        paths = tables.get(table)
         if not paths:
-            raise RefError(f"no table {table} at {ref}")
+            raise RefError(f"no table {table} at {at}")
         if not merge_schema:
             return self.spark.read.parquet(*paths)
         parts = [self.spark.read.parquet(p) for p in paths]
@@ -170,10 +170,10 @@ class SnapshotStore:
 
     def read_version(self, table: str, branch: str, version: int) -> DataFrame:
         """Time travel by number: versions of a branch count from 0."""
-        found = self.commits().where((F.col("branch") == branch) & (F.col("version") == version)).select("commit_id").take(1)
+        found = self.commits().where((F.col("branch") == branch) & (F.col("version") == version)).select("tables").take(1)
         if not found:
             raise RefError(f"{branch} has no version {version}")
-        return self.read(table, found[0][0])
+        return self._load(table, f"{branch} version {version}", found[0]["tables"])
 
     def changed(self, table: str, old: str, new: str) -> tuple[DataFrame | None, DataFrame | None]:
         """The table at two refs, reduced to the folders the refs do not share (None if there are none).
@@ -191,21 +191,20 @@ class SnapshotStore:
 
         Tables changed on both sides need a row-level merge first and are refused here.
         """
-        branch = self._ref(source)
-        target_head = self.head(target)
+        branch, into = self._ref(source), self._resolve(target)
         if branch is None or branch["base"] is None:
             raise RefError(f"{source} is not a branch made from another ref")
-        source_head = branch["commit_id"]
-        ours, theirs, base = self.tables(target_head), self.tables(source_head), self.tables(branch["base"])
+        ours, theirs, base = into["tables"], branch["tables"], self.tables(branch["base"])
         moved = {t: theirs.get(t, []) for t in {*theirs, *base} if theirs.get(t) != base.get(t)}
         clash = sorted(t for t in moved if ours.get(t) != base.get(t) and ours.get(t) != theirs.get(t))
         if clash:
             raise RefError(f"tables changed on both sides: {clash}")
         merged = self.commit(
             target, message or f"merge {source}", moved,
-            parents=[target_head, source_head], expected_head=target_head, **kw,
+            parents=[into["commit_id"], branch["commit_id"]], expected_head=into["commit_id"], **kw,
         )
-        self._point(source, "branch", source_head, base=source_head)
+        # the next merge of this branch starts from here
+        self._append("branch", source, **self._state(branch) | {"base": branch["commit_id"]})
         return merged
 
     def revert(self, branch: str, parent_number: int = 1) -> str:
@@ -228,8 +227,7 @@ class SnapshotStore:
         return out
 
     def clone(self, root: str) -> SnapshotStore:
-        """Copy commits and refs under a new root; data folders are shared, not copied."""
+        """Copy the log of commits and refs to a new root; data folders are shared, not copied."""
         other = SnapshotStore(self.spark, root)
-        self.commits().write.parquet(f"{other.root}/_commits")
-        self.spark.read.schema(REF_SCHEMA).parquet(f"{self.root}/_refs").write.parquet(f"{other.root}/_refs")
+        self._log().write.parquet(f"{other.root}/_log")
         return other

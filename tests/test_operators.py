@@ -119,12 +119,10 @@ def test_masks(spark):
     for k, text in data:
         pixels.setdefault(k, set()).update(brute_mask(text, 100))
     assert {r.image_id: r.union_area for r in masks.union_area(df, tile=64).collect()} == {k: len(v) for k, v in pixels.items()}
-    boxes = df.select("encoded_pixels", masks.mask_box(F.col("encoded_pixels"), 100).alias("b")).collect()
-    for r in boxes:
+    for r in masks.mask_boxes(df, 100).collect():
         px = brute_mask(r.encoded_pixels, 100)
         cols, rws = [p // 100 for p in px], [p % 100 for p in px]
-        assert (r.b.x0, r.b.x1) == (min(cols), max(cols))
-        assert r.b.y0 <= min(rws) and r.b.y1 >= max(rws)
+        assert (r.x0, r.x1, r.y0, r.y1) == (min(cols), max(cols), min(rws), max(rws))
 
 
 def test_metrics(spark):
