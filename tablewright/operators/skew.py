@@ -28,7 +28,9 @@ def join_per_key(
     entry = F.struct(F.lit(True).alias("_found"), *values)
     hot = F.col(weight) >= hot_rows
     heavy = F.broadcast(per_key.where(hot).select(*on, entry.alias("_heavy")))
-    light = per_key.where(~hot).select(*on, F.lit(0).cast("bigint").alias("_salt"), entry.alias("_light"))
+    # Always 0, but computed: a literal would be folded out of the join key and thus out of the shuffle.
+    zero = F.pmod(F.col(weight).cast("bigint"), F.lit(1)).alias("_salt")
+    light = per_key.where(~hot).select(*on, zero, entry.alias("_light"))
     no_key = F.col(on[0]).isNull()
     for c in on[1:]:
         no_key = no_key | F.col(c).isNull()

@@ -18,7 +18,7 @@ def _(t):
     return t.orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("minmax", "SELECT count(*) AS n, min(year(o_orderdate)) AS first_year, max(year(o_orderdate)) AS last_year FROM orders")
+@query("minmax", "SELECT count(*) AS n, CAST(min(year(o_orderdate)) AS INTEGER) AS first_year, CAST(max(year(o_orderdate)) AS INTEGER) AS last_year FROM orders")
 def _(t):
     return t.orders.agg(
         F.count(F.lit(1)).alias("n"), F.year(F.min("o_orderdate")).alias("first_year"), F.year(F.max("o_orderdate")).alias("last_year")

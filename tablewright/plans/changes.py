@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tablewright.operators import dml
 from tablewright.plans.registry import query
 from tablewright.plans.shapes import ORDER_SQL, order_rows
+from tablewright.sources import objects, sinks
 
 
 @query("dml_delete", f"SELECT {ORDER_SQL} FROM orders_dev WHERE NOT (o_orderstatus = 'F' AND o_totalprice > 100000)")
@@ -88,13 +89,15 @@ def _(t):
     return order_rows(dml.insert_rows(t.orders_dev, t.order_updates))
 
 
-@query("drop_file")
+@query(
+    "drop_file",
+    "SELECT l_linestatus, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS keys FROM lineitem WHERE l_returnflag <> 'A' GROUP BY 1",
+)
 def _(t):
     path = t.scratch("files")
-    t.lineitem.select("l_orderkey", "l_quantity").repartition(8, "l_orderkey").write.parquet(path)
-    rows = t.spark.read.parquet(path).select("_metadata.file_path")
-    files = rows.groupBy("file_path").agg(F.count(F.lit(1)).alias("n_rows"))
-    # the listing without its first file is the table without that file's rows
-    gone = files.agg(F.min("file_path").alias("file_path"))
-    kept = files.join(F.broadcast(gone), "file_path", "left_anti")  # one row
-    return kept.agg(F.count(F.lit(1)).alias("n_files"), F.sum("n_rows").alias("n_rows"))
+    sinks.partitioned(t.lineitem.select("l_orderkey", "l_linestatus", "l_returnflag"), path, "l_returnflag")
+    rows = t.spark.read.parquet(path).select("*", "_metadata.file_path")
+    listing = rows.groupBy(F.col("file_path").alias("path")).agg(F.count(F.lit(1)).alias("n_rows"))
+    dropped = listing.where(F.col("path").contains("/l_returnflag=A/"))
+    left = objects.without_files(rows, dropped)
+    return left.groupBy("l_linestatus").agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("keys"))

@@ -136,7 +136,7 @@ def _(t):
 
 @query(
     "vector_topk_many",
-    """WITH q AS (SELECT label AS query_id, arg_min(embedding, vec_id) AS q FROM embeddings GROUP BY label),
+    """WITH q AS (SELECT CAST(label AS BIGINT) AS query_id, arg_min(embedding, vec_id) AS q FROM embeddings GROUP BY label),
     d AS (SELECT query_id, vec_id, list_distance(CAST(embedding AS DOUBLE[]), CAST(q AS DOUBLE[])) AS distance FROM embeddings, q)
     SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, round(distance, 6) AS distance FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS r FROM d)
     WHERE r <= 4""",

@@ -8,7 +8,7 @@ from tablewright.operators import aggregates
 from tablewright.plans.registry import query
 
 
-@query("latest_value", "SELECT max(year(o_orderdate)) AS latest_year FROM orders")
+@query("latest_value", "SELECT CAST(max(year(o_orderdate)) AS INTEGER) AS latest_year FROM orders")
 def _(t):
     return t.orders.agg(F.year(F.max("o_orderdate")).alias("latest_year"))
 

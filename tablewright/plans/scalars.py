@@ -102,7 +102,7 @@ def _(t):
 
 @query(
     "fn_scale_array",
-    "SELECT vec_id, round(list_sum(list_transform(embedding, lambda v: CAST(v AS DOUBLE) / 255)), 8) AS total, len(embedding) AS n FROM embeddings",
+    "SELECT vec_id, round(list_sum(list_transform(embedding, lambda v: CAST(v AS DOUBLE) / 255)), 8) AS total, CAST(len(embedding) AS INTEGER) AS n FROM embeddings",
 )
 def _(t):
     scaled = arrays.scale(F.col("embedding"))

@@ -87,7 +87,7 @@ def _(t):
     return t.spark.table(f"{db}.silver")
 
 
-@query("gold_partitioned", "SELECT year(o_orderdate) AS year, o_orderstatus, count(*) AS n FROM orders GROUP BY ALL")
+@query("gold_partitioned", "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus, count(*) AS n FROM orders GROUP BY ALL")
 def _(t):
     db = sinks.own_database(t.spark)
     t.spark.sql(f"CREATE TABLE {db}.gold (o_orderkey BIGINT, o_orderstatus STRING, year INT) USING parquet PARTITIONED BY (year)")
@@ -100,7 +100,7 @@ def _(t):
 
 @query(
     "overwrite_partitions",
-    """SELECT year(o_orderdate) AS year, count(*) AS n, round(sum(CASE WHEN year(o_orderdate) = 1998 THEN o_totalprice * 2 ELSE o_totalprice END), 2) AS total
+    """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n, round(sum(CASE WHEN year(o_orderdate) = 1998 THEN o_totalprice * 2 ELSE o_totalprice END), 2) AS total
     FROM orders GROUP BY 1""",
 )
 def _(t):

@@ -36,6 +36,11 @@ def import_prefixes(manifest: DataFrame, mapping: dict[str, str]) -> DataFrame:
     )
 
 
+def without_files(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """A table after some of its files were deleted from the listing: rows carry their ``file_path``."""
+    return rows.join(dropped.select(F.col("path").alias("file_path")), "file_path", "left_anti").drop("file_path")
+
+
 def import_by_label(manifest: DataFrame, label: str, replace: tuple[str, str]) -> DataFrame:
     """Objects whose folder is named ``label``, each with the path of its paired object."""
     folder = paths.parent(F.col("path"))

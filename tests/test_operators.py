@@ -1,14 +1,17 @@
 """Operators against brute force on small fixtures, with hot keys forced."""
 
 import random
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tablewright.functions import paths
-from tablewright.operators import aggregates, batches, chunks, clean, dedup, features, gates, lineage, masks, vectors
+from tablewright.operators import aggregates, batches, chunks, clean, dedup, diff, features, gates, lineage, masks, vectors
 from tablewright.operators.skew import join_per_key
+from tablewright.session import scratch
+from tablewright.sources.snapshots import SnapshotStore
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
@@ -24,6 +27,33 @@ def test_join_per_key(spark, how, hot_rows):
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
 
 
+def test_salt_takes_part_in_the_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(1000).select("id", (F.col("id") % 7).alias("k"))
+        per_key = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+        out = join_per_key(rows, per_key, ["k"], "n", "id", "left")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert re.search(r"hashpartitioning\(k#\d+L, _salt#\d+L", plan), plan
+    assert out.count() == 1000
+
+
+def test_diff_between_refs_reads_changed_folders_only(spark):
+    store = SnapshotStore(spark, scratch(spark, "store"))
+    a = store.write(spark.range(0, 100).selectExpr("id AS k", "1 AS v"), "t")
+    b = store.write(spark.range(100, 110).selectExpr("id AS k", "1 AS v"), "t")
+    store.commit("main", "load", {"t": [a, b]})
+    store.create_branch("dev", "main")
+    assert diff.diff_refs(store, "t", "main", "dev", ["k"]).isEmpty()
+    c = store.write(spark.range(100, 110).selectExpr("id AS k", "if(id = 105, 2, 1) AS v"), "t")
+    store.commit("dev", "change one row", {"t": [a, c]})
+    out = diff.diff_refs(store, "t", "main", "dev", ["k"])
+    assert [tuple(r) for r in out.collect()] == [(105, "changed", "v")]
+    assert not any(a in f for f in out.inputFiles())
+
+
 @pytest.mark.parametrize("hot_rows", [3, 10**6])
 def test_duplicates(spark, hot_rows):
     data = [(1, "a"), (2, "b"), (3, "a"), (4, None), (5, "a"), (6, None), (7, "a"), (8, "c")]
