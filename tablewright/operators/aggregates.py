@@ -48,15 +48,16 @@ def top_sellers(
 ) -> DataFrame:
     """Best-selling authors: sales joined to books joined to authors, summed per name, largest first.
 
-    Sales are summed per book before they meet anything, so neither a bestseller nor the raw sales
-    rows go through the joins. ``author_key`` is (book column, author column), ``sale_key`` is
+    Sales are summed per book and then per author before they meet the next table, so neither a
+    bestseller nor a prolific author sends many rows through a join. ``author_key`` is (book column, author column), ``sale_key`` is
     (book column, sale column). With ``how="inner"`` authors without sales vanish.
     """
     per_book = sales.groupBy(F.col(sale_key[1]).alias("_book")).agg(F.sum(price).alias("_total"))
     b = books.select(F.col(author_key[0]).alias("_author"), F.col(sale_key[0]).alias("_book"))
     a = authors.select(F.col(author_key[1]).alias("_author"), F.col(name))
+    per_author = b.join(per_book, "_book", how).groupBy("_author").agg(F.sum("_total").alias("_total"))
     return (
-        b.join(per_book, "_book", how).join(a, "_author", how)
+        per_author.join(a, "_author", how)
         .groupBy(name).agg(F.round(F.sum("_total"), 2).alias("total_sales"))
         .orderBy(F.desc_nulls_last("total_sales"), F.asc(name)).limit(n)
     )

@@ -20,7 +20,8 @@ def _sides(frames: dict[str, DataFrame], key: list[str], values: list[str]) -> D
         on_side = F.col("_side") == side
         aggs.append(F.any_value(F.when(on_side, F.col("_v")), True).alias(side))
         aggs.append(F.count_if(on_side).alias(f"_n_{side}"))
-    packed = tagged.groupBy(*key).agg(*aggs)
+    # A key has at most one row per side, so combining before the exchange would only sort twice.
+    packed = tagged.repartition(*key).groupBy(*key).agg(*aggs)
     most = F.greatest(*[F.col(f"_n_{s}") for s in frames]) if len(frames) > 1 else F.col(f"_n_{next(iter(frames))}")
     clash = F.raise_error(F.concat(F.lit("key occurs twice: "), F.to_json(F.struct(*key))))
     first = next(iter(frames))
