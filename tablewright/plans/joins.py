@@ -36,7 +36,7 @@ _WRONG = "(SELECT o_orderkey, o_custkey, c_name FROM customer LEFT JOIN orders_d
     ),
 )
 def _(t):
-    # only the keys meet: the rows per customer are counted first, then weighted by the unmatched test
+    # customers on the kept side: unmatched ones surface as null order keys in the profile
     joined = t.customer.join(t.orders_dev, F.col("o_custkey") == F.col("c_custkey"), "left")
     return clean.null_counts(joined.select("o_orderkey", "o_custkey", "c_name"))
 
