@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import decontaminate, licenses, mixing, secrets
+from tablewright.llm import decontaminate, licenses, mixing, near_copies, quality, secrets
 from tablewright.session import apply_settings
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,14 @@ def op9(table):
 def op10(table):
     rows = table("documents").select("doc_id", "text")
     return decontaminate.decontaminate(rows, table("benchmark")).drop("text")
+
+
+@query("op3_quality_rules")
+def op3(table):
+    return quality.quality(table("documents").select("doc_id", "text"))
+
+
+@query("op5_ngram_jaccard")
+def op5(table):
+    found = near_copies.similar_documents(table("documents").select("doc_id", "text"))
+    return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
