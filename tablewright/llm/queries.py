@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import decontaminate, licenses, mixing, near_copies, quality, secrets
+from tablewright.llm import decontaminate, licenses, mixing, near_copies, quality, secrets, toxicity
 from tablewright.session import apply_settings
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,9 @@ def op3(table):
 def op5(table):
     found = near_copies.similar_documents(table("documents").select("doc_id", "text"))
     return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+@query("op8_toxicity")
+def op8(table):
+    found = toxicity.score_toxicity(table("documents").select("doc_id", "text"), table("labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
