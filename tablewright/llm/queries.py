@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import decontaminate, licenses, mixing, near_copies, quality, secrets, toxicity
+from tablewright.llm import decontaminate, licenses, mixing, near_copies, quality, repeats, secrets, toxicity
 from tablewright.session import apply_settings
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,9 @@ def op5(table):
 def op8(table):
     found = toxicity.score_toxicity(table("documents").select("doc_id", "text"), table("labels"))
     return found.select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op4_suffix_dedup")
+def op4(table):
+    found = repeats.remove_repeats(table("documents").select("doc_id", "text"), keep_bytes=False)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
