@@ -103,3 +103,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, broad
         F.coalesce(F.size("__items"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.array_join("__items", ","), F.lit("")), 256).alias("items_sha256"), (hit > 0).alias("contaminated"),
     )
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, broadcast_bytes: int = BROADCAST_BYTES,
+               key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows of ``docs`` in which no window of any item occurs; null and empty texts stay."""
+    hits = occurrences(docs, items, window, broadcast_bytes, key, text).select(F.col("__id").alias("h_id"), F.col("__text").alias("h_text")).distinct()
+    same = F.col(key).eqNullSafe(F.col("h_id")) & (F.xxhash64(whole(text)) == F.col("h_text"))
+    return docs.join(hits, same, "left_anti")

@@ -93,9 +93,12 @@ def scan_secrets(versions: DataFrame, ledger: DataFrame | None = None, rules=RUL
     entries = persist_to_shared(scan(found, rules, version), "ledger")
     grown = entries if ledger is None else ledger.select("blob", "rule_version", "spans").unionByName(entries)
     findings = grown.where((F.col("rule_version") == version) & (F.size("spans") > 0)).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
-    rows = versions.select(*columns, blob.alias("blob"))
+    # Only rows that can have a finding meet the ledger; the others keep their place, and their texts stay put.
+    none = F.array().cast(SPANS)
+    clean = versions.where(~suspect(whole(text), rules)).select(*columns, blob.alias("blob"), none.alias("spans"))
+    rows = versions.where(suspect(whole(text), rules)).select(*columns, blob.alias("blob"))
     out = rows.join(findings, F.col("blob") == F.col("__blob"), "left")
-    return out.select(*columns, "blob", F.coalesce("__spans", F.array().cast(SPANS)).alias("spans")), grown
+    return clean.union(out.select(*columns, "blob", F.coalesce("__spans", none).alias("spans"))), grown
 
 
 def named_spans(spans: Column, rules=RULES) -> Column:
