@@ -33,7 +33,7 @@ def folders(c: Column) -> Column:
 
 def common_prefix(c: Column, prefix: str, delimiter: str = "/") -> Column:
     """The listing entry of a path below ``prefix``: a sub-folder, or the object itself."""
-    rest = F.substring(c, len(prefix) + 1, 1_000_000)
+    rest = F.substr(c, F.lit(len(prefix) + 1))
     return F.concat(
         F.lit(prefix),
         F.when(rest.contains(delimiter), F.concat(F.substring_index(rest, delimiter, 1), F.lit(delimiter))).otherwise(rest),

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tablewright.operators.merge import keyed_sides
 from tablewright.sources.snapshots import SnapshotStore
 
 
@@ -43,27 +44,21 @@ def reset_prefixes(staged: DataFrame, head: DataFrame, prefixes: list[str]) -> D
 
 def move_prefix(manifest: DataFrame, old: str, new: str) -> DataFrame:
     """A listing cloned to another root: paths below ``old`` are rewritten, content is shared."""
-    moved = F.concat(F.lit(new), F.substring("path", len(old) + 1, 1_000_000))
+    moved = F.concat(F.lit(new), F.substr("path", F.lit(len(old) + 1)))
     return manifest.withColumn("path", F.when(F.col("path").startswith(old), moved).otherwise(F.col("path")))
 
 
-def _row(columns: list[str]) -> Column:
-    return F.struct(*columns)
-
-
 def diff_rows(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """Keyed row diff: key, change type and the names of the changed columns.
 
-    Values compare null-safe. Each side is one packed struct, so the join carries one column per side.
+    Keys and values compare null-safe; a key that one side has twice fails the job.
     """
     values = [c for c in old.columns if c not in key and c in new.columns]
-    a = old.select(*key, _row(values).alias("_a"))
-    b = new.select(*key, _row(values).alias("_b"))
     changed = F.array_compact(
         F.array(*[F.when(~F.col(f"_a.{c}").eqNullSafe(F.col(f"_b.{c}")), F.lit(c)) for c in values])
     )
     return (
-        a.join(b, key, "full_outer")
+        keyed_sides({"_a": old, "_b": new}, key, values)
         .where(~F.col("_a").eqNullSafe(F.col("_b")))
         .select(
             *key,
@@ -82,12 +77,10 @@ def diff_refs(store: SnapshotStore, table: str, old: str, new: str, key: list[st
 
 
 def changes(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
-    """The change set from ``old`` to ``new``: key, ``op`` (upsert / delete) and the new values."""
+    """The change set from ``old`` to ``new``: key, ``op`` (upsert / delete) and the new values. Keys as in ``diff_rows``."""
     values = [c for c in old.columns if c not in key]
-    a = old.select(*key, _row(values).alias("_a"))
-    b = new.select(*key, _row(values).alias("_b"))
     return (
-        a.join(b, key, "full_outer")
+        keyed_sides({"_a": old, "_b": new}, key, values)
         .where(~F.col("_a").eqNullSafe(F.col("_b")))
         .select(
             *key,
@@ -100,15 +93,19 @@ def changes(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
 def apply_changes(table: DataFrame, change_set: DataFrame, key: list[str]) -> DataFrame:
     """``apply_changes(a, changes(a, b)) == b``."""
     values = [c for c in table.columns if c not in key]
-    new = change_set.select(*key, F.struct("op", *values).alias("_c"))
-    kept = table.join(new, key, "left").where(~F.coalesce(F.col("_c.op") == "delete", F.lit(False))).select(
+    new = change_set.select(*[F.col(c).alias(f"_k_{c}") for c in key], F.struct("op", *values).alias("_c"))
+    same = F.lit(True)
+    for c in key:
+        same = same & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    kept = table.join(new, same, "left").where(~F.coalesce(F.col("_c.op") == "delete", F.lit(False))).select(
         *[
             F.col(c) if c in key else F.when(F.col("_c").isNotNull(), F.col(f"_c.{c}")).otherwise(F.col(c)).alias(c)
             for c in table.columns
         ]
     )
-    known = table.select(*key).join(new.select(*key), key, "left_semi").distinct()
-    fresh = change_set.where(F.col("op") == "upsert").join(known, key, "left_anti").select(*table.columns)
+    known = table.select(*key).join(new, same, "left_semi").distinct()
+    known = known.select(*[F.col(c).alias(f"_k_{c}") for c in key])
+    fresh = change_set.where(F.col("op") == "upsert").join(known, same, "left_anti").select(*table.columns)
     return kept.unionByName(fresh)
 
 

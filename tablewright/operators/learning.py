@@ -23,10 +23,16 @@ def pca(df: DataFrame, vector: str, k: int) -> tuple[DataFrame, list[float]]:
 
 
 def train_forest(train: DataFrame, label: str, numbers: list[str], texts: list[str], seed: int = 42, trees: int = 20) -> PipelineModel:
-    """A random forest over numeric columns and indexed text columns."""
-    stages = [StringIndexer(inputCol=c, outputCol=f"{c}_ix", handleInvalid="keep") for c in texts]
-    stages.append(VectorAssembler(inputCols=numbers + [f"{c}_ix" for c in texts], outputCol="features"))
-    stages.append(
-        RandomForestClassifier(labelCol=label, featuresCol="features", predictionCol="pred", numTrees=trees, seed=seed, maxBins=64)
-    )
+    """A random forest over numeric columns and indexed text columns.
+
+    A text column is a category: its distinct values are the model's vocabulary, and the forest gets as many
+    bins as the widest column needs (one more for values not seen in training).
+    """
+    indexers = [StringIndexer(inputCol=c, outputCol=f"{c}_ix", handleInvalid="keep").fit(train) for c in texts]
+    bins = max([32, *[len(ix.labelsArray[0]) + 1 for ix in indexers]])
+    stages = [
+        *indexers,
+        VectorAssembler(inputCols=numbers + [f"{c}_ix" for c in texts], outputCol="features"),
+        RandomForestClassifier(labelCol=label, featuresCol="features", predictionCol="pred", numTrees=trees, seed=seed, maxBins=bins),
+    ]
     return Pipeline(stages=stages).fit(train)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
@@ -43,7 +45,7 @@ def lineage_edges(commits: DataFrame, key_prefix: str = "source.") -> DataFrame:
     return (
         commits.select("commit_id", F.explode("metadata").alias("key", "source"))
         .where(F.col("key").startswith(key_prefix))
-        .select("commit_id", F.substring("key", len(key_prefix) + 1, 1000).alias("kind"), "source")
+        .select("commit_id", F.substr("key", F.lit(len(key_prefix) + 1)).alias("kind"), "source")
     )
 
 
@@ -77,11 +79,12 @@ def origins(parents: DataFrame, max_rounds: int = 40) -> DataFrame:
     raise ValueError("parent chain is longer than 2^max_rounds, or has a cycle")
 
 
-def upstream(edges: DataFrame, targets: DataFrame, max_rounds: int = 100) -> DataFrame:
+def upstream(edges: DataFrame, targets: DataFrame) -> DataFrame:
     """All ancestors of the targets in a graph (source, target): rows (node, hops), nearest distance.
 
     One join per level; each level is written to the shared folder, and nodes met before are not
-    visited again, so cycles end and nothing is written twice.
+    visited again, so cycles end, nothing is written twice, and any depth is followed. Where every node has one
+    parent, ``origins`` needs far fewer joins.
     """
     spark = edges.sparkSession
     folder = scratch(spark, "upstream")
@@ -91,11 +94,10 @@ def upstream(edges: DataFrame, targets: DataFrame, max_rounds: int = 100) -> Dat
         return spark.read.schema(level.schema).parquet(f"{folder}/hops={hop}")
 
     frontier = put(targets.select("node").distinct(), 0)
-    for hop in range(1, max_rounds + 1):
+    for hop in itertools.count(1):
         seen = spark.read.schema(targets.select("node").schema.add("hops", LongType())).parquet(folder)
         step = edges.join(frontier.select(F.col("node").alias("target")), "target", "left_semi")
         fresh = step.select(F.col("source").alias("node")).distinct().join(seen.select("node"), "node", "left_anti")
         frontier = put(fresh, hop)
         if frontier.isEmpty():
             return seen
-    raise ValueError(f"more than {max_rounds} levels")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _sides(frames: dict[str, DataFrame], key: list[str], values: list[str]) -> DataFrame:
+def keyed_sides(frames: dict[str, DataFrame], key: list[str], values: list[str]) -> DataFrame:
     """All sides of a merge under one exchange: one row per key, one packed struct per side.
 
     A key that occurs twice on a side fails the job instead of multiplying rows.
@@ -42,7 +42,7 @@ def merge_status(base: DataFrame, ours: DataFrame, theirs: DataFrame, key: list[
     ``status`` is unchanged, ours, theirs, both (same change on both sides) or conflict.
     """
     values = [c for c in base.columns if c not in key]
-    sides = _sides({"_base": base, "_ours": ours, "_theirs": theirs}, key, values)
+    sides = keyed_sides({"_base": base, "_ours": ours, "_theirs": theirs}, key, values)
     return sides.withColumn(
         "status",
         F.when(_same("_ours", "_theirs"), F.when(_same("_ours", "_base"), "unchanged").otherwise("both"))

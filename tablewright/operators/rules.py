@@ -109,11 +109,13 @@ def rule_summary(found: DataFrame, block_rows: int = 1000) -> DataFrame:
 
 
 def repair_orders(orders: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Normalise case and date spelling, then drop every row that still breaks a rule. Nothing is invented."""
+    """Normalise case and date spelling, then drop every row that still breaks a rule. Nothing is invented:
+    a date that could be read day first or month first is not touched, so its row goes.
+    """
     fixes = {
         "order_id": "trim(order_id)",
         "customer_id": "trim(customer_id)",
-        "order_date": f"coalesce(date_format({parse_date('order_date')}, 'yyyy-MM-dd'), order_date)",
+        "order_date": f"coalesce(date_format({parse_date('order_date', guess=False)}, 'yyyy-MM-dd'), order_date)",
         "amount": "trim(amount)",
         "currency": "upper(trim(currency))",
         "status": tidy_lower("status"),

@@ -28,13 +28,16 @@ def _wide_customer(t):
 
 @query(
     "check_blocked_columns",
-    """SELECT 'blocked_column' AS "check", 'events.user_id' AS subject, 'user_id' AS detail
-    UNION ALL SELECT 'blocked_column', 'customer.private_name', 'private_*'
-    UNION ALL SELECT 'blocked_column', 'customer.email_of_owner', 'email'""",
+    """SELECT 'blocked_column' AS "check", subject, detail, (SELECT count(*) FROM events) + (SELECT count(*) FROM customer) AS n_rows_checked
+    FROM (VALUES ('events.user_id', 'user_id'), ('customer.private_name', 'private_*'), ('customer.email_of_owner', 'email'),
+    ('bare.user_id', 'user_id'), ('bare.ssn', 'ssn')) v(subject, detail)""",
 )
 def _(t):
-    schemas = scans.describe(t.events, "events").unionByName(scans.describe(_wide_customer(t), "customer"))
-    return gates.blocked_columns(schemas.where("n_values > 0"), BLOCKED)
+    bare = t.events.withColumn("ssn", F.lit(None).cast("string")).limit(0)  # no value anywhere: the name is enough
+    schemas = scans.columns(t.events, "events").unionByName(scans.columns(_wide_customer(t), "customer"))
+    found = gates.blocked_columns(schemas.unionByName(scans.columns(bare, "bare")), BLOCKED)
+    rows = t.events.agg(F.count(F.lit(1)).alias("n")).unionByName(t.customer.agg(F.count(F.lit(1)).alias("n"))).agg(F.sum("n")).scalar()
+    return found.withColumn("n_rows_checked", rows)
 
 
 @query(
@@ -47,8 +50,8 @@ def _(t):
     incoming = t.customer.withColumnsRenamed({"c_name": "private_name"}).withColumns(
         {"c_acctbal": F.col("c_acctbal").cast("string"), "note": F.lit("x")}
     )
-    old = scans.describe(t.customer, "customer").unionByName(scans.describe(t.orders, "orders"))
-    new = scans.describe(incoming, "customer").unionByName(scans.describe(t.orders.drop("o_orderpriority"), "orders"))
+    old = scans.columns(t.customer, "customer").unionByName(scans.columns(t.orders, "orders"))
+    new = scans.columns(incoming, "customer").unionByName(scans.columns(t.orders.drop("o_orderpriority"), "orders"))
     return gates.schema_changes(old, new)
 
 
@@ -61,6 +64,32 @@ def _(t):
     return gates.files_to_check(diff.diff_objects(t.manifest_main, t.manifest_dev), ".txt", sample=True)
 
 
+@query(
+    "changed_files_all",
+    """SELECT regexp_replace(b.path, '/[^/]*$', '') AS folder, b.path FROM manifest_dev b LEFT JOIN manifest_main a ON a.path = b.path
+    WHERE a.checksum IS DISTINCT FROM b.checksum""",
+)
+def _(t):
+    return gates.files_to_check(diff.diff_objects(t.manifest_main, t.manifest_dev), ".txt", sample=False)
+
+
+@query(
+    "check_changed_files",
+    """SELECT 'blocked_column' AS "check", 'dev/orders.email' AS subject, 'email' AS detail, (SELECT count(*) FROM orders WHERE year(o_orderdate) = 1999) AS n_rows""",
+)
+def _(t):
+    """Only folders that the refs do not share are opened, and of those only the footers."""
+    store = SnapshotStore(t.spark, t.scratch("store"))
+    recent = F.year("o_orderdate") == 1999
+    parts = [store.write(t.orders.where(~recent), "orders"), store.write(t.orders.where(recent), "orders")]
+    store.commit("main", "load", {"orders": parts})
+    store.create_branch("dev", "main")
+    store.commit("dev", "add a column", {"orders": [parts[0], store.write(t.orders.where(recent).withColumn("email", F.lit("x")), "orders")]})
+    _, changed = store.changed("orders", "main", "dev")
+    found = gates.blocked_columns(scans.columns(changed, "dev/orders"), BLOCKED)
+    return found.withColumn("n_rows", changed.agg(F.count(F.lit(1))).scalar())
+
+
 @query(
     "check_commit_metadata",
     """SELECT 'commit_metadata' AS "check", commit_id AS subject, 'missing notebook_url' AS detail FROM commits WHERE substr(commit_id, -1) = '3'

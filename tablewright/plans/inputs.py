@@ -57,11 +57,13 @@ DERIVED: dict[str, str | tuple[str, str]] = {
                CASE WHEN o_orderkey % 61 = 0 THEN '01/17/2024'
                     WHEN o_orderkey % 67 = 0 THEN '2024-13-01'
                     WHEN o_orderkey % 71 = 0 THEN '2022-06-15'
+                    WHEN o_orderkey % 107 = 0 THEN '03/04/2024'
                     ELSE '2024-01-15' END AS order_date,
                CASE WHEN o_orderkey % 73 = 0 THEN 'abc'
                     WHEN o_orderkey % 79 = 0 THEN '-50.00'
                     WHEN o_orderkey % 83 = 0 THEN 'nan'
                     WHEN o_orderkey % 89 = 0 THEN '420.00'
+                    WHEN o_orderkey % 103 = 0 THEN '1d'
                     ELSE '150.50' END AS amount,
                CASE WHEN o_orderkey % 43 = 0 THEN 'EUR' ELSE 'USD' END AS currency,
                CASE WHEN o_orderkey % 47 = 0 THEN 'SHIPPED'
@@ -149,21 +151,31 @@ DERIVED: dict[str, str | tuple[str, str]] = {
     "printed_dates": (
         """
         SELECT o_orderkey,
-               CASE o_orderkey % 7 WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd')
+               CASE o_orderkey % 12 WHEN 0 THEN date_format(o_orderdate, 'yyyy-MM-dd')
                                    WHEN 1 THEN date_format(o_orderdate, 'M/d/yyyy')
                                    WHEN 2 THEN date_format(o_orderdate, 'MMM d, yyyy')
                                    WHEN 3 THEN date_format(o_orderdate, 'd MMM yyyy')
                                    WHEN 4 THEN date_format(o_orderdate, 'yyyy/MM/dd')
-                                   WHEN 5 THEN '  ' ELSE 'not a date' END AS printed
+                                   WHEN 5 THEN date_format(o_orderdate, 'MMMM d, yyyy')
+                                   WHEN 6 THEN date_format(o_orderdate, 'MMM d yyyy')
+                                   WHEN 7 THEN date_format(o_orderdate, 'yyyy.MM.dd')
+                                   WHEN 8 THEN date_format(o_orderdate, "yyyy-MM-dd'T'HH:mm:ss")
+                                   WHEN 9 THEN CASE WHEN day(o_orderdate) > 12 THEN date_format(o_orderdate, 'd/M/yyyy') ELSE '31/31/1999' END
+                                   WHEN 10 THEN '  ' ELSE 'not a date' END AS printed
         FROM {orders}""",
         """
         SELECT o_orderkey,
-               CASE o_orderkey % 7 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d')
+               CASE o_orderkey % 12 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d')
                                    WHEN 1 THEN strftime(o_orderdate, '%-m/%-d/%Y')
                                    WHEN 2 THEN strftime(o_orderdate, '%b %-d, %Y')
                                    WHEN 3 THEN strftime(o_orderdate, '%-d %b %Y')
                                    WHEN 4 THEN strftime(o_orderdate, '%Y/%m/%d')
-                                   WHEN 5 THEN '  ' ELSE 'not a date' END AS printed
+                                   WHEN 5 THEN strftime(o_orderdate, '%B %-d, %Y')
+                                   WHEN 6 THEN strftime(o_orderdate, '%b %-d %Y')
+                                   WHEN 7 THEN strftime(o_orderdate, '%Y.%m.%d')
+                                   WHEN 8 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')
+                                   WHEN 9 THEN CASE WHEN day(o_orderdate) > 12 THEN strftime(o_orderdate, '%-d/%-m/%Y') ELSE '31/31/1999' END
+                                   WHEN 10 THEN '  ' ELSE 'not a date' END AS printed
         FROM {orders}""",
     ),
     # one folder descriptor per language and for some sources

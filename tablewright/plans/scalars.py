@@ -64,7 +64,7 @@ def _(t):
 
 @query(
     "to_iso_date",
-    """SELECT p.o_orderkey, printed, CASE WHEN p.o_orderkey % 7 < 5 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '' END AS iso
+    """SELECT p.o_orderkey, printed, CASE WHEN p.o_orderkey % 12 < 9 OR p.o_orderkey % 12 = 9 AND day(o_orderdate) > 12 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '' END AS iso
     FROM printed_dates p JOIN orders o ON o.o_orderkey = p.o_orderkey""",
 )
 def _(t):

@@ -10,6 +10,7 @@ from tablewright.sources.scans import csv_positional
 from tablewright.sources.snapshots import SnapshotStore
 from tablewright.streaming import flows
 
+FILE_ROWS = 1_000_000  # rows per arriving file at most; the scan decides how many tasks write them
 _COLS = ["event_id", "user_id", "event_type", "value"]
 
 
@@ -21,8 +22,8 @@ def _totals():
 def _(t):
     arrivals = t.scratch("arrivals")
     rows = t.events.select(*_COLS)
-    rows.repartition(6, "event_id").write.parquet(arrivals)
-    stream = flows.stream_files(t.spark, arrivals, rows.schema, files_per_batch=2)
+    rows.write.option("maxRecordsPerFile", FILE_ROWS).parquet(arrivals)
+    stream = flows.stream_files(t.spark, arrivals, rows.schema)
     state = flows.running_totals(stream, ["event_type"], _totals(), t.scratch("totals"), t.scratch("progress"))
     return state.withColumn("total", F.round("total", 2))
 
@@ -50,8 +51,8 @@ def _(t):
 def _landed(t, flush_rows: int) -> str:
     arrivals, out = t.scratch("arrivals"), t.scratch("landed")
     rows = t.events.select(*_COLS)
-    rows.repartition(4, "event_id").write.parquet(arrivals)
-    flows.land(flows.stream_files(t.spark, arrivals, rows.schema, files_per_batch=2), out, t.scratch("progress"), flush_rows)
+    rows.write.option("maxRecordsPerFile", FILE_ROWS).parquet(arrivals)
+    flows.land(flows.stream_files(t.spark, arrivals, rows.schema), out, t.scratch("progress"), flush_rows)
     return out
 
 

@@ -29,7 +29,7 @@ def import_prefixes(manifest: DataFrame, mapping: dict[str, str]) -> DataFrame:
     """
     target = F.lit(None).cast("string")
     for src in sorted(mapping, key=len):
-        moved = F.concat(F.lit(mapping[src]), F.substring("path", len(src) + 1, 1_000_000))
+        moved = F.concat(F.lit(mapping[src]), F.substr("path", F.lit(len(src) + 1)))
         target = F.when(F.col("path").startswith(src), moved).otherwise(target)
     return manifest.select(target.alias("path"), "checksum", "size_bytes", F.col("path").alias("source_path")).where(
         F.col("path").isNotNull()
@@ -92,7 +92,6 @@ def scan_binary(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
 
 
 def scan_images(spark: SparkSession, folder: str) -> DataFrame:
-    return (
-        spark.read.format("image").option("dropInvalid", True).load(folder)
-        .select("image.origin", "image.width", "image.height")
-    )
+    """Origin, width and height of every file; both sizes are null where the file is no readable image."""
+    size = lambda c: F.when(F.col(f"image.{c}") > 0, F.col(f"image.{c}")).alias(c)
+    return spark.read.format("image").load(folder).select("image.origin", size("width"), size("height"))

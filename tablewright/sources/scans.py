@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def csv(spark: SparkSession, path: str, schema: StructType | str | None = None, header: bool = True, sample: float = 1.0) -> DataFrame:
-    """With a schema: one pass, nothing inferred. Without: types are inferred from a share of the rows."""
+def csv(spark: SparkSession, path: str, schema: StructType | str | None = None, header: bool = True) -> DataFrame:
+    """With a schema: one pass, nothing inferred. Without: types are inferred from all rows."""
     reader = spark.read.option("header", header)
     if schema is not None:
         return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", True).option("samplingRatio", sample).csv(path)
+    return reader.option("inferSchema", True).csv(path)
 
 
 def csv_positional(spark: SparkSession, path: str) -> DataFrame:
@@ -34,6 +34,12 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("lineSep", "\n").text(path)
 
 
+def columns(df: DataFrame, name: str) -> DataFrame:
+    """The schema as rows: table, position, column, type. Reads file footers, no data."""
+    rows = [(name, i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(rows, "table string, position int, column string, type string")
+
+
 def describe(df: DataFrame, name: str) -> DataFrame:
     """Table inspection as rows: table, position, column, type, and how many cells hold a value."""
     fields = df.schema.fields

@@ -17,6 +17,11 @@ def partitioned(df: DataFrame, path: str, *columns: str, fmt: str = "parquet") -
     df.hint("rebalance", *columns).write.partitionBy(*columns).format(fmt).save(path)
 
 
+def rebalanced(df: DataFrame, path: str) -> None:
+    """Few files, sized by bytes: the scan keeps its own parallelism and adaptive execution merges its small outputs."""
+    df.hint("rebalance").write.parquet(path)
+
+
 def overwrite_partitions(df: DataFrame, path: str, *columns: str) -> None:
     """Replace only the partitions that occur in ``df``; the others keep their files."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)

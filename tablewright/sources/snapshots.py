@@ -107,10 +107,10 @@ class SnapshotStore:
     def write(self, df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> str:
         """Write one immutable folder; nothing refers to it until a commit does."""
         path = f"{self.root}/{table}/{uuid.uuid4().hex[:12]}"
-        writer = df.write
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+        if partition_by:  # each partition value in as few tasks as its bytes need
+            df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
+        else:
+            df.write.parquet(path)
         return path
 
     def tables(self, ref: str) -> dict[str, list[str]]:
@@ -149,7 +149,10 @@ class SnapshotStore:
         return self.commit(branch, message, {table: [self.write(df, table, kw.pop("partition_by", ()))]}, **kw)
 
     def append(self, branch: str, table: str, df: DataFrame, message: str = "append", **kw) -> str:
-        old = self.tables(branch).get(table, [])
+        """Refused if the branch moves while the rows are written: the list they extend would be out of date."""
+        start = self._resolve(branch)
+        old = dict(start["tables"]).get(table, [])
+        kw.setdefault("expected_head", start["commit_id"])
         return self.commit(branch, message, {table: old + [self.write(df, table)]}, **kw)
 
     def read(self, table: str, ref: str, merge_schema: bool = False) -> DataFrame:
