@@ -6,6 +6,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tablewright.operators.skew import join_per_key
+from tablewright.session import persist_to_shared
 
 
 def union_labelled(frames: dict[str, DataFrame], label: str = "label") -> DataFrame:
@@ -21,24 +25,33 @@ def count_by_ref(refs: dict[str, DataFrame]) -> DataFrame:
 
 
 def dim_aggregates(df: DataFrame, dimensions: list[str], measure: str, accuracy: int = 10_000) -> DataFrame:
-    """Count, median, minimum and maximum of a measure for each value of each dimension, in one scan.
+    """Count, exact median, minimum and maximum of a measure for each value of each dimension.
 
-    Each row becomes one (dimension, value) pair per dimension, folded together before the exchange.
-    The median is a sketch of bounded size: its rank is off by at most one in ``accuracy`` rows,
-    which is exact for groups smaller than half of that.
+    Each row becomes one (dimension, value) pair per dimension, folded together before the exchange. A first pass
+    brackets the middle with a sketch of bounded size, whose rank is off by at most one in ``accuracy`` rows. A
+    second pass counts what lies below the bracket and ranks only the values inside it, so a group of n rows
+    leaves some 4 n / ``accuracy`` rows for its window. The median of an even count is the lower middle value.
     """
     pairs = F.array(
         *[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("value")) for d in dimensions]
     )
-    return (
-        df.select(F.col(measure).alias("_m"), F.inline(pairs))
-        .groupBy("dimension", "value")
-        .agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.percentile_approx("_m", 0.5, accuracy).alias("median_value"),
-            F.min("_m").alias("min_value"),
-            F.max("_m").alias("max_value"),
-        )
+    rows = df.select(F.col(measure).alias("_m"), F.inline(pairs))
+    near = F.percentile_approx("_m", F.array(F.lit(0.5 - 2 / accuracy), F.lit(0.5 + 2 / accuracy)), accuracy)
+    first = rows.groupBy("dimension", "value").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("_m").alias("_n"), near.alias("_near"),
+        F.min("_m").alias("min_value"), F.max("_m").alias("max_value"),
+    )
+    first = persist_to_shared(first, "groups")
+    key = [first["dimension"] == rows["dimension"], first["value"].eqNullSafe(rows["value"])]
+    met = rows.join(first, key).where(F.col("_m") <= F.col("_near")[1]).select(first["dimension"], first["value"], "_n", "_near", "_m")
+    # Everything below the bracket counts as one value, so at most the bracket's values are left per group.
+    place = F.when(F.col("_m") >= F.col("_near")[0], F.col("_m")).alias("_v")
+    counts = met.groupBy("dimension", "value", "_n", place).agg(F.count(F.lit(1)).alias("_c"))
+    order = Window.partitionBy("dimension", "value").orderBy(F.col("_v").asc_nulls_first())
+    reached = counts.withColumn("_upto", F.sum("_c").over(order)).where(F.col("_upto") >= F.ceil(F.col("_n") / 2))
+    middle = reached.groupBy(F.col("dimension").alias("_d"), F.col("value").alias("_g")).agg(F.min("_v").alias("median_value"))
+    return first.join(middle, (F.col("dimension") == F.col("_d")) & F.col("value").eqNullSafe(F.col("_g")), "left").select(
+        "dimension", "value", "n_rows", "median_value", "min_value", "max_value"
     )
 
 
@@ -64,14 +77,21 @@ def top_sellers(
 
 
 def values_per_key(df: DataFrame, key: str, value: str, block: int = 1000) -> DataFrame:
-    """The values of each key with their counts, as lists over blocks of ``block`` integer values.
+    """The values of each key, of any type, with their counts: lists in blocks, and the number per key.
 
-    Equal pairs are counted before anything is collected, and a list holds at most ``block``
-    distinct values, so no key, however frequent, builds an unbounded list.
+    Equal pairs are counted before anything is collected. A key's distinct values are dealt by hash over as many
+    blocks as they fill, so a list holds about ``block`` of them and no key builds an unbounded one. ``n_total``
+    is the number of values of the key over all its blocks.
     """
     pairs = df.groupBy(key, value).agg(F.count(F.lit(1)).alias("_c"))
-    return pairs.groupBy(key, F.floor(F.col(value) / block).alias("value_block")).agg(
-        F.sum("_c").alias("n_values"),
+    per = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("_pairs"), F.sum("_c").alias("n_total"))
+    per = per.withColumn("_blocks", F.ceil(F.col("_pairs") / block))
+    dealt = join_per_key(pairs, per, [key], "_pairs", value)
+    loose = pairs.where(F.col(key).isNull()).crossJoin(per.where(F.col(key).isNull()).select("n_total", "_blocks"))  # one row
+    dealt = dealt.where(F.col(key).isNotNull()).unionByName(loose)
+    number = F.pmod(F.xxhash64(F.col(value)), F.col("_blocks")).alias("value_block")
+    return dealt.groupBy(key, number).agg(
+        F.sum("_c").alias("n_values"), F.any_value("n_total").alias("n_total"),
         F.array_sort(F.collect_list(F.struct(F.col(value).alias("value"), F.col("_c").alias("count")))).alias("values"),
     )
 

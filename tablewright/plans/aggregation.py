@@ -9,7 +9,6 @@ from tablewright.functions.arrays import map_total
 from tablewright.functions.text import tidy
 from tablewright.operators import aggregates, dedup, features, lineage
 from tablewright.plans.registry import query
-from tablewright.plans.shapes import pair_list
 from tablewright.sources import objects
 
 
@@ -46,7 +45,7 @@ _DIMS = ["l_returnflag", "l_linestatus", "l_linenumber"]
     ),
 )
 def _(t):
-    return aggregates.dim_aggregates(t.lineitem, _DIMS, "l_extendedprice", accuracy=100_000)
+    return aggregates.dim_aggregates(t.lineitem, _DIMS, "l_extendedprice")
 
 
 @query(
@@ -75,13 +74,13 @@ def _(t):
 
 @query(
     "collect_per_key",
-    """WITH pairs AS (SELECT l_suppkey, l_orderkey, count(*) AS c FROM lineitem GROUP BY ALL)
-    SELECT l_suppkey, l_orderkey // 1000 AS value_block, CAST(sum(c) AS BIGINT) AS n_values,
-    string_agg(l_orderkey || ':' || c, ',' ORDER BY l_orderkey) AS order_list FROM pairs GROUP BY ALL""",
+    """SELECT image_id, encoded_pixels AS value, count(*) AS "count", sum(count(*)) OVER (PARTITION BY image_id)::BIGINT AS n_total, true AS bounded
+    FROM masks GROUP BY image_id, encoded_pixels""",
 )
 def _(t):
-    out = aggregates.values_per_key(t.lineitem, "l_suppkey", "l_orderkey")
-    return out.select("l_suppkey", "value_block", "n_values", pair_list("values", "order_list"))
+    """Texts of masks per image, laid out again one value a row; no list may be much longer than its block."""
+    out = aggregates.values_per_key(t.masks, "image_id", "encoded_pixels")
+    return out.select("image_id", "n_total", (F.size("values") <= 2000).alias("bounded"), F.inline("values"))
 
 
 @query("distinct_values", "SELECT DISTINCT o_orderpriority FROM orders")

@@ -142,7 +142,6 @@ def _(t):
     WHERE r <= 4""",
 )
 def _(t):
-    # one query per label; nearest_many refuses more than it can ship
     asked = t.embeddings.groupBy(F.col("label").alias("query_id")).agg(F.min_by("embedding", "vec_id").alias("vector"))
     out = vectors.nearest_many(t.embeddings, asked, k=4)
     return out.withColumn("distance", F.round("distance", 6))

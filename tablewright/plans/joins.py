@@ -97,14 +97,14 @@ def _(t):
 @query(
     "attach_annotations",
     """WITH pairs AS (SELECT l_orderkey, l_partkey, count(*) AS c FROM lineitem GROUP BY ALL),
-    lists AS (SELECT l_orderkey, l_partkey // 1000 AS value_block, CAST(sum(c) AS BIGINT) AS n_values,
-              string_agg(l_partkey || ':' || c, ',' ORDER BY l_partkey) AS parts FROM pairs GROUP BY ALL)
-    SELECT o_orderkey, value_block, n_values, parts FROM orders LEFT JOIN lists ON o_orderkey = l_orderkey""",
+    lists AS (SELECT l_orderkey, CAST(sum(c) AS BIGINT) AS n_total, string_agg(l_partkey || ':' || c, ',' ORDER BY l_partkey) AS parts
+              FROM pairs GROUP BY ALL)
+    SELECT o_orderkey, n_total, coalesce(n_total, 0) AS n_values, parts FROM orders LEFT JOIN lists ON o_orderkey = l_orderkey""",
 )
 def _(t):
     lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
     out = aggregates.attach_values(t.orders.select("o_orderkey"), lines, "o_orderkey", "l_partkey")
-    return out.select("o_orderkey", "value_block", "n_values", pair_list("values", "parts"))
+    return out.select("o_orderkey", "n_total", F.coalesce("n_values", F.lit(0)).alias("n_values"), pair_list("values", "parts"))
 
 
 @query(

@@ -9,7 +9,7 @@ from tablewright.plans.registry import query
 from tablewright.plans.shapes import joined_list
 from tablewright.session import persist_to_shared
 
-TODAY = "2026-06-05"
+TODAY = "2026-02-27"
 
 _NUM = "TRY_CAST(trim(replace(replace({}, '$', ''), ',', '')) AS DOUBLE)"
 _TYPED = f"""typed AS (SELECT source_file, trim(vendor) AS vendor, upper(trim(currency)) AS currency, {_NUM.format('total')} AS total,

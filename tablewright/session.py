@@ -69,4 +69,14 @@ def persist_to_shared(df, label: str = "cut"):
     """Write a frame to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*frames) -> None:
+    """Delete tables made by ``persist_to_shared`` that no frame still to be computed reads."""
+    for df in frames:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

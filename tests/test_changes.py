@@ -28,6 +28,22 @@ def test_apply_of_diff_gives_the_other_side(spark, seed):
     assert diff.diff_rows(a, a, ["k"]).isEmpty()
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_diff_keeps_null_keys(spark, seed):
+    """A null is a key like any other: never removed and added at once, never doubled."""
+    a, b = (snapshot(spark, s).withColumn("k", F.when(F.col("k") != 7, F.col("k"))) for s in (seed, seed + 50))
+    assert diff.diff_rows(a, a, ["k"]).isEmpty()
+    assert rows(diff.apply_changes(a, diff.changes(a, a, ["k"]), ["k"])) == rows(a)
+    assert rows(diff.apply_changes(a, diff.changes(a, b, ["k"]), ["k"])) == rows(b)
+
+
+def test_diff_refuses_repeated_keys(spark):
+    once, twice = (spark.createDataFrame([(1, "x", 1.0)] * n, SCHEMA) for n in (1, 2))
+    for a, b in ((once, twice), (twice, once)):
+        with pytest.raises(SparkRuntimeException, match="key occurs twice"):
+            diff.diff_rows(a, b, ["k"]).collect()
+
+
 def test_diff_is_null_safe(spark):
     a = spark.createDataFrame([(1, None, 1.0), (2, "x", None), (3, "x", 1.0)], SCHEMA)
     b = spark.createDataFrame([(1, None, 1.0), (2, "x", 2.0), (4, "x", 1.0)], SCHEMA)

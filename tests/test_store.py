@@ -30,6 +30,21 @@ def test_branch_isolation_and_merge(spark, store):
     assert n(store, "main") == 17
 
 
+def test_an_append_that_lost_a_race_is_refused(spark, store):
+    """The list it would extend is out of date: publishing it would drop the other writer's rows."""
+    write = store.write
+
+    def slow(df, table, *a):
+        store.write = write
+        store.append("main", "t", spark.range(100, 102))  # somebody else is faster
+        return write(df, table, *a)
+
+    store.write = slow
+    with pytest.raises(RefError, match="moved"):
+        store.append("main", "t", spark.range(50, 55))
+    assert n(store, "main") == 12
+
+
 def test_merge_refuses_tables_changed_on_both_sides(spark, store):
     store.create_branch("dev", "main")
     store.overwrite("dev", "t", spark.range(1))
