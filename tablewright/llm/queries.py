@@ -13,6 +13,7 @@ from tablewright.llm import (
     licenses,
     mixing,
     near_copies,
+    oracles,
     quality,
     repeats,
     secrets,
@@ -48,13 +49,13 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
-@query("op1_license_scan")
+@query("op1_license_scan", oracles.OP1)
 def op1(table):
     rows = table("documents").select("doc_id", "text")
     return licenses.scan_licenses(rows).drop("text", "detections")
 
 
-@query("op7_secret_scan")
+@query("op7_secret_scan", oracles.OP7)
 def op7(table):
     rows = table("documents").select("doc_id", "text")
     found, _ = secrets.scan_secrets(rows)
@@ -66,24 +67,24 @@ def op7(table):
     )
 
 
-@query("op9_mix_sources")
+@query("op9_mix_sources", oracles.OP9)
 def op9(table):
     rows = table("documents").select("doc_id", "text", "source")
     return mixing.mix_plan(rows).select("doc_id", "size", "source_size", "target", "taken")
 
 
-@query("op10_decontaminate")
+@query("op10_decontaminate", oracles.OP10)
 def op10(table):
     rows = table("documents").select("doc_id", "text")
     return decontaminate.decontaminate(rows, table("benchmark")).drop("text")
 
 
-@query("op3_quality_rules")
+@query("op3_quality_rules", oracles.OP3)
 def op3(table):
     return quality.quality(table("documents").select("doc_id", "text"))
 
 
-@query("op5_ngram_jaccard")
+@query("op5_ngram_jaccard", oracles.OP5)
 def op5(table):
     found = near_copies.similar_documents(table("documents").select("doc_id", "text"))
     return found.select(F.col("doc").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
@@ -95,7 +96,7 @@ def op8(table):
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
-@query("op4_suffix_dedup")
+@query("op4_suffix_dedup", oracles.OP4)
 def op4(table):
     found = repeats.remove_repeats(table("documents").select("doc_id", "text"), keep_bytes=False)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

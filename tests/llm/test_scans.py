@@ -1,0 +1,148 @@
+"""Licenses, secrets, decontamination, quality and mixing in the small."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablewright.llm import decontaminate, licenses, mixing, quality, secrets
+from tests.llm import brute
+
+
+def frame(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+
+LICENSES = [
+    "Licensed under the Apache License, Version 2.0 (the License)", "CC-BY-SA 4.0, some rights", "cc by cc by cc-by",
+    "This work is licensed under the GNU General Public License, version 3.0. All rights reserved.", "SPDX-License-Identifier: MIT",
+    "Creative Commons Attribution-NonCommercial 3.0", "Creative Commons Attribution Noncommercial ShareAlike", "apache apache",
+    "Copyright (c) 2021 X. Permission is hereby granted, free of charge, to any person obtaining a copy", "accby by cc by", "", None,
+    "released under MIT license; GNU Lesser General Public License 2.1", "İn the public domain, KELVIN CC0 universal", "CC BY",
+]
+
+
+def test_licenses_equal_plain_python(spark):
+    rules = licenses.rules()
+    for r in licenses.scan_licenses(frame(spark, LICENSES)).collect():
+        text = LICENSES[r.doc_id]
+        assert [(d.start, d.end, d.rule) for d in r.detections] == brute.license_found(text, rules), text
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute.license_base(text)
+
+
+def test_license_rules_are_gated_by_words_they_contain():
+    assert len(licenses.rules()) > 200
+    for r in licenses.rules():
+        sample = re.sub(r"\(\?:([^|)]*)[^)]*\)\??", r"\1", r.words).replace("licen[sc]e", "license").replace("[0-9][0-9]", "20").replace("derivatives?", "derivatives")
+        sample = re.sub(r"[a-z]\?", "", sample)
+        assert re.fullmatch(r.pattern, " " + "  ".join(sample.split()) + " "), (r.words, sample)
+        assert r.keyword in " ".join(sample.split()), (r.words, sample)
+
+
+def test_a_longer_license_hides_the_name_inside_it(spark):
+    r = licenses.scan_licenses(frame(spark, ["GNU Lesser General Public License version 2.1"])).first()
+    assert [d.label for d in r.detections] == ["lgpl-2.1"] and r.labels == "gpl,lgpl-2.1"
+
+
+SECRETS = [
+    'password="abcdefgh"; Password : abc', "token=short api-key=x apikey='1234567890'", "AKIA" + "Q" * 12 + " AKIAB", "é" * 5 + "0123456789abcdef" * 2 + "f",
+    "secret = tokentoken token=12345678password=ABCDEFGH", "-----BEGIN RSA PRIVATE KEY-----", "ghp_" + "a1" * 18, "https://u:passw0rd@h.example/", "", None,
+    "\U0001f511 token=\U0001f511 passwd: aaaa.bbbb=cc",
+]
+
+
+def test_secrets_equal_plain_python(spark):
+    found, _ = secrets.scan_secrets(frame(spark, SECRETS))
+    for r in found.collect():
+        assert [(s.start, s.kind, s.end) for s in r.spans] == brute.secret_spans(SECRETS[r.doc_id], secrets.RULES), SECRETS[r.doc_id]
+
+
+def test_redaction_leaves_the_rest(spark):
+    rnd = random.Random(4)
+    texts = ["".join(rnd.choice("abé ") for _ in range(rnd.randrange(40))) for _ in range(30)]
+    rows = []
+    for i, t in enumerate(texts):
+        spans = sorted((a, rnd.randrange(3), min(len(t), a + 1 + rnd.randrange(9))) for a in (rnd.randrange(max(1, len(t))) for _ in range(rnd.randrange(4))) if t)
+        rows.append((i, t, spans))
+    df = spark.createDataFrame(rows, "i int, text string, spans " + secrets.SPANS)
+    for r in df.select("*", secrets.redact(F.col("text"), F.col("spans")).alias("out")).collect():
+        marks = ["#" if any(s.start <= p < s.end for s in r.spans) else c for p, c in enumerate(r.text)]
+        merged = []
+        for s in r.spans:
+            if merged and s.start <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], s.end)
+            else:
+                merged.append([s.start, s.end])
+        want, at = "", 0
+        for a, b in merged:
+            want, at = want + r.text[at:a] + "[secret]", b
+        assert r.out == want + r.text[at:], (r.text, r.spans, marks)
+
+
+def test_only_unseen_blobs_and_rule_versions_are_scanned(spark):
+    old = spark.createDataFrame([("a", 1, SECRETS[0]), ("b", 1, SECRETS[0]), ("c", 1, "nothing")], "path string, version int, text string")
+    first, ledger = secrets.scan_secrets(old)
+    assert ledger.count() == 1 and first.where("size(spans) > 0").count() == 2
+    new = old.unionByName(spark.createDataFrame([("a", 2, SECRETS[2]), ("d", 1, SECRETS[0])], old.schema))
+    second, grown = secrets.scan_secrets(new, ledger)
+    assert grown.count() == 2 and grown.join(ledger, "blob", "left_anti").count() == 1
+    assert {(r.path, r.version): len(r.spans) for r in second.collect()} == {("a", 1): 1, ("b", 1): 1, ("c", 1): 0, ("a", 2): 1, ("d", 1): 1}
+    # what the ledger says is believed, not scanned again
+    marked = ledger.withColumn("spans", F.array(F.struct(F.lit(1).alias("start"), F.lit(2).alias("kind"), F.lit(3).alias("end"))))
+    assert secrets.scan_secrets(old, marked)[0].where("get(spans, 0).start = 1").count() == 2
+    assert secrets.scan_secrets(old, marked, version="next")[1].count() == 2
+
+
+@pytest.mark.parametrize("limit", [0, decontaminate.BROADCAST_BYTES])
+def test_decontamination_with_and_without_broadcast(spark, limit):
+    rnd = random.Random(5)
+    word = lambda: rnd.choice(["the", "of", "Äh", "x1", "B", "rare"])
+    items = [(f"i{k}", " ".join(word() for _ in range(n))) for k, n in enumerate([12, 30, 10, 9, 3, 1, 11])] + [("none", None)]
+    texts = []
+    for _ in range(40):
+        parts = [" ".join(word() for _ in range(rnd.randrange(20)))]
+        if rnd.random() < 0.6:
+            w = rnd.choice(items)[1] or ""
+            parts.append(", ".join(w.upper().split()[: rnd.randrange(30)]))
+        texts.append("-".join([*parts, "THE end"]))
+    windows = brute.items_windows(items)
+    out = decontaminate.decontaminate(frame(spark, texts), spark.createDataFrame(items, "item_id string, text string"), broadcast_bytes=limit)
+    for r in out.collect():
+        n, hit, found = brute.contamination(texts[r.doc_id], windows)
+        assert (r.n_words, r.n_hit, r.n_items, r.items_sha256) == (n, hit, len(found), brute.sha(",".join(sorted(found)))), texts[r.doc_id]
+
+
+def test_order_of_rules_never_changes_a_verdict():
+    import numpy as np
+    import pyarrow as pa
+
+    rnd = random.Random(6)
+    texts = [" ".join(rnd.choice(["a", "bb", "#", "CCC", "d" * 40, "\n"]) for _ in range(rnd.randrange(90))) for _ in range(200)]
+    batch = quality.Batch(pa.array(texts))
+    names = list(quality.RULES)
+    want = ~np.logical_or.reduce([quality.RULES[n](batch) for n in names])
+    for _ in range(5):
+        rnd.shuffle(names)
+        assert (quality.cascade(batch, np.ones(200, bool), names, quality.RULES) == want).all()
+
+
+def test_mix_meets_its_targets(spark):
+    rnd = random.Random(8)
+    docs = [(i, " ".join("w" for _ in range(int(rnd.paretovariate(1.2)) * 5 % 400)), rnd.choice(["a", "b", "c", "d", None, "big", "big", "big"])) for i in range(4000)]
+    docs += [(5000, "w " * 30, "tiny"), (5001, "", "empty")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(7)
+    rows = mixing.mix_plan(df).collect()
+    sizes = {}
+    for _, t, s in docs:
+        sizes[s] = sizes.get(s, 0) + len(t.split())
+    want = brute.targets(sizes)
+    taken = {}
+    for r in rows:
+        assert r.target == pytest.approx(want[r.source]) and r.source_size == sizes[r.source] and 0 <= r.copies <= 3
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    for s in sizes:
+        assert abs(taken[s] - want[s]) <= 800  # two of the largest documents
+    again = mixing.mix_plan(df.repartition(3)).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, again))
+    assert mixing.mix(df).count() == sum(r.copies for r in rows)
