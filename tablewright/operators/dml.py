@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.session import persist_to_shared
+
 
 def delete_where(table: DataFrame, condition: Column) -> DataFrame:
     """SQL DELETE: a row goes only if the condition is true, so null results keep it."""
@@ -43,7 +45,7 @@ def upsert(table: DataFrame, source: DataFrame, on: list[str]) -> DataFrame:
     for c in on:
         keyed = F.col(c).isNotNull() if keyed is None else keyed & F.col(c).isNotNull()
     source = source.select(*[F.col(c).cast(t) for c, t in table.dtypes])
-    new = _source_by_key(source.where(keyed), columns, on)
+    new = persist_to_shared(_source_by_key(source.where(keyed), columns, on), "keyed")  # used three times below
     updated = table.join(new, on, "left").select(
         *[
             F.col(c) if c in on else F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c)

@@ -108,7 +108,7 @@ def rule_summary(found: DataFrame, block_rows: int = 1000) -> DataFrame:
     )
 
 
-def repair_orders(orders: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def repair_orders(orders: DataFrame) -> DataFrame:
     """Normalise case and date spelling, then drop every row that still breaks a rule. Nothing is invented:
     a date that could be read day first or month first is not touched, so its row goes.
     """
@@ -125,5 +125,6 @@ def repair_orders(orders: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     fixed = orders.select("row_no", F.expr(f"inline(array(named_struct({fields})))"))  # dates are parsed once
     broken = " OR ".join(f"coalesce({condition}, false)" for _, condition in ROW_RULES.values())
     valid = _parse(fixed, *fixed.columns).where(f"NOT ({broken}) AND NOT isnan(p.amount)").drop("p")
-    again = later_duplicates(valid.select("row_no", "order_id"), F.col("order_id"), "row_no", hot_rows)
-    return valid.join(again.select("row_no"), "row_no", "left_anti")
+    # The first row of each id: one combining exchange, however often an id repeats.
+    first = valid.groupBy("order_id").agg(F.min_by(F.struct(*valid.columns), "row_no").alias("_row"))
+    return first.select("_row.*")

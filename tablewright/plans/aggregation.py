@@ -9,6 +9,7 @@ from tablewright.functions.arrays import map_total
 from tablewright.functions.text import tidy
 from tablewright.operators import aggregates, dedup, features, lineage
 from tablewright.plans.registry import query
+from tablewright.session import persist_to_shared
 from tablewright.sources import objects
 
 
@@ -202,7 +203,7 @@ def _(t):
     file = min(file) OVER (PARTITION BY sha256(content)) AS kept FROM inbox""",
 )
 def _(t):
-    hashed = t.inbox.select("file", F.sha2("content", 256).alias("digest"))
+    hashed = persist_to_shared(t.inbox.select("file", F.sha2("content", 256).alias("digest")), "digests")  # texts are read once
     out = dedup.keep_first(hashed, F.col("digest"), "file")
     return out.select("file", "survivor", (F.col("file") == F.col("survivor")).alias("kept"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tablewright.operators import clean
 from tablewright.plans.registry import query
 from tablewright.plans.shapes import ORDER_SQL, order_rows
+from tablewright.session import persist_to_shared
 
 
 @query("project", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
@@ -121,9 +122,17 @@ def _(t):
     return t.events.where((F.month("ts") == 1) & (F.dayofmonth("ts") == 19)).select("event_id", "event_type", "value")
 
 
-@query("sample_fraction")
+@query("sample_fraction", "SELECT true AS near_share, CAST(0 AS BIGINT) AS n_foreign, true AS same_again, count(*) AS n_rows FROM orders")
 def _(t):
-    return order_rows(t.orders.sample(fraction=0.2, seed=42))
+    """What a random sample guarantees: about the share asked for (six deviations), only rows of the table, the same rows again."""
+    drawn = persist_to_shared(t.orders.sample(fraction=0.2, seed=42), "sample")
+    again = drawn.select("o_orderkey").exceptAll(t.orders.sample(fraction=0.2, seed=42).select("o_orderkey"))
+    n, k = F.col("n_rows"), F.col("n_drawn")
+    return t.orders.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "n_rows", drawn.agg(F.count(F.lit(1))).scalar().alias("n_drawn"),
+        drawn.join(t.orders, t.orders.columns, "left_anti").agg(F.count(F.lit(1))).scalar().alias("n_foreign"),
+        (again.agg(F.count(F.lit(1))).scalar() == 0).alias("same_again"),
+    ).select((F.abs(k - 0.2 * n) <= 6 * F.sqrt(0.16 * n)).alias("near_share"), "n_foreign", "same_again", "n_rows")
 
 
 _SHARE = "CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0"

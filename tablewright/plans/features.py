@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import aggregates, batches, chunks, clean, features, learning, masks, vectors
 from tablewright.plans.registry import query
+from tablewright.session import persist_to_shared
 from tablewright.sources.snapshots import SnapshotStore
 
 
@@ -65,20 +66,39 @@ def _(t):
     )
 
 
-@query("pca_features")
+_TEST_SHARE = "CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0"
+
+
+@query("pca_features", "SELECT i, count(*) AS n_rows, true AS explains_its_share, true AS uncorrelated FROM embeddings, range(6) r(i) GROUP BY i")
 def _(t):
-    out, explained = learning.pca(t.embeddings.select("vec_id", "embedding"), "embedding", 6)
-    return out.select("vec_id", F.col("components"), F.lit(round(sum(explained), 6)).alias("explained"))
+    """Each component's variance is its explained share of all scaled variance, and components do not correlate."""
+    vectors_ = t.embeddings.select("vec_id", "embedding")
+    out, explained = learning.pca(vectors_, "embedding", 6)
+    dims = vectors_.agg(F.max(F.size("embedding"))).first()[0]  # all vectors have one length
+    parts = out.select("components", F.posexplode("components").alias("i", "x"))
+    next_ = F.col("components")[(F.col("i") + 1) % 6]
+    share = F.element_at(F.array(*map(F.lit, explained)), F.col("i") + 1)
+    return parts.groupBy("i", share.alias("share")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.var_samp("x").alias("v"), F.corr("x", next_).alias("r")
+    ).select(F.col("i").cast("long").alias("i"), "n_rows", (F.abs(F.col("v") / dims - F.col("share")) < 1e-6).alias("explains_its_share"), (F.abs("r") < 1e-6).alias("uncorrelated"))
 
 
-@query("train_rf")
+@query(
+    "train_rf",
+    f"""SELECT count(*) AS n_scored, true AS both_known, true AS beats_a_coin FROM labels JOIN documents USING (doc_id)
+    WHERE {_TEST_SHARE} >= 0.8""",
+)
 def _(t):
     rows = t.labels.join(t.documents.select("doc_id", "lang", "source", "n_chars"), "doc_id").withColumn(
         "split", clean.split_label("doc_id")
     )
     model = learning.train_forest(rows.where("split = 'train'"), "quality", ["n_chars", "toxic"], ["lang", "source"])
     scored = model.transform(rows.where("split = 'test'")).select(F.col("quality").alias("label"), F.col("pred").cast("int").alias("pred"))
-    return features.binary_metrics(scored)
+    scored = persist_to_shared(scored, "scored")
+    accuracy = features.binary_metrics(scored).select("accuracy").scalar()
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_scored"), (F.min("pred") >= 0).alias("both_known"), (accuracy >= 0.5).alias("beats_a_coin")
+    )
 
 
 @query(
@@ -116,9 +136,22 @@ def _(t):
     return chunks.fixed_chunks(t.documents, "doc_id").select("doc_id", "chunk_no", "chunk")
 
 
-@query("chunk_text_separators")
+@query(
+    "chunk_text_separators",
+    """SELECT doc_id, true AS fits, true AS in_text, true AS starts, true AS ends, true AS covers FROM documents WHERE regexp_matches(text, '[^\\s]')""",
+)
 def _(t):
-    return chunks.separator_chunks(t.documents, "doc_id")
+    """Per document: no chunk is too long, each stands in the text, the first and last stand at its ends, and together
+    they are no shorter than the text without its blanks."""
+    cut = chunks.separator_chunks(t.documents, "doc_id").join(t.documents.select("doc_id", "text"), "doc_id")
+    bare = F.length(F.regexp_replace("text", r"\s", ""))
+    trimmed = F.regexp_replace("text", r"^\s+|\s+$", "")
+    return cut.groupBy("doc_id").agg(
+        (F.max(F.length("chunk")) <= 1000).alias("fits"), F.min(F.contains("text", "chunk")).alias("in_text"),
+        F.startswith(F.any_value(trimmed), F.min_by("chunk", "chunk_no")).alias("starts"),
+        F.endswith(F.any_value(trimmed), F.max_by("chunk", "chunk_no")).alias("ends"),
+        (F.sum(F.length(F.regexp_replace("chunk", r"\s", ""))) >= F.any_value(bare)).alias("covers"),
+    )
 
 
 _QUERY_VECTOR = "(SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1)"

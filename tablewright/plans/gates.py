@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tablewright.operators import clean, diff, gates, publish, rules
 from tablewright.plans.registry import query
 from tablewright.plans.shapes import joined_list
+from tablewright.session import persist_to_shared
 from tablewright.sources import scans
 from tablewright.sources.snapshots import SnapshotStore
 
@@ -278,7 +279,7 @@ def _(t):
 
 @query("validate_progressive", f"SELECT * FROM ({_found_sql(1, 2, 3)}) WHERE phase = 1")
 def _(t):
-    return rules.first_failing_phase(rules.order_findings(t.orders_dirty))
+    return rules.first_failing_phase(persist_to_shared(rules.order_findings(t.orders_dirty), "findings"))
 
 
 @query(

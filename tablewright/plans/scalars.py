@@ -25,9 +25,16 @@ def _(t):
     return t.orders_dirty.select("row_no", F.expr(numbers.to_number("amount")).alias("amount"))
 
 
-@query("fn_rand")
+@query("fn_rand", "SELECT count(*) AS n_rows, true AS in_range, true AS centred, true AS distinct_values FROM customer")
 def _(t):
-    return t.customer.select("c_custkey", F.rand(10).alias("amount"))
+    """Bounds, mean (six deviations) and hardly a repeat: what uniform numbers owe whatever the seed."""
+    drawn = t.customer.select("c_custkey", F.rand(10).alias("amount"))
+    n = F.count(F.lit(1))
+    return drawn.agg(
+        n.alias("n_rows"), ((F.min("amount") >= 0) & (F.max("amount") < 1)).alias("in_range"),
+        (F.abs(F.avg("amount") - 0.5) <= 6 * F.sqrt(1 / (12 * n))).alias("centred"),
+        (F.approx_count_distinct("amount") >= 0.8 * n).alias("distinct_values"),
+    )
 
 
 @query("fn_parse_ts", "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS parsed FROM events")

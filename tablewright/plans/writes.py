@@ -164,11 +164,16 @@ def _(t):
     return t.spark.read.parquet(path)
 
 
-@query("export_manifest")
+@query(
+    "export_manifest",
+    """SELECT 'orders' AS "table", 'main' AS ref, count(*) AS n_rows, 6 AS n_columns, 'o_orderkey' AS first_column FROM orders""",
+)
 def _(t):
     store = _store(t)
     store.overwrite("main", "orders", t.orders)
-    return sinks.export_manifest(store.read("orders", "main"), "orders", "main")
+    listed = sinks.export_manifest(store.read("orders", "main"), "orders", "main")
+    names = F.from_json(F.get_json_object("schema_json", "$.fields"), F.lit("array<struct<name:string>>"))
+    return listed.groupBy("table", "ref", F.size(names).alias("n_columns"), names[0]["name"].alias("first_column")).agg(F.sum("n_rows").alias("n_rows"))
 
 
 @query("write_coalesced", "SELECT count(*) AS n_rows, true AS few_files FROM lineitem")

@@ -36,9 +36,9 @@ def import_prefixes(manifest: DataFrame, mapping: dict[str, str]) -> DataFrame:
     )
 
 
-def without_files(rows: DataFrame, dropped: DataFrame) -> DataFrame:
-    """A table after some of its files were deleted from the listing: rows carry their ``file_path``."""
-    return rows.join(dropped.select(F.col("path").alias("file_path")), "file_path", "left_anti").drop("file_path")
+def read_files(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
+    """The table below ``root`` from the listed files (``path``) only. Names pass through the driver, as for any scan."""
+    return spark.read.option("basePath", root).parquet(*[r["path"] for r in files.select("path").toLocalIterator()])
 
 
 def import_by_label(manifest: DataFrame, label: str, replace: tuple[str, str]) -> DataFrame:
