@@ -14,7 +14,7 @@ def _repeated(df: DataFrame, key: str, *aggs: Column) -> DataFrame:
     )
 
 
-def later_duplicates(df: DataFrame, key: Column, order: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def later_duplicates(df: DataFrame, key: Column, order: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Rows that repeat a key seen at a smaller ``order``; null keys never repeat. Adds ``first_<order>``."""
     keyed = df.withColumn("_key", key)
     firsts = _repeated(keyed, "_key", F.min(order).alias(f"first_{order}"))
@@ -25,7 +25,7 @@ def later_duplicates(df: DataFrame, key: Column, order: str, hot_rows: int = HOT
     )
 
 
-def keep_first(df: DataFrame, key: Column, order: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def keep_first(df: DataFrame, key: Column, order: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """All rows with ``survivor``: the smallest ``order`` among rows of equal key (itself if unique)."""
     keyed = df.withColumn("_key", key)
     firsts = _repeated(keyed, "_key", F.min(order).alias("_first"))
@@ -36,7 +36,7 @@ def keep_first(df: DataFrame, key: Column, order: str, hot_rows: int = HOT_ROWS)
     )
 
 
-def shared_keys(df: DataFrame, key: Column, row_id: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def shared_keys(df: DataFrame, key: Column, row_id: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """All rows with ``n_same``: how many rows share the key; 1 where the key is unique or null."""
     keyed = df.withColumn("_key", key)
     counts = _repeated(keyed, "_key").withColumn("n_same", F.col("_n"))

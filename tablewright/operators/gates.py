@@ -69,7 +69,7 @@ def commit_metadata(commits: DataFrame, rules: dict[str, str | None]) -> DataFra
     return findings(found, "commit_metadata", F.col("commit_id"), F.col("problem"))
 
 
-def nearest_descriptor(objects: DataFrame, descriptors: DataFrame, name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def nearest_descriptor(objects: DataFrame, descriptors: DataFrame, name: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """For each object the descriptor file in its folder or the nearest folder above; null if there is none.
 
     Objects are first counted per folder, so the ancestor join carries one row per folder and depth;

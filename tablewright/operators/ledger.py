@@ -93,7 +93,7 @@ def receipt_rules(typed: DataFrame, today: str, cap: float = POLICY_CAP) -> Data
     )
 
 
-def apply_uniqueness(drafts: DataFrame, verdicts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def apply_uniqueness(drafts: DataFrame, verdicts: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Final verdicts: a draft without one is rejected, and so is every bearer of a repeated invoice number.
 
     ``drafts`` (source_file, invoice_no), ``verdicts`` (source_file, outcome, reasons).
@@ -113,7 +113,7 @@ def apply_uniqueness(drafts: DataFrame, verdicts: DataFrame, hot_rows: int = HOT
     )
 
 
-def triage(inbox: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def triage(inbox: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """First reason to drop a file: byte-identical to an earlier one, unreadable, not a receipt; else null.
 
     ``inbox`` (file, digest, readable, is_receipt). Copies of one content may be very many.
@@ -149,7 +149,7 @@ def accounting(inbox: DataFrame, outcomes: DataFrame) -> DataFrame:
     return each.unionByName(none.selectExpr("'nothing accepted' AS problem", "2 AS phase", "cast(NULL AS string) AS source_file"))
 
 
-def recheck(typed: DataFrame, decided: DataFrame, today: str, cap: float = POLICY_CAP, hot_rows: int = HOT_ROWS) -> DataFrame:
+def recheck(typed: DataFrame, decided: DataFrame, today: str, cap: float = POLICY_CAP, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Accepted rows that break policy when judged again from the typed fields: (source_file, why).
 
     Only this direction blocks; a rejected row that looks fine does not. Invoice numbers are

@@ -53,7 +53,7 @@ def _parse(orders: DataFrame, *keep: str) -> DataFrame:
     return orders.select(*keep, F.expr(f"inline(array(named_struct('p', named_struct({fields}))))"))
 
 
-def order_findings(orders: DataFrame, phases: tuple[int, ...] = (1, 2, 3), hot_rows: int = HOT_ROWS) -> DataFrame:
+def order_findings(orders: DataFrame, phases: tuple[int, ...] = (1, 2, 3), hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Findings (phase, rule, row_no). Only the uniqueness rule needs a shuffle, of ids that repeat."""
     checks = ", ".join(
         f"CASE WHEN {broken} THEN named_struct('phase', {phase}, 'rule', {quoted(rule)}) END"
@@ -76,7 +76,7 @@ def first_failing_phase(found: DataFrame) -> DataFrame:
     return found.where(F.col("phase") == counts.agg(F.min("phase")).scalar())
 
 
-def report(orders: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def report(orders: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """One row: status, first failing phase and its name, rows looked at, and ``rule:rows`` of that phase.
 
     There are as many (phase, rule) counts as rules, so the last steps handle a dozen rows.

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with at least this many rows counts as hot. There can be at most (rows / HOT_ROWS) such keys,
-# which bounds what is broadcast: a trillion rows give at most a million entries.
-HOT_ROWS = 1_000_000
+# A key is hot if it holds an even share of all keyed rows, one part in ``spark.sql.shuffle.partitions``: more than a
+# task should get. So there are never more hot keys than partitions, which bounds what is broadcast. A number given
+# instead sets the share by hand.
+HOT_ROWS: int | None = None
 SALTS = 4096
 
 
 def join_per_key(
     rows: DataFrame, per_key: DataFrame, on: list[str], weight: str, spread: str,
-    how: str = "inner", hot_rows: int = HOT_ROWS, salts: int = SALTS,
+    how: str = "inner", hot_rows: int | None = HOT_ROWS, salts: int = SALTS,
 ) -> DataFrame:
     """Join ``rows`` to ``per_key`` (unique on ``on``; ``weight`` = how many of the rows have that key).
 
@@ -26,7 +27,11 @@ def join_per_key(
         raise ValueError(how)
     values = [c for c in per_key.columns if c not in on and c != weight]
     entry = F.struct(F.lit(True).alias("_found"), *values)
-    hot = F.col(weight) >= hot_rows
+    if hot_rows is None:
+        share = per_key.agg(F.sum(weight).cast("double")).scalar() / int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        hot = (F.col(weight) > 1) & (F.col(weight) >= share)
+    else:
+        hot = F.col(weight) >= hot_rows
     heavy = F.broadcast(per_key.where(hot).select(*on, entry.alias("_heavy")))
     # Always 0, but computed: a literal would be folded out of the join key and thus out of the shuffle.
     zero = F.pmod(F.col(weight).cast("bigint"), F.lit(1)).alias("_salt")
