@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import string
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,8 @@ from tablewright.session import persist_to_shared
 # The two word patterns of the contracts.
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 PLAIN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # the same words before A-Z is lowered
+# The same words before A-Z is lowered, as ranges with the commonest first: several times faster than a negated class.
+ANY_CASE_WORD = r"[a-zA-Z0-9\x80-\x{10FFFF}]+"
 NOT_PLAIN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 AT = "__at"
@@ -77,9 +79,14 @@ def running(df: DataFrame, order: list[Column], sums: tuple[str, ...] = ()) -> D
 
 
 def release(spark: SparkSession) -> None:
-    """Let the context cleaner drop shuffle files of steps whose results are already written."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let the context cleaner drop shuffle files of steps whose results are already written.
+
+    The second round catches what finished jobs and Python's proxies still held in the first.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def replaced(df: DataFrame, names: list[str]) -> DataFrame:
