@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import operator
+from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,7 +56,7 @@ NOTICES = (
     ("public-domain", "(?:dedicated to|released into|in) the public domain", "public domain", 0.8, 40),
     ("cc0", "cc0(?: 1 0)?(?: universal)?", "cc0", 0.9, 60),
     ("unlicense", "(?:the unlicense|unlicense org)", "unlicense", 0.9, 60),
-    ("wtfpl", "do what the (?:fuck|f) you want to public license", "do what the", 0.9, 60),
+    ("wtfpl", "do what the (?:fuck|f) you want to public license", "want to public", 0.9, 60),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy", "hereby granted", 0.95, 80),
     ("isc", "permission to use copy modify and or distribute this software for any purpose", "distribute this software", 0.95, 80),
     ("bsd", "redistribution and use in source and binary forms with or without modification", "source and binary forms", 0.95, 80),
@@ -132,18 +134,25 @@ def places(norm: Column, pattern: Column) -> Column:
     return F.aggregate(pieces, F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
 
 
-def rule_table() -> Column:
-    fields = ("label", "pattern", "keyword", "confidence", "priority")
-    return F.array(*[
-        F.struct(F.lit(i).alias("rule"), *[F.lit(getattr(r, f)).alias(f) for f in fields]) for i, r in enumerate(rules())
-    ])
+def rules_by_keyword() -> dict[str, Column]:
+    fields = ("label", "pattern", "confidence", "priority")
+    found: dict[str, list[Column]] = {}
+    for i, r in enumerate(rules()):
+        found.setdefault(r.keyword, []).append(F.struct(F.lit(i).alias("rule"), *[F.lit(getattr(r, f)).alias(f) for f in fields]))
+    return {k: F.array(*v) for k, v in found.items()}
 
 
-def suspect(text: Column) -> Column:
-    """False only where no rule can match: every rule needs the longest word of its keyword, in any case."""
-    stems = sorted({max(r.keyword.split(), key=len) for r in rules()}, key=lambda w: (len(w), w))
-    needed = [w for w in stems if not any(o != w and o in w for o in stems)]  # the shorter stand for the longer
-    return text.rlike(f"(?i:{'|'.join(needed)})")
+def suspect(text: Column, phrases: Iterable[str]) -> Column:
+    """False only where none of the phrases can stand: all words of one have to occur, in any case."""
+    keywords = sorted({frozenset(p.split()) for p in phrases}, key=lambda k: (len(k), sorted(k)))
+    needed = [sorted(k, key=len, reverse=True) for k in keywords if not any(o < k for o in keywords)]  # fewer words stand for more
+
+    def holds(low: Column) -> Column:
+        return reduce(operator.or_, [reduce(operator.and_, [F.contains(low, F.lit(w)) for w in k]) for k in needed])
+
+    # An array of one, so that the text is lowered once for all words. Beyond ASCII, lowering may change letters,
+    # but it keeps those of a keyword.
+    return F.exists(F.array(F.lower(text)), holds)
 
 
 def detections(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -152,9 +161,12 @@ def detections(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     A document meets only rules whose keyword it contains. A detection inside the interval of one with a
     higher priority (then: a longer one, then an earlier rule) is suppressed. Work per document is bounded by its text.
     """
-    gated = keyed(docs.where(suspect(whole(text))), spaced(whole(text)).alias("norm"), text=text, key=key)
-    due = F.filter(rule_table(), lambda r: F.contains(F.col("norm"), F.replace(r["keyword"], F.lit(" "), F.lit("  "))))
-    pairs = gated.select("__id", "__text", "norm", F.explode(due).alias("r"))
+    by_keyword = rules_by_keyword()
+    gated = keyed(docs.where(suspect(whole(text), by_keyword)), spaced(whole(text)).alias("norm"), text=text, key=key)
+    present = F.filter(F.array(*map(F.lit, by_keyword)), lambda k: F.contains(F.col("norm"), F.replace(k, F.lit(" "), F.lit("  "))))
+    named = gated.select("__id", "__text", "norm", F.explode(present).alias("keyword"))
+    due = F.create_map(*[x for k, v in by_keyword.items() for x in (F.lit(k), v)])
+    pairs = named.select("__id", "__text", "norm", F.explode(F.element_at(due, F.col("keyword"))).alias("r"))
     spans = pairs.select("__id", "__text", "r.rule", "r.label", "r.confidence", "r.priority", F.explode(places(F.col("norm"), F.col("r.pattern"))).alias("s"))
     # (rule, start, end) is distinct, so repeated rows of a document fold into one.
     found = spans.groupBy("__id", "__text").agg(
@@ -174,7 +186,7 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     made = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "detections"]
     kept = replaced(docs, made).columns
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(key).alias("__id"), F.xxhash64(whole(text)).alias("__text"),
-                       F.when(suspect(whole(text)), spaced(whole(text))).otherwise("").alias("__norm"),
+                       F.when(suspect(whole(text), BASE), spaced(whole(text))).otherwise("").alias("__norm"),
                        F.regexp_count(whole(text), F.lit(ANY_CASE_WORD)).cast("long").alias("n_words"))
     # Cut before each base phrase; "^" keeps a phrase at the very start from losing its empty first piece.
     phrases = "|".join(p.replace(" ", "  ") for p in BASE)
