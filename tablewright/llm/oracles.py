@@ -60,7 +60,7 @@ m as (
     from d left join rep using (doc_id)),
 f as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       not base_failed and 2 * n_symbols <= n_words and 2 * n_dup_lines <= n_lines and up <= low and word_chars <= 25 * n_words as kept
+       not base_failed and 10 * n_symbols <= 3 * n_words and 2 * n_dup_lines <= n_lines and up <= low and word_chars <= 25 * n_words as kept
 from f
 """
 

@@ -91,7 +91,7 @@ Rule = Callable[[Batch], np.ndarray]
 RULES: dict[str, Rule] = {
     "few_words": lambda b: b.n_words < 50,
     "repeated_words": lambda b: 100 * b.n_repeat_words > 50 * b.n_words,
-    "symbols": lambda b: 2 * b.n_symbols > b.n_words,
+    "symbols": lambda b: 10 * b.n_symbols > 3 * b.n_words,
     "repeated_lines": lambda b: 2 * b.lines[1] > b.lines[0],
     "shouting": lambda b: b.upper > b.lower,
     "long_words": lambda b: b.word_chars > 25 * b.n_words,
