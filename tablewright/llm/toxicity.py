@@ -22,6 +22,7 @@ RUNS = (4, 5)
 TERMS = 4096  # most terms the model keeps, by how much they tell
 LEAST_DOCS, LEAST_CHI2 = 5, 25.0
 FACTORS, EPOCHS, STEP, DECAY = 8, 12, 0.02, 1e-4
+BATCH, LEAST_STEPS = 512, 600  # a small sample is gone through more often
 THRESHOLD = 0.7
 
 # ASCII letters and digits in lower case and all bytes of other scripts make words.
@@ -96,10 +97,10 @@ def learn(term: np.ndarray, owner: np.ndarray, label: np.ndarray, n_terms: int,
     bias = float(np.log(rate / (1 - rate)))
     m, s, mb, sb, step = np.zeros_like(theta), np.zeros_like(theta), 0.0, 0.0, 0
     borders = np.searchsorted(owner, np.arange(rows + 1))
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS * BATCH // max(rows, 1)) if rows else 0)):
         shuffled = rng.permutation(rows)
-        for lo in range(0, rows, 512):
-            pick = shuffled[lo : lo + 512]
+        for lo in range(0, rows, BATCH):
+            pick = shuffled[lo : lo + BATCH]
             size = borders[pick + 1] - borders[pick]
             at = np.repeat(borders[pick] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
             t, r = term[at], np.repeat(np.arange(len(pick)), size)
