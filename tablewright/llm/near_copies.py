@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 from tablewright.llm import arrays, graph
 from tablewright.llm.arrays import U64
 from tablewright.llm.shared import release, whole
-from tablewright.session import persist_to_shared
+from tablewright.session import discard, persist_to_shared
 
 WORDS = 5  # words per shingle
 PERCENT = 80  # least similarity, as a percentage
 SKETCH_BITS = 20  # the frequency sketch has 2**20 counters whatever the size of the corpus
 BLOCK = 1 << 12  # counters per row of the sketch
-PARTS = 32  # partitions of the shingle space for the suffix filter
+PARTS = 256  # partitions of the shingle space for the suffix filter
+MANY = 255  # shingles in one part from which on their number is not told
 
 TABLE = arrays.byte_table(arrays.SPACES, lower=True)
 
@@ -85,8 +86,8 @@ def needed(a: Column, b: Column, percent: int) -> Column:
 def prefix_index(docs: DataFrame, counts, words: int, percent: int) -> DataFrame:
     """Rows ``(h, doc, n, pos)``: the rarest shingles of each set, as many as a similar set cannot miss all of.
 
-    Within a task only the first of equal sets is indexed; the others are linked to it by ``same_as`` rows
-    (``h`` null, ``pos`` the set size, ``n`` the first one's id stands in ``same_as``).
+    There is also one row per document with a null ``h``: ``n`` is its set's size and ``same_as`` the first document
+    of the same task with an equal set. Only that first one is indexed, so a hot text leaves a task once.
     """
     rarity = docs.sparkSession.sparkContext.broadcast(counts)  # 2**SKETCH_BITS counters
 
@@ -128,8 +129,9 @@ def prefix_index(docs: DataFrame, counts, words: int, percent: int) -> DataFrame
 def shared_prefixes(index: DataFrame, percent: int) -> DataFrame:
     """Entries of shingles that several documents have: ``(h, doc, n, pos, star, star_n, star_pos)``.
 
-    Each task walks its sorted part batch by batch. ``star`` is the smallest set of the shingle that the length
-    filter lets meet this one; entries alone with their shingle link nothing and go.
+    Each task walks its sorted part batch by batch. ``star`` is, of the sets that the length filter lets meet this
+    one, that with the fewest rarer shingles: the text a group of near copies comes from has none of its own, so
+    most of the group links to it. Entries alone with their shingle link nothing and go.
     """
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,8 +158,9 @@ def shared_prefixes(index: DataFrame, percent: int) -> DataFrame:
             if carried:
                 run = np.cumsum(new) == 0
                 sd, sn, sp = np.where(run, star[1], sd), np.where(run, star[2], sn), np.where(run, star[3], sp)
-            while True:  # sets too long for their star get the first such set of the run as star
-                far = 100 * sn < percent * n.astype(np.int64)
+            while True:  # sets too long or short for their star get the first such set of the run as star
+                own = n.astype(np.int64)
+                far = (100 * sn < percent * own) | (100 * own < percent * sn)
                 if not far.any():
                     break
                 run_no = np.cumsum(new)
@@ -174,13 +177,17 @@ def shared_prefixes(index: DataFrame, percent: int) -> DataFrame:
             )
 
     schema = "h long, doc long, n int, pos int, star long, star_n int, star_pos int"
-    placed = index.where("h is not null").select("h", "doc", "n", "pos").repartition("h").sortWithinPartitions("h", "n", "doc")
+    placed = index.where("h is not null").select("h", "doc", "n", "pos").repartition("h").sortWithinPartitions("h", "pos", "n", "doc")
     return placed.mapInArrow(walk, schema)
 
 
 def possible(n: Column, pos: Column, m: Column, at: Column, percent: int) -> Column:
-    """Length and positional filters: two sets that share the shingle at these places can still be similar."""
-    most = F.least(pos, at) + 1 + F.least(n - pos - 1, m - at - 1)
+    """Length and positional filters: two sets whose first shared shingle stands at these places can still be similar.
+
+    Both orders are the same, so nothing before the first shared shingle is shared. Later ones may fail: a similar
+    pair needs the row of its first one only.
+    """
+    most = F.least(n - pos, m - at)
     return (n * 100 >= m * percent) & (m * 100 >= n * percent) & (most * (100 + percent) >= needed(n, m, percent))
 
 
@@ -196,7 +203,7 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
         for batch in arrays.small(batches, 1):
             hashes, borders = shingle_sets(batch.column(1), words)
             raw = hashes.tobytes()
-            parts = [np.bincount((hashes[lo:hi] & U64(PARTS - 1)).astype(np.int64), minlength=PARTS).astype(np.uint32).tobytes()
+            parts = [np.minimum(np.bincount((hashes[lo:hi] & U64(PARTS - 1)).astype(np.int64), minlength=PARTS), MANY).astype(np.uint8).tobytes()
                      for lo, hi in zip(borders[:-1], borders[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pa.array([raw[8 * lo : 8 * hi] for lo, hi in zip(borders[:-1], borders[1:], strict=True)], pa.binary()), pa.array(parts, pa.binary()),
@@ -204,9 +211,10 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
 
     def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, PARTS).astype(np.int64) for i in (2, 3))
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, PARTS).astype(np.int32) for i in (2, 3))
             most = np.minimum(x, y).sum(axis=1)
             fits = most * (100 + percent) >= (x.sum(axis=1) + y.sum(axis=1)) * percent
+            fits |= ((x == MANY) | (y == MANY)).any(axis=1)  # numbers unknown: no bound
             yield batch.select(["a", "b"]).filter(pa.array(fits))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,13 +230,17 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
 
     texts = docs.join(wanted, F.col("doc") == F.col("__id"), "left_semi")
     held = persist_to_shared(texts.mapInArrow(sets, "id long, shingles binary, parts binary"), "sets")
+    release(docs.sparkSession)
 
     def joined(pairs: DataFrame, column: str, then) -> DataFrame:
         one, other = (held.select(F.col("id").alias(f"__{s}"), F.col(column).alias(s)) for s in ("x", "y"))
         return pairs.join(one, F.col("a") == F.col("__x")).join(other, F.col("b") == F.col("__y")).select("a", "b", "x", "y").mapInArrow(then, "a long, b long")
 
     left = persist_to_shared(joined(pairs, "parts", may), "pairs")
-    return persist_to_shared(joined(left, "shingles", compare), "links")
+    links = persist_to_shared(joined(left, "shingles", compare), "links")
+    discard(held, left)
+    release(docs.sparkSession)
+    return links
 
 
 def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -247,13 +259,13 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc"), whole(text).alias("text"))
     index = persist_to_shared(prefix_index(rows, frequencies(rows, words), words, percent), "index")
     release(spark)
-    same = index.where("h is null")
+    same = persist_to_shared(index.where("h is null").select("doc", "n", "same_as"), "sizes")
     hits = persist_to_shared(shared_prefixes(index, percent), "hits")
+    discard(index)
     release(spark)
     star = hits.where((F.col("star") != F.col("doc")) & possible(F.col("n"), F.col("pos"), F.col("star_n"), F.col("star_pos"), percent))
     pairs = persist_to_shared(star.select(F.col("star").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
     links = verified(pairs, rows, words, percent)
-    release(spark)
     copies = same.where("same_as is not null and same_as != doc").select(F.col("same_as").alias("a"), F.col("doc").alias("b"))
     first = graph.components(links)
 
@@ -261,18 +273,29 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     root = first.select(F.col("node").alias("__n"), F.col("root").alias("__r"))
     named = hits.join(root, F.col("doc") == F.col("__n"), "left").select("h", "doc", "n", "pos", F.coalesce("__r", "doc").alias("c"))
     named = persist_to_shared(named, "named")
+    discard(hits)
     per = named.groupBy("h", "c").agg(F.count("*").alias("k")).groupBy("h").agg(F.max_by("c", "k").alias("main"), F.count("*").alias("cs"))
     open_ = named.join(per.where("cs > 1").select(F.col("h").alias("__h"), "main"), F.col("h") == F.col("__h")).drop("__h")
     open_ = persist_to_shared(open_, "open")
+    discard(named)
+    release(spark)
     other = open_.select(F.col("h").alias("__h"), F.col("doc").alias("__d"), F.col("n").alias("__m"), F.col("pos").alias("__p"), F.col("c").alias("__c"))
     once = (F.col("__c") == F.col("main")) | (F.col("doc") < F.col("__d"))
     meet = open_.where("c != main").join(
         other, (F.col("h") == F.col("__h")) & (F.col("c") != F.col("__c")) & once & possible(F.col("n"), F.col("pos"), F.col("__m"), F.col("__p"), percent)
-    ).select(F.least("doc", "__d").alias("a"), F.greatest("doc", "__d").alias("b")).distinct()
+    ).select(
+        F.least("doc", "__d").alias("a"), F.greatest("doc", "__d").alias("b"), (F.col("n") + F.col("__m")).alias("both"),
+        F.when(F.col("doc") < F.col("__d"), F.col("n") - F.col("pos")).otherwise(F.col("__m") - F.col("__p")).alias("left_a"),
+        F.when(F.col("doc") < F.col("__d"), F.col("__m") - F.col("__p")).otherwise(F.col("n") - F.col("pos")).alias("left_b"),
+    )
+    # Up to the last of these shingles exactly ``count`` are shared; what stands behind it may be.
+    most = F.count("*") - 1 + F.least(F.min("left_a"), F.min("left_b"))
+    meet = meet.groupBy("a", "b").agg((most * (100 + percent) >= F.max("both") * percent).alias("fits")).where("fits").select("a", "b")
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = persist_to_shared(meet.join(done, ["a", "b"], "left_anti"), "pairs")
-    late = verified(more, rows, words, percent)
+    discard(open_)
     release(spark)
+    late = verified(more, rows, words, percent)
     found = graph.components(copies.union(links).union(late))
     found = found.select(F.col("node").alias("__n"), F.col("root").alias("__r"))
     return same.join(found, F.col("doc") == F.col("__n"), "left").select(
