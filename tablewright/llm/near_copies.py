@@ -18,6 +18,7 @@ WORDS = 5  # words per shingle
 PERCENT = 80  # least similarity, as a percentage
 SKETCH_BITS = 20  # the frequency sketch has 2**20 counters whatever the size of the corpus
 BLOCK = 1 << 12  # counters per row of the sketch
+FILTER_BITS = 26  # size of the bitmap of ids that verification asks for: 8 MB
 PARTS = 256  # partitions of the shingle space for the suffix filter
 MANY = 255  # shingles in one part from which on their number is not told
 
@@ -78,6 +79,37 @@ def frequencies(docs: DataFrame, words: int) -> np.ndarray:
     return out
 
 
+def id_bits(ids: np.ndarray) -> np.ndarray:
+    return (arrays.mixed(ids.astype(np.int64).view(U64)) >> U64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size that holds the hashes of all ids: it may let others pass, but loses none."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(1 << FILTER_BITS - 3, np.uint8)
+        for batch in batches:
+            at = id_bits(batch.column(0).to_numpy(zero_copy_only=False))
+            np.bitwise_or.at(seen, at >> 3, (1 << (at & 7)).astype(np.uint8))
+        for b in range(0, len(seen), BLOCK):
+            if seen[b : b + BLOCK].any():
+                yield pa.RecordBatch.from_pydict({"block": [b // BLOCK], "bits": [seen[b : b + BLOCK].tobytes()]})
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[int, np.ndarray] = {}  # at most all blocks of the bitmap
+        for batch in batches:
+            for block, bits in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                blocks[block] = blocks.get(block, 0) | np.frombuffer(bits, np.uint8)
+        for block, bits in blocks.items():
+            yield pa.RecordBatch.from_pydict({"block": [block], "bits": [bits.tobytes()]})
+
+    schema = "block long, bits binary"
+    out = np.zeros(1 << FILTER_BITS - 3, np.uint8)
+    for row in ids.mapInArrow(mark, schema).repartition("block").mapInArrow(unite, schema).collect():  # 8 MB at most
+        out[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(row["bits"], np.uint8)
+    return out
+
+
 def needed(a: Column, b: Column, percent: int) -> Column:
     """Least size of the common set of two sets of these sizes, times 100 + percent."""
     return (a + b) * percent
@@ -197,10 +229,16 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
     Before whole sets travel, a suffix filter compares how many shingles the two sets have in each of ``PARTS``
     parts of the shingle space: they cannot share more than the smaller number of each part.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("__id")).distinct()
+    # Texts stay where they are: a bitmap of the wanted ids travels to them, and only the sets of wanted documents
+    # move. Those it lets pass by chance meet no pair.
+    wanted = docs.sparkSession.sparkContext.broadcast(id_filter(pairs.select(F.explode(F.array("a", "b")).alias("id"))))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrays.small(batches, 1):
+            at = id_bits(batch.column(0).to_numpy(zero_copy_only=False))
+            batch = batch.filter(pa.array((wanted.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
+            if not batch.num_rows:
+                continue
             hashes, borders = shingle_sets(batch.column(1), words)
             raw = hashes.tobytes()
             parts = [np.minimum(np.bincount((hashes[lo:hi] & U64(PARTS - 1)).astype(np.int64), minlength=PARTS), MANY).astype(np.uint8).tobytes()
@@ -228,8 +266,7 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
                 similar.append(100 * both >= percent * (len(merged) - both))
             yield batch.select(["a", "b"]).filter(pa.array(similar, pa.bool_()))
 
-    texts = docs.join(wanted, F.col("doc") == F.col("__id"), "left_semi")
-    held = persist_to_shared(texts.mapInArrow(sets, "id long, shingles binary, parts binary"), "sets")
+    held = persist_to_shared(docs.mapInArrow(sets, "id long, shingles binary, parts binary"), "sets")
     release(docs.sparkSession)
 
     def joined(pairs: DataFrame, column: str, then) -> DataFrame:
