@@ -34,7 +34,6 @@ CLOSES = {
 SHIELDS = frozenset("td th table body html template".split())
 UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
 TAG = re.compile(r"<[a-zA-Z/!?]")
-BOGUS = re.compile(r"<!\[[^>]*>?")
 
 
 class Node:
@@ -115,6 +114,10 @@ class Tree(HTMLParser):
             if own in SHIELDS and tag not in ("table", "tr", "tbody", "thead", "tfoot", "body", "td", "th"):
                 return
 
+    def parse_html_declaration(self, i):
+        """``<![if ...]>`` and the like show nothing up to the next ``>``; in comments and scripts they are plain characters."""
+        return self.parse_bogus_comment(i) if self.rawdata.startswith("<![", i) else super().parse_html_declaration(i)
+
     def handle_data(self, data):
         if self.open[-1].tag == "head" and data.strip():
             self._drop(len(self.open) - 1)
@@ -282,7 +285,6 @@ def page_text(html: str | None) -> str:
     """Visible text of one page; null, empty and tagless input are fine."""
     if not html:
         return ""
-    html = BOGUS.sub("", html)
     unfinished = TAG.search(html, html.rfind(">") + 1)  # a tag that the page's end cuts off shows nothing
     tree = Tree()
     tree.feed(html[: unfinished.start()] if unfinished else html)

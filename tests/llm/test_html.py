@@ -26,6 +26,22 @@ CASES = {
 }
 
 
+# Declarations that are no comments, and comments that hold them.
+CONDITIONAL = {
+    "<!--[if lt IE 9]><p>old</p><![endif]--></head><body><p>Visible one</p><!-- x --><p>two</p>": "Visible one\n\ntwo",
+    "<!--[if lt IE 9]><p>old</p><![endif]--><p>Visible one</p>": "Visible one",
+    "<!--[if !IE]><!--><p>shown</p><!--<![endif]--><p>two": "shown\n\ntwo",
+    "<![if !IE]><p>shown</p><![endif]><p>two": "shown\n\ntwo",
+    "a<![CDATA[ x > y": "a y",
+    "a<script>//<![CDATA[\nif (1 > 0) x();\n//]]></script>b<![cut": "ab",
+}
+
+
+@pytest.mark.parametrize("html", CONDITIONAL)
+def test_conditional_comments(html):
+    assert page_text(html) == CONDITIONAL[html]
+
+
 @pytest.mark.parametrize("html", CASES)
 def test_cases(html):
     assert page_text(html) == CASES[html]
