@@ -17,7 +17,14 @@ from tablewright.llm.shared import replaced
 WIDEST = 40  # cells are aligned up to this width; longer ones stick out, so a page cannot blow up
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head script style template noscript title object iframe svg math audio video canvas datalist".split())
+HIDDEN = frozenset("head script style template noscript title object iframe audio video canvas datalist".split())
+# Drawings and formulas show their text, except for these elements; each tag means this only inside svg or math.
+UNDRAWN = {
+    "svg": frozenset("desc defs metadata symbol clippath mask pattern marker filter lineargradient radialgradient".split()),
+    "math": frozenset("annotation annotation-xml mphantom".split()),
+}
+APART = {"svg": frozenset(["text"]), "math": frozenset("mi mn mo ms mtext".split())}  # drawn at places of their own
+HEAD_CONTENT = frozenset("head base basefont bgsound link meta noframes noscript script style template title".split())
 # Blank lines around a block.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure fieldset hr".split())
 BLOCKS = SPACED | frozenset(
@@ -37,15 +44,16 @@ TAG = re.compile(r"<[a-zA-Z/!?]")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "inside")
 
-    def __init__(self, tag: str, attrs: dict):
+    def __init__(self, tag: str, attrs: dict, inside: str = ""):
         self.tag, self.attrs, self.children = tag, attrs, []
+        self.inside = inside  # svg, math or nothing
 
     def hidden(self) -> bool:
         a = self.attrs
         return (
-            self.tag in HIDDEN or "hidden" in a or a.get("aria-hidden") == "true"
+            self.tag in HIDDEN or self.inside and self.tag in UNDRAWN[self.inside] or "hidden" in a or a.get("aria-hidden") == "true"
             or bool(a.get("style") and UNSEEN.search(a["style"])) or self.tag == "dialog" and "open" not in a
         )
 
@@ -80,8 +88,11 @@ class Tree(HTMLParser):
         if tag in ("td", "th") and top in ("table", "thead", "tbody", "tfoot"):
             self._push("tr", {})
 
+    def _inside(self) -> str:
+        return "svg" if self.count["svg"] else "math" if self.count["math"] else ""
+
     def _push(self, tag: str, attrs: dict) -> None:
-        node = Node(tag, attrs)
+        node = Node(tag, attrs, self._inside())
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
@@ -90,18 +101,20 @@ class Tree(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag == "html":
             return
+        if self.open[-1].tag == "head" and tag not in HEAD_CONTENT:
+            self._drop(len(self.open) - 1)
         if tag in CLOSES:
             tags, shields = CLOSES[tag]
             self._close(tags.split(), shields)
         if tag in BLOCKS and tag not in ("option", "html", "body"):
             self._close(("p",), SHIELDS | {"button", "object"})
-            if self.open[-1].tag == "head":
-                self._drop(len(self.open) - 1)
         self._imply(tag)
         self._push(tag, {k: v or "" for k, v in attrs})
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
+        if self.open[-1].tag == tag and (tag in ("svg", "math") or self.open[-1].inside):  # elsewhere the slash means nothing
+            self._drop(len(self.open) - 1)
 
     def handle_endtag(self, tag):
         if not self.count[tag]:
@@ -115,7 +128,15 @@ class Tree(HTMLParser):
                 return
 
     def parse_html_declaration(self, i):
-        """``<![if ...]>`` and the like show nothing up to the next ``>``; in comments and scripts they are plain characters."""
+        """``<![if ...]>`` and the like show nothing up to the next ``>``; in comments and scripts they are plain characters.
+
+        Inside svg and math ``<![CDATA[...]]>`` is text.
+        """
+        if self._inside() and self.rawdata.startswith("<![CDATA[", i):
+            end = self.rawdata.find("]]>", i)
+            if end > 0:
+                self.handle_data(self.rawdata[i + 9 : end])
+                return end + 3
         return self.parse_bogus_comment(i) if self.rawdata.startswith("<![", i) else super().parse_html_declaration(i)
 
     def handle_data(self, data):
@@ -236,6 +257,8 @@ def render(root: Node) -> str:
                 out.block(1)
             elif tag in BLOCKS:
                 out.block(int(tag in SPACED))
+            elif node.inside and tag in APART[node.inside]:
+                (out.verbatim if pre else out.text)(" ")
             continue
         if node.hidden():
             continue
@@ -273,6 +296,8 @@ def render(root: Node) -> str:
             pre += 1
         elif tag in BLOCKS:
             out.block(int(tag in SPACED))
+        elif node.inside and tag in APART[node.inside]:
+            (out.verbatim if pre else out.text)(" ")
         if tag not in VOID:
             todo.append((node, True))
             todo.extend((child, False) for child in reversed(node.children))
@@ -295,7 +320,9 @@ def page_text(html: str | None) -> str:
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     """Put ``text`` and ``n_chars`` in the place of ``html``, for every row of ``pages``, one page at a time.
 
-    A null page has empty text. Nothing is cut: every visible character of a page of any length comes out.
+    A null page has empty text. Nothing is cut: every visible character of a page of any length comes out, with one
+    exception: ``aria-hidden=true`` is left out although browsers show it. What a page draws by style sheets or
+    scripts, and the stand-in text of embedded objects, is not looked at.
     """
     kept = [c for c in replaced(pages, ["text", "n_chars"]).columns if c != html]
     rows = pages.select(*[F.col(f"`{c}`") for c in kept], F.col(html).alias("__html"))

@@ -42,6 +42,26 @@ def test_conditional_comments(html):
     assert page_text(html) == CONDITIONAL[html]
 
 
+# Drawings, formulas, and heads that nothing closes.
+SHOWN = {
+    "<p>so <math><mfrac><mi>a</mi><mn>2</mn></mfrac><mo>=</mo><mi>b</mi></math>.": "so a 2 = b .",
+    "<math><semantics><mi>x</mi><annotation>no</annotation><annotation-xml>no</annotation-xml></semantics></math>": "x",
+    "a<svg><title>no</title><desc>no</desc><defs><text>no</text></defs><text>One <tspan>label</tspan></text><text>two</text></svg>b": "a One label two b",
+    "<svg><defs/><path d='M0'/><text>label</text><style>no</style></svg>": "label",
+    "x<svg class=icon />y<math/>z<desc>d</desc>": "xyzd",
+    "<svg><text><![CDATA[a > b]]></text></svg><![CDATA[no]]>c": "a > b c",
+    "<head><title>no</title><a href=x>link</a> and <p>more": "link and\n\nmore",
+    "<head><meta charset=x><span>in <div>block</div></span>": "in\nblock",
+    "<head><script>no</script><img src=x>text": "text",
+    "<head><noscript><img src=x>no</noscript><link rel=x><title>no</title></head>yes": "yes",
+}
+
+
+@pytest.mark.parametrize("html", SHOWN)
+def test_what_browsers_show(html):
+    assert page_text(html) == SHOWN[html]
+
+
 @pytest.mark.parametrize("html", CASES)
 def test_cases(html):
     assert page_text(html) == CASES[html]
