@@ -13,14 +13,31 @@ from tablewright.session import persist_to_shared
 
 @dataclass(frozen=True)
 class Rule:
-    """Leftmost non-overlapping matches of ``pattern`` count if group ``value`` has ``least`` characters."""
+    """Leftmost non-overlapping matches of ``pattern`` and ``rest`` count if group ``value`` has ``least`` characters."""
 
     kind: str
     pattern: str
     gate: str  # a cheaper pattern that every text with a match has
     value: int = 0
     least: int = 1
-
+    rest: str = ""  # what else belongs to the span after a match of ``pattern``; may match nothing, has no groups
+
+
+# What follows the header of a private key, in files, in quoted, indented or escaped strings, or on one line: header
+# fields, then base64 to the END line. Without one, runs of 40 characters or lines of 16, and one shorter line after them.
+_GAP = r"""(?:[\s"'`>|#*,+]|\\[nrt]?)*+"""
+_BREAK = r"""(?:[\x20\t"'`>|#*,+]*+(?:\\?(?:\r\n?|\n)|\\[nr]))"""
+_B64 = r"(?:[A-Za-z0-9+/=]|\\/|\\u00[0-9A-Fa-f]{2})"
+_LINE_END = rf"""(?={_BREAK}|["'`]|\s*+\z)"""
+_FIELD = (
+    r"(?:Proc-Type:\x20*+4,ENCRYPTED|DEK-Info:\x20*+[A-Za-z0-9-]++,[0-9A-Fa-f]++"
+    r"|[A-Za-z][A-Za-z0-9-]*+:(?:(?![A-Za-z0-9+/=]{40})[^\r\n\\])*+)"
+)
+KEY_BODY = (
+    f"(?:(?:{_GAP}{_FIELD})*+(?:"
+    f"(?:{_GAP}{_B64}{{16,}}+|{_BREAK}{_GAP}{_B64}++{_LINE_END})++(?:{_GAP}{_B64}++)?+{_GAP}-----END [A-Z ]*PRIVATE KEY-----"
+    f"|(?:{_GAP}{_B64}{{40,}}+|{_BREAK}{_GAP}{_B64}{{16,}}+{_LINE_END})++(?:{_BREAK}{_GAP}{_B64}++{_LINE_END})?+))?+"
+)
 
 # The three base kinds.
 BASE = (
@@ -31,7 +48,7 @@ BASE = (
 )
 # The scan's own kinds.
 MORE = (
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", "PRIVATE KEY"),
+    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", "PRIVATE KEY", rest=KEY_BODY),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", "gh[pousr]_", 0, 40),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", "xox[abprs]-", 0, 15),
     Rule("google", r"AIza[0-9A-Za-z_-]+", "AIza", 0, 39),
@@ -40,17 +57,18 @@ MORE = (
     Rule("login", r"[a-z]+://[^\x20/:@]+:([^\x20/:@]+)@", "://", 1, 6),
 )
 RULES = BASE + MORE
-VERSION = "1"  # raise it with any change of a rule: blobs are scanned once per version
+VERSION = "2"  # raise it with any change of a rule: blobs are scanned once per version
 
 SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
 def rule_spans(text: Column, number: int, rule: Rule) -> Column:
     """Spans of one rule in code points: matches and the gaps between them, added up."""
+    pattern = rule.pattern + rule.rest
     pieces = F.arrays_zip(
-        F.split(text, rule.pattern, -1).alias("gap"),
-        F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)).alias("hit"),
-        F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.value)).alias("value"),
+        F.split(text, pattern, -1).alias("gap"),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.value)).alias("value"),
     )
     step = lambda acc, p: F.struct(
         (acc["at"] + F.length(p["gap"]) + F.coalesce(F.length(p["hit"]), F.lit(0))).alias("at"),
