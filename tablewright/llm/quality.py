@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
-from functools import cached_property
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +20,12 @@ SAMPLE_ROWS = 2000  # bound of the sample that orders the rules; it never decide
 SYMBOLS = b"#*$%&|<>"
 
 
+@cache
+def letters() -> np.ndarray:
+    """Which code points are letters, for any 21-bit number; made once per process."""
+    return np.array([chr(c).isalpha() for c in range(0x110000)] + [False] * 0xF0000)
+
+
 class Batch:
     """Measures of the documents of one Arrow batch; each is computed when a rule first asks for it."""
 
@@ -64,6 +70,20 @@ class Batch:
     def lower(self):
         return self._share(bytes(range(97, 123)))
 
+    @cached_property
+    def other_letters(self):
+        """Letters beyond ASCII, of any script and case."""
+        at = np.flatnonzero(self.data >= 0xC0)
+        if not len(at):
+            return np.zeros(self.n, np.int64)
+        ahead = np.concatenate([self.data, np.zeros(3, np.uint8)])
+        lead, a, b, c = (ahead[at + k].astype(np.int32) & (0xFF if k == 0 else 0x3F) for k in range(4))
+        code = np.where(lead < 0xE0, (lead & 0x1F) << 6 | a, np.where(
+            lead < 0xF0, (lead & 0xF) << 12 | a << 6 | b, (lead & 7) << 18 | a << 12 | b << 6 | c))
+        flags = np.zeros(len(self.data), bool)
+        flags[at] = letters()[code]
+        return arrays.sums(flags, self.offsets)
+
     @cached_property
     def lines(self):
         """(lines with a word, lines equal to an earlier one) per document."""
@@ -93,7 +113,7 @@ RULES: dict[str, Rule] = {
     "repeated_words": lambda b: 100 * b.n_repeat_words > 50 * b.n_words,
     "symbols": lambda b: 10 * b.n_symbols > 3 * b.n_words,
     "repeated_lines": lambda b: 2 * b.lines[1] > b.lines[0],
-    "shouting": lambda b: b.upper > b.lower,
+    "shouting": lambda b: b.upper > b.lower + b.other_letters,
     "long_words": lambda b: b.word_chars > 25 * b.n_words,
 }
 BASE_RULES = ("few_words", "repeated_words")

@@ -156,6 +156,17 @@ def test_order_of_rules_never_changes_a_verdict():
         assert (quality.cascade(batch, np.ones(200, bool), names, quality.RULES) == want).all()
 
 
+def test_few_capitals_in_another_script_are_no_shouting(spark):
+    words = {"кот": "NATO", "γάτα": "NATO", "قطة": "NATO", "猫が": "NATO", "बिल्ली": "NATO", "𐐨𐐩": "NATO", "cat": "NATO", "—“🔥”": "LOUD " * 9, "ÉTÉ": "LOUD " * 90, "\u00d7\u2028": "NATO"}
+    texts = [" ".join(f"{w}{chr(97 + i % 26) if w == 'cat' else i}" for i in range(60)) + " " + cap for w, cap in words.items()]
+    loud = [sum("A" <= c <= "Z" for c in t) > sum(c.isalpha() and not "A" <= c <= "Z" for c in t) for t in texts]
+    assert loud == [False] * 7 + [True] * 3
+    batch = quality.Batch(frame(spark, texts).toArrow().column("text").combine_chunks())
+    assert quality.RULES["shouting"](batch).tolist() == loud
+    kept = {r.doc_id for r in quality.keep_good(frame(spark, texts), rules={"shouting": quality.RULES["shouting"]}).collect()}
+    assert kept == {i for i, x in enumerate(loud) if not x}
+
+
 def test_mix_meets_its_targets(spark):
     rnd = random.Random(8)
     docs = [(i, " ".join("w" for _ in range(int(rnd.paretovariate(1.2)) * 5 % 400)), rnd.choice(["a", "b", "c", "d", None, "big", "big", "big"])) for i in range(4000)]
