@@ -1,4 +1,4 @@
-"""Exact repeats across documents: sampled suffixes, range-partitioned by their leading bytes, sorted and compared."""
+"""Repeats across documents: minimizer anchors, range-partitioned and grouped by hash, in place of a suffix sort."""
 
 from __future__ import annotations
 
