@@ -146,3 +146,65 @@ items as (
 select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join cover using (doc_id) left join items using (doc_id)
 """
+
+LOWER_OR_NULL = LOWER.replace("coalesce(text, '')", "text")
+
+
+def _leaf(text: str) -> str:
+    parts = ["doc_id", "source", "lang", "n_chars", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({c}::varchar) || ':' || {c}::varchar, '-')" for c in parts) + ")"
+
+
+# CRC-32 of the id's digits, bit by bit: eight steps a digit.
+_BYTE = "list_reduce(list_prepend(xor(c, x), [0::ubigint, 0, 0, 0, 0, 0, 0, 0]), lambda a, b: xor(a >> 1, 3988292384 * (a & 1)))"
+_CRC = f"xor(list_reduce(list_prepend(4294967295::ubigint, list_transform(string_split(doc_id::varchar, ''), lambda l: ascii(l)::ubigint)), lambda c, x: {_BYTE}), 4294967295::ubigint)"
+OP11 = f"""
+with recursive d as (
+    select doc_id, lang, {_leaf('text')} as leaf, case when {_CRC} % 3 = 0 then {_leaf(LOWER_OR_NULL)} else {_leaf('text')} end as shown,
+           row_number() over (partition by lang order by doc_id) - 1 as i, count(*) over (partition by lang) as n from documents),
+node(lang, level, i, h, n) as (
+    select lang, 0::bigint, i, leaf, n from d
+    union all select lang, level + 1, i // 8, sha256(string_agg(h, '' order by i)), (any_value(n) + 7) // 8 from node where n > 1 group by lang, level, i // 8),
+sub as (select lang, h as subroot, level as height, row_number() over (order by lang nulls first) - 1 as i, count(*) over () as n from node where n = 1),
+over_(level, i, h, n) as (
+    select 0::bigint, i, subroot, n from sub
+    union all select level + 1, i // 8, sha256(string_agg(h, '' order by i)), (any_value(n) + 7) // 8 from over_ where n > 1 group by level, i // 8),
+-- every tree's levels, then those above: one path from each leaf to the root
+place as (
+    select doc_id, d.lang, step, case when step < height then d.i // (8 ** step)::bigint else s.i // (8 ** (step - height))::bigint end as p, height
+    from d join sub s on d.lang is not distinct from s.lang, unnest(range(0, height + (select max(level) from over_))) u(step)),
+run as (
+    select doc_id, step, p % 8 as own, n.i % 8 as j, n.h from place join node n on step < height and n.lang is not distinct from place.lang and n.level = step and n.i // 8 = p // 8
+    union all select doc_id, step, p % 8, n.i % 8, n.h from place join over_ n on step >= height and n.level = step - height and n.i // 8 = p // 8),
+proof as (select doc_id, sha256(coalesce(string_agg(h, '' order by step, j) filter (where j <> own), '')) as proof_sha256 from run group by doc_id),
+sides as (
+    select doc_id, step, coalesce(string_agg(h, '' order by j) filter (where j < own), '') as a, coalesce(string_agg(h, '' order by j) filter (where j > own), '') as b
+    from run group by doc_id, step),
+folded(doc_id, step, h) as (
+    select doc_id, 0::bigint, shown from d
+    union all select f.doc_id, f.step + 1, sha256(a || h || b) from folded f join sides s on s.doc_id = f.doc_id and s.step = f.step),
+last as (select doc_id, arg_max(h, step) as folded_root from folded group by doc_id)
+select doc_id, leaf, subroot, (select h from over_ where n = 1) as root, coalesce(proof_sha256, sha256('')) as proof_sha256, folded_root,
+       folded_root = (select h from over_ where n = 1) as verified
+from d join sub s on d.lang is not distinct from s.lang left join proof using (doc_id) join last using (doc_id)
+"""
+
+OP12 = f"""
+with d as (select coalesce(lang, 'und') as lang, unnest(string_split_regex({LOWER}, '[.,;:!?\\x0A-\\x0D]')) as piece from documents),
+w as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from d),
+n as (select lang, sum(len(w))::bigint as n from w group by lang),
+f as (
+    select lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') as phrase, count(*) as f
+    from w, unnest([1, 2, 3]) u(k), unnest(range(1, len(w) - k + 2)) v(i) group by all having count(*) >= 10),
+cuts as (
+    select c.lang, c.phrase, c.f as a, l.f as l, r.f as r, j, (1000000::hugeint * c.f * c.f) // (l.f::hugeint * r.f) as score
+    from (select *, unnest(range(1, k)) as j, string_split(phrase, ' ') as p from f where k > 1) c
+    join f l on l.lang = c.lang and l.phrase = array_to_string(list_slice(p, 1, j), ' ')
+    join f r on r.lang = c.lang and r.phrase = array_to_string(list_slice(p, j + 1, c.k), ' ')),
+least as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+kept as (
+    select * from least s where not exists (
+        select 1 from f t where t.lang = s.lang and t.k > len(string_split(s.phrase, ' ')) and contains(' ' || t.phrase || ' ', ' ' || s.phrase || ' ') and 100 * t.f >= 50 * s.a))
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score::bigint as score
+from kept join n using (lang) qualify rank <= 2000
+"""

@@ -11,15 +11,19 @@ from tablewright.llm import (
     decontaminate,
     html_text,
     licenses,
+    merkle,
     mixing,
     near_copies,
     oracles,
+    packing,
+    phrases,
     quality,
     repeats,
     secrets,
     toxicity,
     url_lists,
 )
+from tablewright.llm.shared import ascii_lower
 from tablewright.session import apply_settings
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,6 +111,28 @@ def op2(table):
     return html_text.extract(table("pages").select("page_id", "url", "html"))
 
 
+@query("op11_merkle_manifest", oracles.OP11)
+def op11(table):
+    rows = table("documents").select("doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, ascii_lower(F.col("text"))).otherwise(F.col("text"))
+    manifest = merkle.build(rows, ["doc_id", "source", "lang", "n_chars", "text"], presented={"text": tampered})
+    return merkle.audit(manifest).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("siblings", 256).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
+@query("op12_phrase_mining", oracles.OP12)
+def op12(table):
+    return phrases.collocations(table("documents").select("lang", "text")).drop("n_words", "cut")
+
+
+@query("op13_sequence_packing")
+def op13(table):
+    cut = packing.pieces(table("documents").select("doc_id", "text"))
+    narrow = cut.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    return packing.pack(narrow)
+
+
 # Pages carry no fetch time and there is no table of lists: both are derived from the pages themselves. A site
 # (three labels) is on the block list for a time that its hash names, some twice; some hosts are on an allow list.
 DIGIT = "(instr('0123456789abcdef', substr(md5({0}), {1}, 1)) - 1)"

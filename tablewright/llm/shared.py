@@ -78,6 +78,37 @@ def running(df: DataFrame, order: list[Column], sums: tuple[str, ...] = ()) -> D
     )
 
 
+SMALL = 32 << 20  # bytes of a measured side up to which it is sent to every task
+
+
+def ranked_within(df: DataFrame, group: str, order: list[Column]) -> DataFrame:
+    """Number the rows of every ``group`` from 0 in ``order`` (``__rank``) and add the group's size (``__count``).
+
+    Rows are range partitioned by group, order and their place in the input, so neither a hot group nor many equal rows
+    meet in one task. Written once, a row's rank is its place in its partition plus what its group has in the
+    partitions before; those facts are a row per partition and group, sent to all tasks if measured to be small,
+    else joined by both, where no key has more rows than a partition.
+    """
+    by = [F.col(group), *order, F.col("__tie")]
+    tied = df.withColumn("__tie", F.monotonically_increasing_id())
+    placed = persist_to_shared(
+        tied.repartitionByRange(*by).sortWithinPartitions(*by).drop("__tie").withColumn(AT, F.monotonically_increasing_id()), "ranked"
+    )
+    part, row = F.shiftright(F.col(AT), ROW_BITS), F.col(AT).bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    facts = placed.groupBy(part.alias("__part"), F.col(group).alias("__group")).agg(F.count("*").alias("__rows"), F.min(row).alias("__first"))
+    facts = persist_to_shared(facts, "facts")
+    whole_group = Window.partitionBy("__group")  # a row per partition that the group reaches
+    before = whole_group.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = facts.select(
+        "__part", "__group", F.sum("__rows").over(whole_group).alias("__count"),
+        (F.coalesce(F.sum("__rows").over(before), F.lit(0)) - F.col("__first")).alias("__shift"),
+    )
+    measured = facts.agg((F.count("*") * 64 + F.coalesce(F.sum(F.octet_length(F.col("__group").cast("string"))), F.lit(0))).alias("b")).first()["b"]
+    shift = F.broadcast(shift) if measured <= SMALL else shift
+    same = (part == F.col("__part")) & F.col(group).eqNullSafe(F.col("__group"))
+    return placed.join(shift, same).withColumn("__rank", row + F.col("__shift")).drop(AT, "__part", "__group", "__shift")
+
+
 def release(spark: SparkSession) -> None:
     """Let the context cleaner drop shuffle files of steps whose results are already written.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -158,3 +159,87 @@ def targets(sizes, weights=(1, 2, 3), cap=3):
         if not over:
             return full | share
         full |= {s: cap * sizes[s] for s in over}
+
+
+def hashed(parts):
+    return sha("".join(parts))
+
+
+def levels(nodes):
+    """All levels of a tree from its leaves to its root."""
+    out = [nodes]
+    while len(out[-1]) > 1:
+        out.append([hashed(out[-1][i : i + 8]) for i in range(0, len(out[-1]), 8)])
+    return out
+
+
+def manifest(docs):
+    """(doc_id, leaf, subroot, root, proof, folded root, verified) of rows (doc_id, text, lang, source, n_chars)."""
+    leaf = lambda i, t, l, s, n: hashed("-" if v is None else f"{len(str(v).encode())}:{v}" for v in (i, s, l, n, t))  # noqa: E731, E741
+    trees = defaultdict(list)
+    for d in docs:
+        trees[d[2]].append(d)
+    order = sorted(trees, key=lambda x: (x is not None, (x or "").encode()))
+    own = {}
+    for x in order:
+        trees[x].sort(key=lambda d: (d[0] is not None, d[0], leaf(*d)))
+        own[x] = levels([leaf(*d) for d in trees[x]])
+    top = levels([own[x][-1][0] for x in order])
+    for t, x in enumerate(order):
+        for i, d in enumerate(trees[x]):
+            bad = d[0] is not None and zlib.crc32(str(d[0]).encode()) % 3 == 0 and d[1] is not None
+            node, siblings = leaf(d[0], d[1].translate(UP) if bad else d[1], *d[2:]), []
+            for every, at in ((own[x], i), (top, t)):
+                for level in every[:-1]:
+                    run, j = level[at // 8 * 8 : at // 8 * 8 + 8], at % 8
+                    siblings += run[:j] + run[j + 1 :]
+                    node, at = hashed([*run[:j], node, *run[j + 1 :]]), at // 8
+            yield d[0], own[x][0][i], own[x][-1][0], top[-1][0], hashed(siblings), node, node == top[-1][0]
+
+
+def collocations(docs, least=10, top=2000):
+    """(lang, rank, phrase, a, l, r, n, score) of rows (doc_id, text, lang, ...)."""
+    seen, n = Counter(), Counter()
+    for d in docs:
+        lang = "und" if d[2] is None else d[2]
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (d[1] or "").translate(UP)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            for k in (1, 2, 3):
+                seen.update((lang, *w[i : i + k]) for i in range(len(w) - k + 1))
+    found = {p: a for p, a in seen.items() if len(p) > 2 and a >= least}
+    per = defaultdict(list)
+    for p, a in found.items():
+        inside = (q for q in found if q[0] == p[0] and len(q) > len(p) and (q[1 : len(p)] == p[1:] or q[2:] == p[1:])) if len(p) == 3 else ()
+        if any(100 * found[q] >= 50 * a for q in inside):
+            continue
+        cuts = [(1_000_000 * a * a // (seen[p[:k]] * seen[p[:1] + p[k:]]), k) for k in range(2, len(p))]
+        score, k = min(cuts)
+        per[p[0]].append((-score, -a, " ".join(p[1:]).encode(), seen[p[:k]], seen[p[:1] + p[k:]]))
+    for lang, rows in per.items():
+        for i, (s, a, phrase, left, right) in enumerate(sorted(rows)[:top]):
+            yield lang, i + 1, phrase.decode(), -a, left, right, n[lang], -s
+
+
+def token_ids(texts, end=1):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return [[*x.ids, end] for x in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
+def ids_crc(ids):
+    return zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
+
+
+def best_fit_decreasing(lengths, window):
+    """Room left in each window, by trying all of them for every piece."""
+    room = []
+    for n in sorted(lengths, reverse=True):
+        fits = [(r, i) for i, r in enumerate(room) if r >= n]
+        if fits:
+            room[min(fits)[1]] -= n
+        else:
+            room.append(window - n)
+    return room

@@ -47,6 +47,16 @@ def expect(op, docs, sf_dir):
         yield from brute.repeats(texts.items())
     elif op == "op5":
         yield from ((i, n, c) for i, (n, c) in brute.components(texts.items()).items())
+    elif op == "op11":
+        yield from brute.manifest(docs)
+    elif op == "op12":
+        yield from brute.collocations(docs)
+    elif op == "op13":
+        ids = brute.token_ids([d[1] for d in docs])
+        for d, own in zip(docs, ids):
+            for at in range(0, len(own), 2048):
+                part = own[at : at + 2048]
+                yield d[0], at, len(part), brute.ids_crc(part), len(own)
 
 
 COLUMNS = {
@@ -55,6 +65,9 @@ COLUMNS = {
     "op4": "doc_id n_bytes n_removed n_spans kept_sha256",
     "op5": "doc_id n_shingles component_id",
     "op7": "doc_id n_assign n_access n_hex base_sha256 spans",
+    "op11": "doc_id leaf subroot root proof_sha256 folded_root verified",
+    "op12": "lang rank phrase a l r n score",
+    "op13": "doc_id start length ids_crc32 doc_tokens",
     "op10": "doc_id n_words n_hit n_items items_sha256 contaminated",
 }
 

@@ -23,5 +23,5 @@ def test_query_equals_plain_python(spark, op):
     assert not more and not less and n
 
 
-def test_all_ten_are_registered():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+def test_all_are_registered():
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
