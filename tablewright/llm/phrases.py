@@ -28,8 +28,9 @@ COVER = 50  # per cent of a candidate's occurrences inside a longer one that mak
 TOP = 2000  # phrases reported per language
 SCALE = 1_000_000
 BATCH = 8 << 20  # bytes of text whose words are held at one time
-BUFFER = 1 << 20  # words a task holds before it combines and sends their runs
+BUFFER = 1 << 21  # words a task holds before it combines and sends their runs
 BUCKET = 1 << 23  # runs per hash partition, about
+KEY = 5  # bytes of a hash that are sent, besides the bits that name its partition
 
 # What parts words, and what also parts pieces.
 GAPS = b"\x20\x09"
@@ -61,10 +62,11 @@ class Runs:
         self.lang = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         self.salt = np.array([lang_salt(x) for x in self.names] or [0], U64)
 
-    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """(first word, hash) of every run of ``n`` words."""
+    def of(self, n: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """(first word, hash) of every run of ``n`` words; only the bits that are sent are set in a hash."""
         at, value = arrays.windows(self.value, self.piece, n)
-        return at, arrays.mixed(value + self.salt[self.lang[self.owner[at]]] + U64(n))
+        spare = U64(key_shift(bits))
+        return at, arrays.mixed(value + self.salt[self.lang[self.owner[at]]] + U64(n)) >> spare << spare
 
     def phrases(self, first: np.ndarray, n: int) -> pa.Array:
         """The words of runs, joined by one space."""
@@ -135,14 +137,20 @@ class Summary:
         return self.hashes[self.counts + self.lost >= least]
 
 
-def send(hashes: list[np.ndarray], buckets: int) -> Iterator[pa.RecordBatch]:
-    """One row per bucket with its share of the combined runs."""
+def key_shift(bits: int) -> int:
+    return max(0, 64 - bits - 8 * KEY)
+
+
+def send(hashes: list[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
+    """One row per bucket with its share of the combined runs, and one with their number."""
     every = np.concatenate(hashes)
     value, count = summed(every, np.ones(len(every), np.int64))
     # The bucket is the high part of the hash, so buckets are slices of the sorted hashes.
-    borders = np.searchsorted(value, edges(buckets))
-    borders = np.concatenate([[0], borders, [len(value)]])
-    for b in range(buckets):
+    borders = np.searchsorted(value, np.arange(1 << bits, dtype=U64) << U64(64 - bits)) if bits else np.zeros(1, np.int64)
+    borders = np.append(borders, len(value))
+    width = KEY if key_shift(bits) else 8
+    low = (value << U64(bits) >> U64(bits) >> U64(key_shift(bits))).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    for b in range(1 << bits):
         lo, hi = int(borders[b]), int(borders[b + 1])
         if lo < hi:
             often = np.flatnonzero(count[lo:hi] > 1)
@@ -150,38 +158,42 @@ def send(hashes: list[np.ndarray], buckets: int) -> Iterator[pa.RecordBatch]:
             pairs = np.stack([often, count[lo:hi][often]]).astype(np.uint32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b] * 2, pa.int32()), pa.array([0, 1], pa.int32()), pa.array([int(count[lo:hi].sum()), 0], pa.int64()),
-                 pa.array([None, value[lo:hi].tobytes()], pa.binary()), pa.array([None, pairs.tobytes()], pa.binary())],
+                 pa.array([None, low[lo:hi].tobytes()], pa.binary()), pa.array([None, pairs.tobytes()], pa.binary())],
                 names=["bucket", "part", "mass", "hashes", "counts"],
             )
 
 
-def edges(buckets: int) -> np.ndarray:
-    return (np.arange(1, buckets, dtype=np.float64) * (2.0**64 / buckets)).astype(U64)
-
-
-def opened(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    hashes = np.frombuffer(row["hashes"], U64)
+def opened(row: dict, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    width = KEY if key_shift(bits) else 8
+    sent = np.frombuffer(row["hashes"], np.uint8).reshape(-1, width)
+    wide = np.zeros((len(sent), 8), np.uint8)
+    wide[:, :width] = sent
+    hashes = (wide.reshape(-1).view("<u8") << U64(key_shift(bits))) | (U64(row["bucket"]) << U64(64 - bits) if bits else U64(0))
     counts = np.ones(len(hashes), np.int64)
     at, more = np.frombuffer(row["counts"], np.uint32).reshape(2, -1).astype(np.int64)
     counts[at] = more
     return hashes, counts
 
 
-def can_be_frequent(rows: DataFrame, longest: int, least: int, runs: int) -> DataFrame:
-    """Hashes of all runs of ``(lang, text)`` found ``least`` times or more, and of some that are not: ``(h)``."""
+def bucket_bits(rows: DataFrame, runs: int) -> int:
+    """There are 2 to this power hash partitions: as many as Spark's, and no more than ``BUCKET`` runs in one."""
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(partitions, runs // BUCKET + 1)
+    return max(partitions - 1, runs // BUCKET).bit_length()
+
+
+def can_be_frequent(rows: DataFrame, longest: int, least: int, bits: int) -> DataFrame:
+    """Hashes of all runs of ``(lang, text)`` found ``least`` times or more, and of some that are not: ``(h)``."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for found in batches_of_words(batches):
-            held += [found.of(n)[1] for n in range(1, longest + 1)]
+            held += [found.of(n, bits)[1] for n in range(1, longest + 1)]
             size += len(found.value)
             if size >= BUFFER:
-                yield from send(held, buckets)
+                yield from send(held, bits)
                 held, size = [], 0
         if held:
-            yield from send(held, buckets)
+            yield from send(held, bits)
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come bucket by bucket, the masses of a bucket before its summaries."""
@@ -200,18 +212,18 @@ def can_be_frequent(rows: DataFrame, longest: int, least: int, runs: int) -> Dat
                     mass += row["mass"]
                 else:
                     summary = summary or Summary(mass // least + 1)
-                    summary.merge(*opened(row))
+                    summary.merge(*opened(row, bits))
         yield from ended()
 
     sent = rows.mapInArrow(scan, SENT)
-    placed = sent.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket", "part")
+    placed = sent.repartitionById(1 << bits, F.col("bucket")).sortWithinPartitions("bucket", "part")
     return persist_to_shared(placed.mapInArrow(reduce, "h long"), "survivors")
 
 
 # ---------------------------------------------------------------- second pass
 
 
-def exact_counts(rows: DataFrame, survivors: DataFrame, longest: int, least: int) -> DataFrame:
+def exact_counts(rows: DataFrame, survivors: DataFrame, longest: int, least: int, bits: int) -> DataFrame:
     """``(lang, n_words, phrase, f)`` for every phrase found ``least`` times or more, counted by its words. A row with
     ``n_words`` 0 holds all words of the language.
 
@@ -225,7 +237,7 @@ def exact_counts(rows: DataFrame, survivors: DataFrame, longest: int, least: int
             names = pa.array(found.names, pa.string())
             yield totals(names, np.bincount(found.lang[found.owner], minlength=len(names)))
             for n in range(1, longest + 1):
-                first, value = found.of(n)
+                first, value = found.of(n, bits)
                 at = id_bits(value)
                 pick = np.flatnonzero((wanted.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1)
                 _, where, count = np.unique(value[pick], return_index=True, return_counts=True)
@@ -267,22 +279,22 @@ def with_count(cuts: DataFrame, counts: DataFrame, part: str, name: str, small:
 def scored(counts: DataFrame, longest: int, cover: int, small: int = SMALL) -> DataFrame:
     """``(lang, phrase, n_words, a, cut, l, r, score)`` of the candidates that no longer one makes redundant."""
     words = F.split("phrase", " ")
+    join = lambda c, lo, size: F.array_join(F.slice(c, lo, size), " ")
     candidates = counts.where("n_words > 1").select("lang", "phrase", "n_words", F.col("f").alias("a"))
-    join = lambda lo, size: F.array_join(F.slice(words, lo, size), " ")
-    cuts = candidates.select("*", F.explode(F.sequence(F.lit(1), F.col("n_words") - 1)).alias("cut"))
-    cuts = cuts.select("*", join(F.lit(1), F.col("cut")).alias("first"), join(F.col("cut") + 1, F.col("n_words") - F.col("cut")).alias("rest"))
+    inner = candidates.where("n_words > 2").select("lang", "n_words", F.col("a").alias("f"), words.alias("w"), F.explode(F.sequence(F.lit(2), F.col("n_words") - 1)).alias("size"))
+    inner = inner.select("lang", "f", "w", "size", F.explode(F.sequence(F.lit(1), F.col("n_words") - F.col("size") + 1)).alias("at"))
+    inner = inner.groupBy(F.col("lang").alias("__l"), join("w", F.col("at"), F.col("size")).alias("__p")).agg(F.max("f").alias("__f"))
+    redundant = (F.col("lang") == F.col("__l")) & (F.col("phrase") == F.col("__p")) & (F.col("__f") * 100 >= F.col("a") * cover)
+    kept = candidates.join(inner, redundant, "left_anti")
+    cuts = kept.select("*", F.explode(F.sequence(F.lit(1), F.col("n_words") - 1)).alias("cut"))
+    cuts = cuts.select("*", join(words, F.lit(1), F.col("cut")).alias("first"), join(words, F.col("cut") + 1, F.col("n_words") - F.col("cut")).alias("rest"))
     cuts = persist_to_shared(cuts, "cuts")
     parts = counts.where((F.col("n_words") > 0) & (F.col("n_words") < longest))
     weighed = with_count(with_count(cuts, parts, "first", "l", small), parts, "rest", "r", small)
     # Exact in 38 digits: counts stay below 10^15, and a is at most l and r, so the quotient is at most SCALE.
     score = F.expr(f"cast(cast(a as decimal(15,0)) * cast(a as decimal(15,0)) as decimal(31,0)) * cast({SCALE} as decimal(7,0)) div (cast(l as decimal(18,0)) * cast(r as decimal(18,0)))")
     least = weighed.groupBy("lang", "phrase", "n_words", "a").agg(F.min(F.struct(score.alias("score"), "cut", "l", "r")).alias("m"))
-    least = least.select("lang", "phrase", "n_words", "a", "m.*")
-    inner = candidates.where("n_words > 2").select("lang", "n_words", F.col("a").alias("f"), words.alias("w"), F.explode(F.sequence(F.lit(2), F.col("n_words") - 1)).alias("size"))
-    inner = inner.select("lang", "f", "w", "size", F.explode(F.sequence(F.lit(1), F.col("n_words") - F.col("size") + 1)).alias("at"))
-    inner = inner.groupBy(F.col("lang").alias("__l"), F.array_join(F.slice("w", F.col("at"), F.col("size")), " ").alias("__p")).agg(F.max("f").alias("__f"))
-    redundant = (F.col("lang") == F.col("__l")) & (F.col("phrase") == F.col("__p")) & (F.col("__f") * 100 >= F.col("a") * cover)
-    return least.join(inner, redundant, "left_anti")
+    return least.select("lang", "phrase", "n_words", "a", "m.*")
 
 
 def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least: int = LEAST, longest: int = LONGEST,
@@ -297,9 +309,10 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
     """
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    survivors = can_be_frequent(rows, longest, least, longest * size // 6)
+    bits = bucket_bits(rows, longest * size // 6)
+    survivors = can_be_frequent(rows, longest, least, bits)
     release(rows.sparkSession)
-    counts = exact_counts(rows, survivors, longest, least)
+    counts = exact_counts(rows, survivors, longest, least, bits)
     discard(survivors)
     totals = counts.where("n_words = 0").select(F.col("lang").alias("__l"), F.col("f").alias("n"))
     best = persist_to_shared(scored(counts, longest, cover, small), "scored")
