@@ -48,6 +48,25 @@ def schema_changes(published: DataFrame, incoming: DataFrame) -> DataFrame:
     return findings(joined, "schema_change", F.concat_ws(":", "table", "position"), F.col("what"))
 
 
+def file_schema_changes(published: DataFrame, files: DataFrame) -> DataFrame:
+    """``schema_changes`` of every file on its own: one finding per file and column that differs from its table.
+
+    ``published`` has rows (table, position, column, type), one schema a table, so it is about as small as the list of
+    tables; ``files`` has (table, path, position, column, type). Tables that were not published before have no schema
+    to keep to and pass.
+    """
+    known = files.join(published.select("table").distinct(), "table", "left_semi")
+    expected = known.select("table", "path").distinct().join(published, "table")
+    pairs = lambda df: df.select(F.concat_ws("/", "table", "path").alias("table"), "position", "column", "type")
+    return schema_changes(pairs(expected), pairs(known))
+
+
+def published_schema(files: DataFrame) -> DataFrame:
+    """(table, position, column, type) of the first file of each table in (table, path, position, column, type)."""
+    first = files.groupBy("table").agg(F.min("path").alias("path"))
+    return files.join(first, ["table", "path"], "left_semi").select("table", "position", "column", "type")
+
+
 def files_to_check(diff: DataFrame, suffix: str, sample: bool) -> DataFrame:
     """Changed, still existing files with the suffix; with ``sample`` the first of each folder."""
     changed = diff.where((F.col("type") != "removed") & F.col("path").endswith(suffix))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tablewright.functions import paths
 from tablewright.operators import clean, diff, gates, publish, rules
 from tablewright.plans.registry import query
 from tablewright.plans.shapes import joined_list
 from tablewright.session import persist_to_shared
-from tablewright.sources import scans
+from tablewright.sources import footers, scans
 from tablewright.sources.snapshots import SnapshotStore
 
 # Example gate arguments.
@@ -79,16 +80,88 @@ def _(t):
     """SELECT 'blocked_column' AS "check", 'dev/orders.email' AS subject, 'email' AS detail, (SELECT count(*) FROM orders WHERE year(o_orderdate) = 1999) AS n_rows""",
 )
 def _(t):
-    """Only folders that the refs do not share are opened, and of those only the footers."""
+    """Only files that the refs do not share are opened, each for itself, and of those only the footers."""
     store = SnapshotStore(t.spark, t.scratch("store"))
     recent = F.year("o_orderdate") == 1999
     parts = [store.write(t.orders.where(~recent), "orders"), store.write(t.orders.where(recent), "orders")]
     store.commit("main", "load", {"orders": parts})
     store.create_branch("dev", "main")
     store.commit("dev", "add a column", {"orders": [parts[0], store.write(t.orders.where(recent).withColumn("email", F.lit("x")), "orders")]})
-    _, changed = store.changed("orders", "main", "dev")
-    found = gates.blocked_columns(scans.columns(changed, "dev/orders"), BLOCKED)
-    return found.withColumn("n_rows", changed.agg(F.count(F.lit(1))).scalar())
+    opened = persist_to_shared(footers.footers(store.changed_files("orders", "main", "dev")), "footers")
+    found = gates.blocked_columns(opened.select(F.lit("dev/orders").alias("table"), "column", "type").distinct(), BLOCKED)
+    return found.withColumn("n_rows", opened.where("position = 0").agg(F.sum("n_rows")).scalar())
+
+
+def _changed_years(t) -> SnapshotStore:
+    """orders by year; dev writes three of the years anew: one as it was, one with two defects, one with another type."""
+    store = SnapshotStore(t.spark, t.scratch("store"))
+    years = t.orders.withColumn("o_year", F.year("o_orderdate"))
+    of = lambda *y: years.where(F.col("o_year").isin(*y))
+    rest = store.write(years.where(~F.col("o_year").isin(1997, 1998, 1999)), "orders", ("o_year",))
+    store.commit("main", "load", {"orders": [rest, store.write(of(1997, 1998, 1999), "orders", ("o_year",))]})
+    store.create_branch("dev", "main")
+    bad = of(1998).withColumn("email_of_owner", F.lit("x")).withColumnRenamed("o_orderstatus", "status")
+    retyped = of(1999).withColumn("o_totalprice", F.col("o_totalprice").cast("string"))
+    parts = [store.write(df, "orders", ("o_year",)) for df in (of(1997), bad, retyped)]
+    store.commit("dev", "write three years anew", {"orders": [rest, *parts]})
+    return store
+
+
+def _year(path="path"):
+    return paths.base_name(paths.parent(F.col(path)))
+
+
+@query(
+    "check_every_changed_file",
+    """SELECT 'blocked_column' AS "check", 'o_year=1998.email_of_owner' AS subject, 'email' AS detail, count(*) AS n_rows
+    FROM orders WHERE year(o_orderdate) = 1998""",
+)
+def _(t):
+    """One of three changed folders has a forbidden column: its own footers tell, and how many rows are concerned."""
+    opened = persist_to_shared(footers.footers(_changed_years(t).changed_files("orders", "main", "dev")), "footers")
+    found = gates.blocked_columns(opened.select(_year().alias("table"), "column", "type").distinct(), BLOCKED)
+    rows = opened.where("position = 0").groupBy(_year().alias("year")).agg(F.sum("n_rows").alias("n_rows"))
+    return found.join(rows, F.substring_index("subject", ".", 1) == F.col("year")).drop("year")
+
+
+@query(
+    "check_changed_file_schemas",
+    """SELECT 'schema_change' AS "check", subject, detail FROM (VALUES ('o_year=1998:2', 'renamed o_orderstatus to status'),
+    ('o_year=1998:6', 'added email_of_owner'), ('o_year=1999:3', 'retyped o_totalprice from double to string')) v(subject, detail)
+    WHERE (SELECT count(*) FROM orders WHERE year(o_orderdate) IN (1998, 1999)) > 0""",
+)
+def _(t):
+    """Every changed file against the published schema, each with its own footer."""
+    store = _changed_years(t)
+    table = F.lit("orders").alias("table")
+    published = footers.footers(footers.data_files(t.spark, store.tables("main")["orders"]))
+    changed = footers.footers(store.changed_files("orders", "main", "dev"))
+    found = gates.file_schema_changes(
+        gates.published_schema(published.select(table, "path", "position", "column", "type")),
+        changed.select(table, "path", "position", "column", "type"),
+    )
+    place = F.concat_ws(":", _year("file"), F.regexp_extract("subject", r":(\d+)$", 1))
+    return found.withColumn("file", F.regexp_replace("subject", r":\d+$", "")).select("check", place.alias("subject"), "detail").distinct()
+
+
+@query(
+    "check_one_file_per_folder",
+    """SELECT 'o_year=' || y AS folder, 1 AS n_opened, CASE WHEN y = 1998 THEN 1 ELSE 0 END AS n_blocked, true AS fewer FROM
+    (SELECT DISTINCT year(o_orderdate) AS y FROM orders WHERE year(o_orderdate) IN (1997, 1998, 1999))""",
+)
+def _(t):
+    """Sampling: of each folder's changed files one is opened, and the gate still sees every folder."""
+    store = _changed_years(t)
+    files = store.changed_files("orders", "main", "dev")
+    picked = gates.files_to_check(files.select("path", F.lit("added").alias("type")), ".parquet", sample=True)
+    opened = persist_to_shared(footers.footers(picked), "footers")
+    schemas = opened.select(_year().alias("table"), "column", "type")
+    blocked = gates.blocked_columns(schemas, BLOCKED).groupBy(F.substring_index("subject", ".", 1).alias("folder")).agg(F.count("*").alias("n_blocked"))
+    per = opened.groupBy(_year().alias("folder")).agg(F.countDistinct("path").alias("n_opened"))
+    listed = files.groupBy(_year().alias("folder")).agg(F.count("*").alias("n_listed"))
+    return per.join(blocked, "folder", "left").join(listed, "folder").select(
+        "folder", "n_opened", F.coalesce("n_blocked", F.lit(0)).alias("n_blocked"), (F.col("n_opened") <= F.col("n_listed")).alias("fewer")
+    )
 
 
 @query(

@@ -20,6 +20,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewright.sources import footers
+
 # One row per event; it holds the whole state of its ref afterwards, so resolving a ref is one lookup.
 LOG_SCHEMA = (
     "kind string, ref string, commit_id string, parents array<string>, message string, committer string, "
@@ -155,8 +157,16 @@ class SnapshotStore:
         kw.setdefault("expected_head", start["commit_id"])
         return self.commit(branch, message, {table: old + [self.write(df, table)]}, **kw)
 
+    def _read(self, paths: list[str]) -> DataFrame:
+        """Folders written at different times may differ in their columns: the table has all of them, null where a
+        folder lacks one. Columns whose types cannot be united are refused."""
+        return self.spark.read.option("mergeSchema", len(paths) > 1).parquet(*paths)
+
     def read(self, table: str, ref: str, merge_schema: bool = False) -> DataFrame:
-        """The table at a branch, tag or commit."""
+        """The table at a branch, tag or commit, with the columns of all its folders.
+
+        ``merge_schema`` also unites folders whose columns changed their type, as ``unionByName`` does.
+        """
         return self._load(table, ref, self.tables(ref), merge_schema)
 
     def _load(self, table: str, at: str, tables: dict[str, list[str]], merge_schema: bool = False) -> DataFrame:
@@ -164,7 +174,7 @@ class SnapshotStore:
         if not paths:
             raise RefError(f"no table {table} at {at}")
         if not merge_schema:
-            return self.spark.read.parquet(*paths)
+            return self._read(paths)
         parts = [self.spark.read.parquet(p) for p in paths]
         out = parts[0]
         for part in parts[1:]:
@@ -184,9 +194,13 @@ class SnapshotStore:
         Shared folders hold equal rows on both sides, so a comparison need not open them.
         """
         a, b = self.tables(old).get(table, []), self.tables(new).get(table, [])
-        read = self.spark.read.parquet
         left, right = [p for p in a if p not in set(b)], [p for p in b if p not in set(a)]
-        return (read(*left) if left else None), (read(*right) if right else None)
+        return (self._read(left) if left else None), (self._read(right) if right else None)
+
+    def changed_files(self, table: str, old: str, new: str) -> DataFrame:
+        """``(path, size_bytes)`` of the files that ``new`` has and ``old`` has not; lists, opens nothing."""
+        known = set(self.tables(old).get(table, []))
+        return footers.data_files(self.spark, [p for p in self.tables(new).get(table, []) if p not in known])
 
     # -- whole-ref operations -----------------------------------------------------------
     def merge(self, source: str, target: str, message: str | None = None, **kw) -> str:
@@ -222,7 +236,7 @@ class SnapshotStore:
         out = None
         for table, paths in sorted(self.tables(ref).items()):
             part = (
-                self.spark.read.parquet(*paths)
+                self._read(paths)
                 .select(F.lit(table).alias("table"), "_metadata.file_path", "_metadata.file_size")
                 .groupBy("table", "file_path", "file_size").agg(F.count(F.lit(1)).alias("n_rows"))
             )
