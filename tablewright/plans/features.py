@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablewright.operators import aggregates, batches, chunks, clean, features, learning, masks, vectors
+from tablewright.operators import aggregates, batches, chunks, clean, features, learning, masks, reindex, vectors
 from tablewright.plans.registry import query
 from tablewright.session import persist_to_shared
 from tablewright.sources.snapshots import SnapshotStore
@@ -205,6 +205,36 @@ def _(t):
     return chunks.rechunk_changed(t.documents, t.documents_dev, "doc_id").select("doc_id", "chunk_no", "chunk")
 
 
+def two_text_versions(t) -> SnapshotStore:
+    """Documents in a folder per language; on dev the French ones are written anew, and some of them differ."""
+    store = SnapshotStore(t.spark, t.scratch("store"))
+    columns = ["doc_id", "lang", "text"]
+    of = lambda df, keep: store.write(df.where(keep).select(*columns), "documents")
+    french = F.col("lang") == "fr"
+    rest = of(t.documents, ~F.coalesce(french, F.lit(False)))
+    store.commit("main", "load", {"documents": [rest, of(t.documents, french)]})
+    store.create_branch("dev", "main")
+    store.commit("dev", "new French texts", {"documents": [rest, of(t.documents_dev, french)]})
+    return store
+
+
+_CHUNKS_OF = """SELECT doc_id, n AS chunk_no, substr(text, 900 * n + 1, 1000) AS chunk FROM (SELECT doc_id, text,
+    unnest(generate_series(0, CAST(greatest(ceil((length(text) - 1000) / 900.0), 0) AS BIGINT))) AS n FROM {0} WHERE lang = 'fr' AND length(text) > 0)"""
+
+
+@query(
+    "reindex_changed_chunks",
+    f"""WITH o AS ({_CHUNKS_OF.format("documents")}), n AS ({_CHUNKS_OF.format("documents_dev")})
+    SELECT doc_id, chunk_no, CASE WHEN n.chunk IS NULL THEN 'delete' ELSE 'upsert' END AS op, n.chunk
+    FROM n FULL JOIN o USING (doc_id, chunk_no) WHERE n.chunk IS DISTINCT FROM o.chunk""",
+)
+def _(t):
+    """Digests of main are stored first; the new version then reads the folder it adds and digests, no old text."""
+    index = reindex.ChunkIndex(two_text_versions(t), "documents", "doc_id")
+    index.digests(index.store.tables("main")["documents"], index.store.tables("main")["documents"][0])
+    return index.updates("main", "dev")
+
+
 @query(
     "medallion_stages",
     """SELECT lang, count(*) AS n_docs, CAST(sum(length(text)) AS BIGINT) AS n_chars, 3 AS n_tags FROM documents
