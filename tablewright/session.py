@@ -65,10 +65,20 @@ def scratch(spark: SparkSession, label: str = "work") -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+# What a finished step shuffled is dropped when its write ends, not when a collector gets round to it.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def persist_to_shared(df, label: str = "cut"):
-    """Write a frame to the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write a frame to the shared folder and read it back: cuts lineage, survives lost executors, frees its shuffles."""
     path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_DROP_SHUFFLES, None)
+    conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.unset(_DROP_SHUFFLES) if before is None else conf.set(_DROP_SHUFFLES, before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written_to = path
     return out
