@@ -170,7 +170,8 @@ def fit(sample: DataFrame, text: str = "text", label: str = "toxic") -> Model:
             packed = [term[lo:hi].astype(np.int16).tobytes() for lo, hi in zip(borders[:-1], borders[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), batch.column(1)], names=["terms", "label"])
 
-    got = rows.mapInArrow(only_chosen, "terms binary, label int").orderBy("label", "terms").collect()  # at most TRAIN_ROWS rows
+    got = rows.mapInArrow(only_chosen, "terms binary, label int").collect()  # at most TRAIN_ROWS rows
+    got.sort(key=lambda r: (r["label"], bytes(r["terms"])))
     lists = [np.frombuffer(r["terms"], np.int16).astype(np.int64) for r in got]
     label_ = np.array([r["label"] for r in got], float)
     term = np.concatenate([*lists, np.zeros(0, np.int64)])
@@ -187,12 +188,13 @@ def held_out(key: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, key: str = "doc_id", text: str = "text", label: str = "toxic") -> DataFrame:
-    """At most ``rows`` labelled documents that are not held out, picked by a hash of the id."""
+    """At most ``rows`` labelled documents that are not held out, picked by a hash of the id; one text of each id."""
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~held_out(F.col(key)))
-    picked = known.select(F.col(key).alias("__key"), F.col(label).alias("label")).orderBy(F.xxhash64("__key"), "__key", "label").limit(rows)
+    picked = known.select(F.col(key).alias("__key"), F.col(label).alias("label")).distinct().orderBy(F.xxhash64("__key"), "__key", "label").limit(rows)
     small = F.broadcast(persist_to_shared(picked, "labels"))  # at most ``rows`` pairs of numbers
     found = docs.select(F.col(key).alias("__k"), whole(text).alias("text")).join(small, F.col("__k") == F.col("__key"))
-    return persist_to_shared(found.select("text", "label"), "sample")
+    # An id may hold a large share of all rows: its texts meet as a minimum, task by task.
+    return persist_to_shared(found.groupBy("__key", "label").agg(F.min("text").alias("text")).select("text", "label"), "sample")
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", rows: int = TRAIN_ROWS) -> DataFrame:
