@@ -134,7 +134,7 @@ def measured(docs: DataFrame, rules: dict[str, Rule], text: str, rows: int) -> l
                 took = time.perf_counter() - begin
                 yield pa.RecordBatch.from_pydict({"rule": [name], "rejected": [rejected], "seconds": [took]})
 
-    sample = docs.select(text).sample(fraction=min(1.0, rows / n), seed=7).coalesce(8)
+    sample = docs.select(text).sample(fraction=min(1.0, rows / n), seed=7)
     seen = sample.mapInArrow(trial, "rule string, rejected long, seconds double").groupBy("rule").agg(
         (F.sum("rejected") / (F.sum("seconds") + 1e-6)).alias("gain")
     )
