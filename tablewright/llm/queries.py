@@ -23,7 +23,7 @@ from tablewright.llm import (
     toxicity,
     url_lists,
 )
-from tablewright.llm.shared import ascii_lower
+from tablewright.llm.shared import ascii_lower, whole, word_count
 from tablewright.session import apply_settings
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,8 +73,8 @@ def op7(table):
 
 @query("op9_mix_sources", oracles.OP9)
 def op9(table):
-    rows = table("documents").select("doc_id", "text", "source")
-    return mixing.mix_plan(rows).select("doc_id", "size", "source_size", "target", "taken")
+    rows = table("documents").select("doc_id", "source", word_count(F.col("text")).alias("n_words"), F.xxhash64(whole("text")).cast("string").alias("hash"))
+    return mixing.mix_plan(rows, size=F.col("n_words"), text="hash").select("doc_id", "size", "source_size", "target", "taken")
 
 
 @query("op10_decontaminate", oracles.OP10)
