@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm import arrays, graph
 from tablewright.llm.arrays import U64
-from tablewright.llm.shared import release, whole
+from tablewright.llm.shared import whole
 from tablewright.session import discard, persist_to_shared
 
 WORDS = 5  # words per shingle
@@ -267,7 +267,6 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
             yield batch.select(["a", "b"]).filter(pa.array(similar, pa.bool_()))
 
     held = persist_to_shared(docs.mapInArrow(sets, "id long, shingles binary, parts binary"), "sets")
-    release(docs.sparkSession)
 
     def joined(pairs: DataFrame, column: str, then) -> DataFrame:
         one, other = (held.select(F.col("id").alias(f"__{s}"), F.col(column).alias(s)) for s in ("x", "y"))
@@ -276,7 +275,6 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
     left = persist_to_shared(joined(pairs, "parts", may), "pairs")
     links = persist_to_shared(joined(left, "shingles", compare), "links")
     discard(held, left)
-    release(docs.sparkSession)
     return links
 
 
@@ -292,14 +290,11 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     2. Verified stars give first components. Only shingles that still hold several components are joined
        again, and only between entries of different components.
     """
-    spark = docs.sparkSession
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc"), whole(text).alias("text"))
     index = persist_to_shared(prefix_index(rows, frequencies(rows, words), words, percent), "index")
-    release(spark)
     same = persist_to_shared(index.where("h is null").select("doc", "n", "same_as"), "sizes")
     hits = persist_to_shared(shared_prefixes(index, percent), "hits")
     discard(index)
-    release(spark)
     star = hits.where((F.col("star") != F.col("doc")) & possible(F.col("n"), F.col("pos"), F.col("star_n"), F.col("star_pos"), percent))
     pairs = persist_to_shared(star.select(F.col("star").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
     links = verified(pairs, rows, words, percent)
@@ -315,7 +310,6 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     open_ = named.join(per.where("cs > 1").select(F.col("h").alias("__h"), "main"), F.col("h") == F.col("__h")).drop("__h")
     open_ = persist_to_shared(open_, "open")
     discard(named)
-    release(spark)
     other = open_.select(F.col("h").alias("__h"), F.col("doc").alias("__d"), F.col("n").alias("__m"), F.col("pos").alias("__p"), F.col("c").alias("__c"))
     once = (F.col("__c") == F.col("main")) | (F.col("doc") < F.col("__d"))
     meet = open_.where("c != main").join(
@@ -331,7 +325,6 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = persist_to_shared(meet.join(done, ["a", "b"], "left_anti"), "pairs")
     discard(open_)
-    release(spark)
     late = verified(more, rows, words, percent)
     found = graph.components(copies.union(links).union(late))
     found = found.select(F.col("node").alias("__n"), F.col("root").alias("__r"))

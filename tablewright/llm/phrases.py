@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tablewright.llm import arrays
 from tablewright.llm.arrays import U64
 from tablewright.llm.near_copies import id_bits, id_filter
-from tablewright.llm.shared import SMALL, ranked_within, release
+from tablewright.llm.shared import SMALL, ranked_within
 from tablewright.operators.skew import join_per_key
 from tablewright.session import discard, persist_to_shared
 
@@ -311,7 +311,6 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = bucket_bits(rows, longest * size // 6)
     survivors = can_be_frequent(rows, longest, least, bits)
-    release(rows.sparkSession)
     counts = exact_counts(rows, survivors, longest, least, bits)
     discard(survivors)
     totals = counts.where("n_words = 0").select(F.col("lang").alias("__l"), F.col("f").alias("n"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm import arrays
 from tablewright.llm.arrays import U64
-from tablewright.llm.shared import release, replaced, whole
+from tablewright.llm.shared import replaced, whole
 from tablewright.session import persist_to_shared
 
 LENGTH = 50  # bytes of a string that counts as a repeat
@@ -25,7 +25,7 @@ SAMPLE_DOCS = 2000  # bound of the sample the splitters are taken from
 TOP = U64(2**64 - 1)
 
 Records = tuple[np.ndarray, ...]  # key, context, document, tag, position
-NONE: Records = (np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.uint16), np.zeros(0, np.uint32))
+NONE: Records = (np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint32))
 
 
 class Piece:
@@ -164,7 +164,7 @@ class Splitters:
 
 
 SENT = "bucket int, settled boolean, keys binary, contexts binary, docs binary, tags binary, places binary"
-DTYPES = (U64, U64, np.int64, np.uint16, np.uint32)
+DTYPES = (U64, U64, np.int64, np.int32, np.uint32)
 
 
 def send(records: Records, splitters: Splitters) -> Iterator[pa.RecordBatch]:
@@ -263,7 +263,7 @@ def sampled(rows: DataFrame, docs: int) -> tuple[Splitters, Splitters]:
             step = max(1, len(key) // (32 * batch.num_rows))  # some 32 to 64 suffixes a document
             yield pa.RecordBatch.from_arrays([pa.array(key[::step].view(np.int64)), pa.array(context[::step].view(np.int64)), pa.array(np.full(len(key[::step]), step))], names=["key", "context", "step"])
 
-    picked = rows.sample(fraction=min(1.0, docs / max(n, 1)), seed=11).coalesce(8).mapInArrow(sample, "key long, context long, step long").collect()
+    picked = rows.sample(fraction=min(1.0, docs / max(n, 1)), seed=11).mapInArrow(sample, "key long, context long, step long").collect()
     key = np.array([r["key"] for r in picked], np.int64).view(U64)
     context = np.array([r["context"] for r in picked], np.int64).view(U64)
     anchors_ = sum(r["step"] for r in picked) * max(1.0, n / docs)
@@ -276,8 +276,8 @@ def sampled(rows: DataFrame, docs: int) -> tuple[Splitters, Splitters]:
 
 
 def identified(docs: DataFrame, key: str, text: str, carried: list[str] | None = None) -> DataFrame:
-    """``(doc, tag, text)``: 16 bits of a text hash tell rows with one id and different texts apart."""
-    tag = F.xxhash64(whole(text)).bitwiseAND(F.lit(0xFFFF)).cast("int")
+    """``(doc, tag, text)``: 32 bits of a text hash tell rows with one id and different texts apart."""
+    tag = F.shiftright(F.xxhash64(whole(text)), 32).cast("int")
     row = [] if carried is None else [F.struct(*[F.col(f"`{c}`") for c in carried]).alias("__row")]
     return docs.select(*row, F.col(key).cast("long").alias("doc"), tag.alias("tag"), whole(text).alias("text"))
 
@@ -297,7 +297,7 @@ def repeated_places(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
             for batch in arrays.small(batches, 2):
                 ids, tags = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
                 for doc, pos, key, context in anchors(*arrays.texts(batch.column(2))):
-                    yield key, context, ids[doc].astype(np.int64), tags[doc].astype(np.uint16), pos.astype(np.uint32)
+                    yield key, context, ids[doc].astype(np.int64), tags[doc].astype(np.int32), pos.astype(np.uint32)
 
         yield from buffered(parts(), suffixes)
 
@@ -309,16 +309,13 @@ def repeated_places(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
                 pos = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 doc = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
                 for owner, start, value in open_windows(*arrays.texts(batch.column(2)), doc, pos):
-                    yield value, np.zeros(len(value), U64), ids[owner].astype(np.int64), tags[owner].astype(np.uint16), start.astype(np.uint32)
+                    yield value, np.zeros(len(value), U64), ids[owner].astype(np.int64), tags[owner].astype(np.int32), start.astype(np.uint32)
 
         yield from buffered(parts(), windows)
 
-    spark = rows.sparkSession
     first = exchange(known.mapInArrow(scan, SENT), suffixes, True, "suffixes")
-    release(spark)
     unsure = with_places(known, first.where("open"), [F.collect_list("place").alias("places")], "inner")
     second = exchange(unsure.select("doc", "tag", "text", "places").mapInArrow(check, SENT), windows, False, "windows")
-    release(spark)
     return first.where("not open"), second
 
 

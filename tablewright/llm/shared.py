@@ -1,12 +1,10 @@
-"""Word patterns, running ranks over range partitions, and release of finished shuffles."""
+"""Word patterns, and ranks over range partitions."""
 
 from __future__ import annotations
 
-import gc
 import string
-import time
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -109,17 +107,6 @@ def ranked_within(df: DataFrame, group: str, order: list[Column]) -> DataFrame:
     return placed.join(shift, same).withColumn("__rank", row + F.col("__shift")).drop(AT, "__part", "__group", "__shift")
 
 
-def release(spark: SparkSession) -> None:
-    """Let the context cleaner drop shuffle files of steps whose results are already written.
-
-    The second round catches what finished jobs and Python's proxies still held in the first.
-    """
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
-
-
 def replaced(df: DataFrame, names: list[str]) -> DataFrame:
     """Without input columns that a result column of the same name replaces."""
     return df.drop(*[c for c in df.columns if c in names])
