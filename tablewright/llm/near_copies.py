@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,7 @@ SKETCH_BITS = 20  # the frequency sketch has 2**20 counters whatever the size of
 BLOCK = 1 << 12  # counters per row of the sketch
 FILTER_BITS = 26  # size of the bitmap of ids that verification asks for: 8 MB
 PARTS = 256  # partitions of the shingle space for the suffix filter
+WAVES = 4  # the index is dealt by shingle in so many steps, so that only a part of it is on the move at one time
 MANY = 255  # shingles in one part from which on their number is not told
 
 TABLE = arrays.byte_table(arrays.SPACES, lower=True)
@@ -74,7 +76,7 @@ def frequencies(docs: DataFrame, words: int) -> np.ndarray:
 
     schema = "block long, counts binary"
     out = np.zeros(1 << SKETCH_BITS, np.uint32)
-    for row in docs.mapInArrow(count, schema).repartition("block").mapInArrow(add, schema).collect():  # 4 MB, always
+    for row in persist_to_shared(docs.mapInArrow(count, schema).repartition("block").mapInArrow(add, schema), "sketch").collect():  # 4 MB, always
         out[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(row["counts"], np.uint32)
     return out
 
@@ -105,7 +107,7 @@ def id_filter(ids: DataFrame) -> np.ndarray:
 
     schema = "block long, bits binary"
     out = np.zeros(1 << FILTER_BITS - 3, np.uint8)
-    for row in ids.mapInArrow(mark, schema).repartition("block").mapInArrow(unite, schema).collect():  # 8 MB at most
+    for row in persist_to_shared(ids.mapInArrow(mark, schema).repartition("block").mapInArrow(unite, schema), "bitmap").collect():  # 8 MB at most
         out[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(row["bits"], np.uint8)
     return out
 
@@ -293,7 +295,8 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc"), whole(text).alias("text"))
     index = persist_to_shared(prefix_index(rows, frequencies(rows, words), words, percent), "index")
     same = persist_to_shared(index.where("h is null").select("doc", "n", "same_as"), "sizes")
-    hits = persist_to_shared(shared_prefixes(index, percent), "hits")
+    waves = [persist_to_shared(shared_prefixes(index.where(F.pmod("h", F.lit(WAVES)) == w), percent), "hits") for w in range(WAVES)]
+    hits = reduce(DataFrame.unionByName, waves)
     discard(index)
     star = hits.where((F.col("star") != F.col("doc")) & possible(F.col("n"), F.col("pos"), F.col("star_n"), F.col("star_pos"), percent))
     pairs = persist_to_shared(star.select(F.col("star").alias("a"), F.col("doc").alias("b")).distinct(), "pairs")
@@ -305,7 +308,7 @@ def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     root = first.select(F.col("node").alias("__n"), F.col("root").alias("__r"))
     named = hits.join(root, F.col("doc") == F.col("__n"), "left").select("h", "doc", "n", "pos", F.coalesce("__r", "doc").alias("c"))
     named = persist_to_shared(named, "named")
-    discard(hits)
+    discard(*waves)
     per = named.groupBy("h", "c").agg(F.count("*").alias("k")).groupBy("h").agg(F.max_by("c", "k").alias("main"), F.count("*").alias("cs"))
     open_ = named.join(per.where("cs > 1").select(F.col("h").alias("__h"), "main"), F.col("h") == F.col("__h")).drop("__h")
     open_ = persist_to_shared(open_, "open")
