@@ -21,7 +21,7 @@ SKETCH_BITS = 20  # the frequency sketch has 2**20 counters whatever the size of
 BLOCK = 1 << 12  # counters per row of the sketch
 FILTER_BITS = 26  # size of the bitmap of ids that verification asks for: 8 MB
 PARTS = 256  # partitions of the shingle space for the suffix filter
-WAVES = 4  # the index is dealt by shingle in so many steps, so that only a part of it is on the move at one time
+WAVES = 4  # the index and the sets to compare are dealt in so many steps, so that only a part is on the move at one time
 MANY = 255  # shingles in one part from which on their number is not told
 
 TABLE = arrays.byte_table(arrays.SPACES, lower=True)
@@ -270,14 +270,19 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
 
     held = persist_to_shared(docs.mapInArrow(sets, "id long, shingles binary, parts binary"), "sets")
 
-    def joined(pairs: DataFrame, column: str, then) -> DataFrame:
+    def joined(pairs: DataFrame, column: str, then, wave: int) -> DataFrame:
+        """Pairs whose second document belongs to a wave: only those documents' sets move along with them."""
         one, other = (held.select(F.col("id").alias(f"__{s}"), F.col(column).alias(s)) for s in ("x", "y"))
-        return pairs.join(one, F.col("a") == F.col("__x")).join(other, F.col("b") == F.col("__y")).select("a", "b", "x", "y").mapInArrow(then, "a long, b long")
+        own = pairs.where(F.pmod("b", F.lit(WAVES)) == wave).join(other.where(F.pmod("__y", F.lit(WAVES)) == wave), F.col("b") == F.col("__y"))
+        return own.join(one, F.col("a") == F.col("__x")).select("a", "b", "x", "y").mapInArrow(then, "a long, b long")
 
-    left = persist_to_shared(joined(pairs, "parts", may), "pairs")
-    links = persist_to_shared(joined(left, "shingles", compare), "links")
-    discard(held, left)
-    return links
+    def in_waves(pairs: DataFrame, column: str, then, label: str) -> list[DataFrame]:
+        return [persist_to_shared(joined(pairs, column, then, w), label) for w in range(WAVES)]
+
+    left = in_waves(pairs, "parts", may, "pairs")
+    links = in_waves(reduce(DataFrame.unionByName, left), "shingles", compare, "links")
+    discard(held, *left)
+    return reduce(DataFrame.unionByName, links)
 
 
 def similar_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, key: str = "doc_id", text: str = "text") -> DataFrame:
