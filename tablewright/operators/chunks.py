@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,36 +27,46 @@ def fixed_chunks(docs: DataFrame, key: str, text: str = "text", size: int = 1000
 SEPARATORS = ["\n\n", "\n", " ", ""]
 
 
-def _pieces(text: str, size: int, seps: list[str]) -> Iterator[str]:
-    """Parts of at most ``size`` characters that concatenate to ``text``, cut at the coarsest separator that works."""
-    if len(text) <= size:
-        yield text
-        return
-    sep, rest = seps[0], seps[1:]
-    if sep == "":
-        yield from (text[i : i + size] for i in range(0, len(text), size))
-        return
-    head, *tail = text.split(sep)
-    for part in [head, *(sep + t for t in tail)]:
-        if part:
-            yield from _pieces(part, size, rest)
-
-
-def _pack(text: str, size: int, overlap: int) -> list[str]:
-    """Neighbouring pieces joined up to ``size``; each chunk repeats up to ``overlap`` characters of the one before."""
-    chunks: list[str] = []
-    window: list[str] = []
-    length = 0
-    for piece in _pieces(text, size, SEPARATORS):
-        if window and length + len(piece) > size:
-            chunks.append("".join(window))
-            while window and (length > overlap or length + len(piece) > size):
-                length -= len(window.pop(0))
-        window.append(piece)
-        length += len(piece)
-    if window:
-        chunks.append("".join(window))
-    return [c.strip() for c in chunks if c.strip()]
+def _marks(text: str, size: int) -> np.ndarray:
+    """Offsets where a chunk may begin or end: no two neighbours are further apart than ``size``.
+
+    Gaps that are too wide are cut before every occurrence of the coarsest separator, what is still too wide
+    before the next one, and at last every ``size`` characters.
+    """
+    marks = np.array([0, len(text)])
+    for sep in SEPARATORS:
+        wide = np.flatnonzero(np.diff(marks) > size)
+        if not len(wide):
+            break
+        found = []
+        for lo, hi in zip(marks[wide].tolist(), marks[wide + 1].tolist()):
+            if sep:
+                found += [lo + m.start() for m in re.finditer(re.escape(sep), text[lo:hi])]
+            else:
+                found += range(lo, hi, size)
+        marks = np.union1d(marks, np.array(found, "int64"))
+    return marks
+
+
+def _spans(marks: np.ndarray, size: int, overlap: int) -> list[tuple[int, int]]:
+    """Chunks as spans between marks, each as long as ``size`` allows.
+
+    A chunk begins at the first mark that is at most ``overlap`` before the end of the last one and leaves room
+    for one piece more than that.
+    """
+    ends = marks[np.searchsorted(marks, marks + size, "right") - 1]
+    spans, begin = [], 0
+    while True:
+        spans.append((int(marks[begin]), int(ends[begin])))
+        if ends[begin] == marks[-1]:
+            return spans
+        beyond = np.searchsorted(marks, ends[begin], "right")
+        begin = int(np.searchsorted(marks, max(ends[begin] - overlap, marks[beyond] - size)))
+
+
+def _cut(text: str, size: int, overlap: int) -> list[str]:
+    spans = _spans(_marks(text, size), size, overlap) if text else []
+    return [c for c in (text[lo:hi].strip() for lo, hi in spans) if c]
 
 
 def separator_chunks(docs: DataFrame, key: str, text: str = "text", size: int = 1000, overlap: int = 100) -> DataFrame:
@@ -63,7 +74,7 @@ def separator_chunks(docs: DataFrame, key: str, text: str = "text", size: int =
 
     @F.pandas_udf("array<string>")
     def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: _pack(t or "", size, overlap))
+        return texts.map(lambda t: _cut(t or "", size, overlap))
 
     return docs.select(key, F.posexplode(cut(F.col(text))).alias("chunk_no", "chunk"))
 
