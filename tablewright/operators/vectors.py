@@ -2,17 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tablewright.functions.arrays import squared_distance
-
-BLOCK_VECTORS, BLOCK_QUERIES = 2048, 256  # vectors that meet at a time
+from tablewright.operators.metric_index import MetricIndex
 
 
 def nearest(vectors: DataFrame, query: list[float], k: int = 4, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -24,44 +18,11 @@ def nearest(vectors: DataFrame, query: list[float], k: int = 4, key: str = "vec_
     )
 
 
-def _blocks(df: DataFrame, key: str, vector: str, rows: int) -> DataFrame:
-    """``(ids, points)``: up to ``rows`` vectors packed in one row, so that blocks can meet as wholes."""
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for lo in range(0, len(batch), rows):
-                part = batch.iloc[lo : lo + rows]
-                points = np.stack(part[vector].to_numpy()).astype("float64")
-                yield pd.DataFrame({"ids": [part[key].to_numpy("int64").tobytes()], "points": [points.tobytes()]})
-
-    return df.select(key, vector).where(F.col(vector).isNotNull()).mapInPandas(pack, "ids binary, points binary")
-
-
 def nearest_many(
     vectors: DataFrame, queries: DataFrame, k: int = 4, key: str = "vec_id", vector: str = "embedding"
 ) -> DataFrame:
     """The ``k`` nearest vectors to each of any number of queries (query_id, vector), exact.
 
-    A block nested loop: every block of vectors meets every block of queries, two bounded arrays at a time.
-    Each meeting keeps its k best per query, and so does each task before the exchange, which carries
-    k rows per query and task.
+    Builds an index for this one call; ``MetricIndex`` keeps one for many.
     """
-    asked = _blocks(queries.select("query_id", "vector"), "query_id", "vector", BLOCK_QUERIES).toDF("q_ids", "q_points")
-
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                ids, names = np.frombuffer(row.ids, "int64"), np.frombuffer(row.q_ids, "int64")
-                x, points = (np.frombuffer(b, "float64").reshape(n, -1) for b, n in ((row.points, len(ids)), (row.q_points, len(names))))
-                d = np.stack([np.sqrt(((x - p) ** 2).sum(axis=1)) for p in points])
-                order = np.lexsort((np.broadcast_to(ids, d.shape), d), axis=1)[:, :k]
-                n = order.shape[1]
-                yield pd.DataFrame({"query_id": np.repeat(names, n), key: ids[order].ravel(), "distance": np.take_along_axis(d, order, 1).ravel()})
-
-    met = _blocks(vectors, key, vector, BLOCK_VECTORS).join(asked)
-    local = met.mapInPandas(best, f"query_id long, {key} long, distance double")
-    # row_number <= k is also applied before the exchange, so each task sends k rows per query
-    order = Window.partitionBy("query_id").orderBy("distance", key)
-    return local.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
-        "query_id", "rank", key, "distance"
-    )
+    return MetricIndex.build(vectors, key, vector).search(queries, k)
