@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablewright.operators import aggregates, clean, diff, dml, lineage, merge
+from tablewright.operators.ref_merge import RefMerge
 from tablewright.plans.registry import query
 from tablewright.plans.shapes import ORDER_SQL, order_rows
 from tablewright.sources import scans, sinks
@@ -154,6 +155,28 @@ def _(t):
     return merge.merge_three_way(t.orders, t.orders_dev, t.orders_hotfix, ["o_orderkey"]).select(*_MERGE_OUT)
 
 
+def _part_of(changed: str, parts: int) -> str:
+    """SQL of orders whose first ``parts`` of four folders were written anew."""
+    return f"(SELECT * FROM {changed} WHERE o_orderkey % 4 < {parts} UNION ALL SELECT * FROM orders WHERE o_orderkey % 4 >= {parts})"
+
+
+def orders_in_folders(t) -> SnapshotStore:
+    """Orders in four folders; dev writes the first one anew, hotfix the first two."""
+    store = SnapshotStore(t.spark, t.scratch("store"))
+    part = lambda df, n: store.write(df.where(F.col("o_orderkey") % 4 == n), "orders")
+    folders = [part(t.orders, n) for n in range(4)]
+    store.commit("main", "load", {"orders": folders})
+    for branch, changed, n in (("dev", t.orders_dev, 1), ("hotfix", t.orders_hotfix, 2)):
+        store.create_branch(branch, "main")
+        store.commit(branch, "edit", {"orders": [part(changed, i) for i in range(n)] + folders[n:]})
+    return store
+
+
+@query("merge_refs", _merge_sql("orders", _part_of("orders_dev", 1), _part_of("orders_hotfix", 2), _MERGED))
+def _(t):
+    return RefMerge(orders_in_folders(t), "orders", ["o_orderkey"], "main", "dev", "hotfix").rows().select(*_MERGE_OUT)
+
+
 @query(
     "merge_conflicts",
     _merge_sql(
