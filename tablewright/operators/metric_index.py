@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from tablewright.session import persist_to_shared
 
-PIVOTS = 256  # cells; their centres are all that is sent to every task
+PIVOTS = 256  # cells at most; their centres are all that is sent to every task
 SAMPLED_PER_PIVOT = 8  # vectors that the driver chooses each centre from
 BLOCK_VECTORS, BLOCK_QUERIES = 2048, 256  # vectors that meet at a time
 SLACK = 1e-9  # bounds give way by this share, so that rounding drops no neighbour
@@ -57,6 +57,8 @@ class MetricIndex:
     @classmethod
     def build(cls, vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", pivots: int = PIVOTS) -> MetricIndex:
         rows = vectors.select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v")).where("v IS NOT NULL")
+        # a cell is worth having if it fills a block; beyond ``pivots`` cells have more rings instead
+        pivots = min(pivots, -(-vectors.select(key).count() // BLOCK_VECTORS))
         some = rows.orderBy(F.xxhash64("v", "id"), "id").limit(pivots * SAMPLED_PER_PIVOT).select("v").collect()
         if not some:
             return cls(None, np.empty((0, 0)), key)
