@@ -24,33 +24,72 @@ def count_by_ref(refs: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def dim_aggregates(df: DataFrame, dimensions: list[str], measure: str, accuracy: int = 10_000) -> DataFrame:
+def _narrowed(left: DataFrame, bins: int) -> DataFrame:
+    """One round of the selection in ``_middle``: each group keeps the bin of values that holds its wanted rank.
+
+    The bins come from a sketch of the group's distinct values; how many rows a bin holds is counted exactly. Values
+    below the chosen bin leave, and the wanted rank is counted from its start.
+    """
+    cuts = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    sizes = left.groupBy("_g").agg(F.count(F.lit(1)).alias("_size"), F.percentile_approx("_v", cuts, F.lit(100 * bins)).alias("_cuts"))
+    met = join_per_key(left, persist_to_shared(sizes, "cuts"), ["_g"], "_size", "_v")
+    number = F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))
+    met = met.select("_g", "_k", "_v", "_c", F.when(F.col("_v").isNull(), -1).otherwise(number).alias("_bin"))
+    met = persist_to_shared(met, "bins")
+    heights = met.groupBy("_g", "_k", "_bin").agg(F.sum("_c").alias("_height"))
+    upto = F.sum("_height").over(Window.partitionBy("_g").orderBy("_bin"))  # at most bins + 1 rows a group
+    reached = heights.withColumn("_upto", upto).where(F.col("_upto") >= F.col("_k"))
+    chosen = reached.groupBy("_g").agg(F.min(F.struct("_bin", (F.col("_upto") - F.col("_height")).alias("below"))).alias("_at"))
+    weight = met.groupBy("_g").agg(F.count(F.lit(1)).alias("_size"))
+    kept = join_per_key(met, persist_to_shared(chosen.join(weight, "_g"), "chosen"), ["_g"], "_size", "_v")
+    kept = kept.where(F.col("_bin") == F.col("_at._bin"))
+    return kept.select("_g", (F.col("_k") - F.col("_at.below")).alias("_k"), "_v", "_c")
+
+
+def _middle(left: DataFrame, block: int, bins: int = 64) -> DataFrame:
+    """The value of rank ``_k`` in each group ``_g`` of (value ``_v``, count ``_c``) rows; a null value lies below all.
+
+    Rounds of ``_narrowed`` go on until no group has more than ``block`` values left, so the window that ranks them
+    holds at most that many rows, whatever the size of the group. A round leaves about one part in ``bins``.
+    """
+    widest = None
+    while True:
+        left = persist_to_shared(left, "middle")
+        size = left.groupBy("_g").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+        if size <= block or size == widest:  # values that a sketch of doubles cannot tell apart do not narrow
+            break
+        left, widest = _narrowed(left, bins), size
+    upto = F.sum("_c").over(Window.partitionBy("_g").orderBy(F.col("_v").asc_nulls_first()))
+    reached = left.withColumn("_upto", upto).where(F.col("_upto") >= F.col("_k"))
+    return reached.groupBy("_g").agg(F.min("_v").alias("median_value"))
+
+
+def dim_aggregates(df: DataFrame, dimensions: list[str], measure: str, accuracy: int = 10_000, block: int = 4_096) -> DataFrame:
     """Count, exact median, minimum and maximum of a measure for each value of each dimension.
 
     Each row becomes one (dimension, value) pair per dimension, folded together before the exchange. A first pass
     brackets the middle with a sketch of bounded size, whose rank is off by at most one in ``accuracy`` rows. A
-    second pass counts what lies below the bracket and ranks only the values inside it, so a group of n rows
-    leaves some 4 n / ``accuracy`` rows for its window. The median of an even count is the lower middle value.
+    second pass counts what lies below the bracket and each value inside it, some 4 n / ``accuracy`` rows of a group
+    of n. Groups with more than ``block`` values left are narrowed in rounds (``_middle``) before any window ranks
+    them. The median of an even count is the lower middle value.
     """
-    pairs = F.array(
-        *[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("value")) for d in dimensions]
-    )
-    rows = df.select(F.col(measure).alias("_m"), F.inline(pairs))
+    pairs = []
+    for i, d in enumerate(dimensions):
+        value = F.col(d).cast("string")
+        group = F.concat(F.lit(str(i)), F.coalesce(F.concat(F.lit("="), value), F.lit("")))  # never null, unlike the value
+        pairs.append(F.struct(F.lit(d).alias("dimension"), value.alias("value"), group.alias("_g")))
+    rows = df.select(F.col(measure).alias("_m"), F.inline(F.array(*pairs)))
     near = F.percentile_approx("_m", F.array(F.lit(0.5 - 2 / accuracy), F.lit(0.5 + 2 / accuracy)), accuracy)
-    first = rows.groupBy("dimension", "value").agg(
+    first = rows.groupBy("dimension", "value", "_g").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("_m").alias("_n"), near.alias("_near"),
         F.min("_m").alias("min_value"), F.max("_m").alias("max_value"),
     )
     first = persist_to_shared(first, "groups")
-    key = [first["dimension"] == rows["dimension"], first["value"].eqNullSafe(rows["value"])]
-    met = rows.join(first, key).where(F.col("_m") <= F.col("_near")[1]).select(first["dimension"], first["value"], "_n", "_near", "_m")
+    met = rows.select("_g", "_m").join(first.select("_g", "_n", "_near"), "_g").where(F.col("_m") <= F.col("_near")[1])
     # Everything below the bracket counts as one value, so at most the bracket's values are left per group.
     place = F.when(F.col("_m") >= F.col("_near")[0], F.col("_m")).alias("_v")
-    counts = met.groupBy("dimension", "value", "_n", place).agg(F.count(F.lit(1)).alias("_c"))
-    order = Window.partitionBy("dimension", "value").orderBy(F.col("_v").asc_nulls_first())
-    reached = counts.withColumn("_upto", F.sum("_c").over(order)).where(F.col("_upto") >= F.ceil(F.col("_n") / 2))
-    middle = reached.groupBy(F.col("dimension").alias("_d"), F.col("value").alias("_g")).agg(F.min("_v").alias("median_value"))
-    return first.join(middle, (F.col("dimension") == F.col("_d")) & F.col("value").eqNullSafe(F.col("_g")), "left").select(
+    left = met.groupBy("_g", F.ceil(F.col("_n") / 2).alias("_k"), place).agg(F.count(F.lit(1)).alias("_c"))
+    return first.join(_middle(left, block), "_g", "left").select(
         "dimension", "value", "n_rows", "median_value", "min_value", "max_value"
     )
 

@@ -141,6 +141,55 @@ def descriptor_fields(descriptors: DataFrame, fields: list[dict], strict: bool =
     return findings(found, "descriptor_field", F.col("path"), F.col("problem"))
 
 
+# Type names that rules may ask for, and what Spark calls the types of values inside a parsed document.
+_KINDS = {"boolean": "^BOOLEAN$", "number": "^(BIGINT|DECIMAL|DOUBLE|FLOAT)", "string": "^STRING$", "table": "^(OBJECT|ARRAY)"}
+
+
+def _choice(value: Column, kind: Column, choice) -> Column:
+    """Whether the value equals the choice in type and value: "3" is not 3, "true" is not true."""
+    name = "boolean" if isinstance(choice, bool) else "string" if isinstance(choice, str) else "number"
+    target = {"boolean": "boolean", "string": "string", "number": "double"}[name]
+    return kind.rlike(_KINDS[name]) & (F.try_variant_get(value, "$", target) == F.lit(choice).cast(target))
+
+
+def typed_fields(descriptors: DataFrame, fields: list[dict], strict: bool = False) -> DataFrame:
+    """Check the document ``body`` (the text of a JSON object) of each descriptor against the rules of ``descriptor_fields``.
+
+    Values keep their types: a quoted "123" is no number and a quoted "true" no boolean. A type is ``boolean``,
+    ``number``, ``string`` or ``table`` (an object or a list). A null field counts as absent. A pattern asks for text.
+    Choices are compared with their type. A body that is null or no JSON object is one finding of its own.
+    """
+    whole = descriptors.select("path", F.try_parse_json("body").alias("_doc"))
+    is_object = F.coalesce(F.schema_of_variant("_doc").startswith("OBJECT"), F.lit(False))
+    values, problems = [], []
+    for i, rule in enumerate(fields):
+        name = rule["name"]
+        if '"' in name or "\\" in name:
+            raise ValueError(f"field name {name!r}")
+        values.append(F.try_variant_get("_doc", f'$["{name}"]', "variant").alias(f"_v{i}"))
+        value = F.col(f"_v{i}")
+        kind = F.schema_of_variant(value)
+        there = value.isNotNull() & (kind != "VOID")
+        if rule.get("required"):
+            problems.append(F.when(~there, f"{name} is required"))
+        elif strict and (rule.get("type") or rule.get("choices")):
+            problems.append(F.when(~there, f"{name} is absent"))
+        if rule.get("type"):
+            problems.append(F.when(there & ~kind.rlike(_KINDS[rule["type"]]), f"{name} is not a {rule['type']}"))
+        if rule.get("choices"):
+            allowed = F.lit(False)
+            for choice in rule["choices"]:
+                allowed = allowed | F.coalesce(_choice(value, kind, choice), F.lit(False))
+            problems.append(F.when(there & ~allowed, f"{name} is not an allowed choice"))
+        if rule.get("pattern"):
+            text = F.when(kind.rlike(_KINDS["string"]), F.try_variant_get(value, "$", "string"))
+            problems.append(F.when(there & text.isNull(), f"{name} is not text"))
+            problems.append(F.when(there & ~text.rlike(rule["pattern"]), f"{name} does not match its pattern"))
+    parsed = whole.select("path", is_object.alias("_object"), *values)
+    listed = F.when(~F.col("_object"), F.array(F.lit("not a JSON object"))).otherwise(F.array_compact(F.array(*problems)))
+    return findings(parsed.select("path", F.explode(listed).alias("problem")), "descriptor_field", F.col("path"), F.col("problem"))
+
+
 def file_formats(diff: DataFrame, prefix: str, suffixes: list[str], folders: tuple[str, ...] = ("_delta_log/",)) -> DataFrame:
     """Changed files below ``prefix`` that are of no allowed format."""
     allowed = F.lit(False)

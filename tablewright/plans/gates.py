@@ -228,6 +228,30 @@ def _(t):
     return gates.descriptor_fields(described, FIELD_RULES)
 
 
+@query(
+    "check_descriptor_types",
+    """WITH p AS (SELECT 'datasets/' || p_partkey AS path, p_partkey AS k FROM part)
+    SELECT 'descriptor_field' AS "check", path AS subject, 'not a JSON object' AS detail FROM p WHERE k % 29 = 0
+    UNION ALL SELECT 'descriptor_field', path, 'contains_pii is required' FROM p WHERE k % 29 <> 0 AND k % 11 = 0
+    UNION ALL SELECT 'descriptor_field', path, 'contains_pii is not a boolean' FROM p WHERE k % 29 <> 0 AND k % 11 <> 0 AND k % 13 = 0
+    UNION ALL SELECT 'descriptor_field', path, 'approval_link is not a string' FROM p WHERE k % 29 <> 0 AND k % 17 = 0
+    UNION ALL SELECT 'descriptor_field', path, 'approval_link is not text' FROM p WHERE k % 29 <> 0 AND k % 17 = 0
+    UNION ALL SELECT 'descriptor_field', path, 'rank is not a number' FROM p WHERE k % 29 <> 0 AND k % 19 = 0
+    UNION ALL SELECT 'descriptor_field', path, 'department is not an allowed choice' FROM p WHERE k % 29 <> 0 AND k % 23 = 0""",
+)
+def _(t):
+    k = F.col("p_partkey")
+    pii = F.when(k % 11 == 0, "null").when(k % 13 == 0, '"true"').otherwise("true")
+    link = F.when(k % 17 == 0, "12").otherwise('"https://example.com/ok"')
+    rank = F.when(k % 19 == 0, F.concat(F.lit('"'), "p_size", F.lit('"'))).otherwise(F.col("p_size").cast("string"))
+    body = F.concat(
+        F.lit('{"contains_pii": '), pii, F.lit(', "approval_link": '), link, F.lit(', "rank": '), rank,
+        F.lit(', "department": '), F.when(k % 23 == 0, '"sales"').otherwise('"it"'), F.lit("}"),
+    )
+    body = F.when(k % 29 == 0, "[1, 2]").otherwise(body)
+    return gates.typed_fields(t.part.select(F.concat(F.lit("datasets/"), k.cast("string")).alias("path"), body.alias("body")), FIELD_RULES)
+
+
 @query(
     "check_formats",
     """SELECT 'file_format' AS "check", 'analytics/' || source || '/' || doc_id || '.csv' AS subject, '.csv' AS detail

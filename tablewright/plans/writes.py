@@ -104,12 +104,12 @@ def _(t):
     FROM orders GROUP BY 1""",
 )
 def _(t):
-    path = t.scratch("by-year")
+    store = SnapshotStore(t.spark, t.scratch("by-year"))
     rows = t.orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
-    sinks.partitioned(rows, path, "year")
+    store.replace_partitions("main", "orders", rows, ["year"], "load")
     fixed = rows.where("year = 1998").withColumn("o_totalprice", F.col("o_totalprice") * 2)
-    sinks.overwrite_partitions(fixed, path, "year")
-    return t.spark.read.parquet(path).groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    store.replace_partitions("main", "orders", fixed, ["year"])
+    return store.read("orders", "main").groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
 @query(

@@ -1,4 +1,4 @@
-"""Writers. Every write goes to a new folder; the folder a plan reads from is never overwritten."""
+"""Writers. Writes go to new folders, but for ``overwrite_partitions``, which replaces files in place."""
 
 from __future__ import annotations
 
@@ -23,7 +23,10 @@ def rebalanced(df: DataFrame, path: str) -> None:
 
 
 def overwrite_partitions(df: DataFrame, path: str, *columns: str) -> None:
-    """Replace only the partitions that occur in ``df``; the others keep their files."""
+    """Replace only the partitions that occur in ``df``; the others keep their files.
+
+    In place, for plain folders: the old rows are gone afterwards. ``SnapshotStore.replace_partitions`` keeps them.
+    """
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
 
 

@@ -157,6 +157,41 @@ class SnapshotStore:
         kw.setdefault("expected_head", start["commit_id"])
         return self.commit(branch, message, {table: old + [self.write(df, table)]}, **kw)
 
+    def write_partitions(self, df: DataFrame, table: str, columns: list[str]) -> list[str]:
+        """Write one immutable folder per combination of the columns' values; the folders, named by a digest of them.
+
+        The columns stay in the files, so types, nulls and empty texts come back as they were.
+        """
+        values = [F.col(c).cast("string") for c in columns]
+        digest = F.md5(F.concat(*[F.coalesce(F.concat(F.length(v), F.lit("="), v), F.lit("-")) for v in values]))
+        path = f"{self._by(table, columns)}{uuid.uuid4().hex[:12]}"
+        df.withColumn("tw_part", digest).hint("rebalance", "tw_part").write.partitionBy("tw_part").parquet(path)
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        listed = folder.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).listStatus(folder)
+        names = [f.getPath().getName() for f in listed if f.isDirectory()]
+        return [f"{path}/{name}" for name in sorted(names) if name.startswith("tw_part=")]
+
+    def _by(self, table: str, columns: list[str]) -> str:
+        return f"{self.root}/{table}/by-{hashlib.md5(json.dumps(columns).encode()).hexdigest()[:12]}-"
+
+    def replace_partitions(self, branch: str, table: str, df: DataFrame, columns: list[str], message: str = "replace partitions", **kw) -> str:
+        """A commit in which the partitions that occur in ``df`` hold its rows only; all others keep their folders.
+
+        Nothing is overwritten: the old version stays readable, and a write that fails leaves folders no commit names.
+        The first call makes the table. A table made in another way, or by other columns, is refused, and so is a
+        branch that moved meanwhile. The list of folders grows with the number of partitions, not with the rows.
+        """
+        entry = self._ref(branch)
+        old = dict(entry["tables"]).get(table, []) if entry else []
+        if any(not p.startswith(self._by(table, columns)) for p in old):
+            raise RefError(f"{table} is not partitioned by {columns}")
+        new = self.write_partitions(df, table, columns)
+        part = lambda p: p.rsplit("/", 1)[1]
+        touched = {part(p) for p in new}
+        if entry:
+            kw.setdefault("expected_head", entry["commit_id"])
+        return self.commit(branch, message, {table: [p for p in old if part(p) not in touched] + new}, **kw)
+
     def _read(self, paths: list[str]) -> DataFrame:
         """Folders written at different times may differ in their columns: the table has all of them, null where a
         folder lacks one. Columns whose types cannot be united are refused."""

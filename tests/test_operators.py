@@ -288,3 +288,60 @@ def test_audits_fire(spark):
     want = spark.createDataFrame([("x",), ("z",)], "value string")
     got = {(r.subject, r.detail) for r in gates.membership(t.na.drop(), "d", want).collect()}
     assert got == {("z", "missing")}
+
+
+def test_median_narrows_a_hot_group_in_rounds(spark):
+    rnd = np.random.default_rng(5)
+    data = [(None if g == 2 else int(g), int(v)) for g, v in zip(rnd.choice(3, 6000, p=[0.9, 0.05, 0.05]), rnd.normal(0, 900, 6000))]
+    data += [(5, 7)] * 300 + [(5, v) for v in range(299)] + [(6, 1), (6, 2)]
+    df = spark.createDataFrame(data, "g int, v int")
+    out = aggregates.dim_aggregates(df, ["g"], "v", accuracy=10, block=3).collect()  # a coarse sketch leaves much to narrow
+    assert len(out) == 5
+    for r in out:
+        own = sorted(v for g, v in data if (None if g is None else str(g)) == r.value)
+        assert (r.n_rows, r.median_value) == (len(own), own[(len(own) + 1) // 2 - 1]), r
+
+
+@pytest.mark.parametrize("tile", [1, 64, 100, 1024])
+def test_union_area_of_masks_on_one_image(spark, tile):
+    rnd = random.Random(tile)
+    data = [(0, f"{rnd.randrange(1, 3000)} {rnd.choice([0, 1, 63, 64, 65, 700])}") for _ in range(400)]
+    data += [(0, "5 64")] * 500 + [(1, None), (2, ""), (3, "1 128 65 64")]
+    df = spark.createDataFrame(data, "image_id int, encoded_pixels string")
+    got = {r.image_id: r.union_area for r in masks.union_area(df, tile).collect()}
+    pixels = set().union(*[brute_mask(text, 1) for k, text in data if k == 0])
+    assert got == {0: len(pixels), 3: 128}
+
+
+def test_union_area_shuffles_one_row_per_tile(spark):
+    df = spark.createDataFrame([(0, "1 5")] * 50, "image_id int, encoded_pixels string")
+    plan = masks.union_area(df, 1024)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2 and "Window" not in plan, plan
+
+
+def test_typed_descriptor_fields(spark):
+    rules = [
+        {"name": "pii", "required": True, "type": "boolean"}, {"name": "rank", "type": "number", "choices": [1, 2.5]},
+        {"name": "link", "pattern": "^https?:"}, {"name": "tags", "type": "table"}, {"name": "team", "choices": ["3", "it"]},
+    ]
+    bodies = {
+        "good": '{"pii": false, "rank": 2.5, "link": "http://x", "tags": ["a"], "team": "3"}',
+        "bare": '{"pii": true}',
+        "quoted": '{"pii": "true", "rank": "123", "team": 3}',
+        "void": '{"pii": null, "link": 4, "tags": "a"}',
+        "off": '{"pii": true, "rank": 3, "link": "ftp://x"}',
+        "list": "[]", "torn": '{"pii": ', "none": None, "text": '"pii"',
+    }
+    df = spark.createDataFrame(list(bodies.items()), "path string, body string")
+    got = {}
+    for r in gates.typed_fields(df, rules).collect():
+        got.setdefault(r.subject, set()).add(r.detail)
+    bad = {"not a JSON object"}
+    assert got == {
+        "quoted": {"pii is not a boolean", "rank is not a number", "rank is not an allowed choice", "team is not an allowed choice"},
+        "void": {"pii is required", "link is not text", "tags is not a table"},
+        "off": {"rank is not an allowed choice", "link does not match its pattern"},
+        "list": bad, "torn": bad, "none": bad, "text": bad,
+    }
+    absent = {r.detail for r in gates.typed_fields(df.where("path = 'bare'"), rules, strict=True).collect()}
+    assert absent == {"rank is absent", "tags is absent", "team is absent"}

@@ -116,3 +116,31 @@ def test_blocked_publish_leaves_main_alone(spark, store):
     assert verdict == "blocked" and found.count() == 1 and n(store, "main") == 10
     verdict, _ = publish.write_audit_publish(store, "more", "main", {"t": spark.range(20)}, audits)
     assert verdict == "published" and n(store, "main") == 20
+
+
+def test_replaced_partitions_leave_the_old_version(spark, store):
+    rows = spark.createDataFrame([("a", 1), ("a", 2), ("", 3), (None, 4), ("01", 5)], "k string, v int")
+    store.replace_partitions("main", "p", rows, ["k"], "load")
+    old = store.head("main")
+    before = store.tables(old)["p"]
+    store.replace_partitions("main", "p", spark.createDataFrame([("a", 10), ("", 30), ("new", 60)], "k string, v int"), ["k"])
+    got = lambda ref: sorted(map(tuple, store.read("p", ref).collect()), key=str)
+    assert got("main") == sorted([("a", 10), ("", 30), (None, 4), ("01", 5), ("new", 60)], key=str)
+    assert got(old) == sorted([("a", 1), ("a", 2), ("", 3), (None, 4), ("01", 5)], key=str)
+    assert len(set(before) & set(store.tables("main")["p"])) == 2  # the null and the 01 partition keep their folders
+    store.replace_partitions("main", "p", rows.limit(0), ["k"])  # touches nothing
+    assert got("main") == sorted([("a", 10), ("", 30), (None, 4), ("01", 5), ("new", 60)], key=str)
+
+
+def test_a_failed_replacement_changes_nothing(spark, store):
+    store.replace_partitions("main", "p", spark.createDataFrame([(1, 1)], "k int, v int"), ["k"])
+    head = store.head("main")
+    with pytest.raises(Exception, match="broken"):
+        store.replace_partitions("main", "p", spark.sql("SELECT id AS k, raise_error('broken') AS v FROM range(3)"), ["k"])
+    with pytest.raises(RefError, match="not partitioned by"):
+        store.replace_partitions("main", "p", spark.createDataFrame([(1, 1)], "k int, v int"), ["v"])
+    with pytest.raises(RefError, match="not partitioned by"):
+        store.replace_partitions("main", "t", spark.range(3), ["id"])
+    with pytest.raises(RefError, match="moved"):
+        store.replace_partitions("main", "p", spark.createDataFrame([(1, 2)], "k int, v int"), ["k"], expected_head="older")
+    assert store.head("main") == head and n(store, "main", "p") == 1
