@@ -54,7 +54,8 @@ MORE = (
     Rule("google", r"AIza[0-9A-Za-z_-]+", "AIza", 0, 39),
     Rule("stripe", r"[sr]k_live_[0-9A-Za-z]+", "k_live_", 0, 24),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", r"eyJ", 0, 40),
-    Rule("login", r"[a-z]+://[^\x20/:@]+:([^\x20/:@]+)@", "://", 1, 6),
+    # Only the start of a run of letters is tried: any later start matches only where that one does.
+    Rule("login", r"(?<![a-z])[a-z]++://[^\x20/:@]++:([^\x20/:@]++)@", "://", 1, 6),
 )
 RULES = BASE + MORE
 VERSION = "2"  # raise it with any change of a rule: blobs are scanned once per version
@@ -62,22 +63,47 @@ VERSION = "2"  # raise it with any change of a rule: blobs are scanned once per
 SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
+BLOCK = 256  # lists that grow one by one are copied each time, so they are grown in blocks
+
+
+def _once(value: Column, fn) -> Column:
+    """``fn`` of a value that is computed once, however often ``fn`` names it."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def _spans_of_block(pieces: Column, at: Column, number: int, least: int) -> Column:
+    step = lambda acc, p: F.struct(
+        (acc["at"] + p["gap"] + F.coalesce(p["hit"], F.lit(0))).alias("at"),
+        F.when(p["value"] >= least, F.array_append(acc["spans"], F.struct(
+            (acc["at"] + p["gap"]).alias("start"), F.lit(number).alias("kind"), (acc["at"] + p["gap"] + p["hit"]).alias("end"),
+        ))).otherwise(acc["spans"]).alias("spans"),
+    )
+    return F.aggregate(pieces, F.struct(at.alias("at"), F.array().cast(SPANS).alias("spans")), step, lambda acc: acc["spans"])
+
+
 def rule_spans(text: Column, number: int, rule: Rule) -> Column:
-    """Spans of one rule in code points: matches and the gaps between them, added up."""
+    """Spans of one rule in code points: matches and the gaps between them, added up block by block.
+
+    The work grows with the length of the text, also for a text with very many matches.
+    """
     pattern = rule.pattern + rule.rest
-    pieces = F.arrays_zip(
-        F.split(text, pattern, -1).alias("gap"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.value)).alias("value"),
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.value)) if rule.value else hits
+    lengths = F.transform(
+        F.arrays_zip(F.split(text, pattern, -1).alias("gap"), hits.alias("hit"), values.alias("value")),
+        lambda p: F.struct(F.length(p["gap"]).alias("gap"), F.length(p["hit"]).alias("hit"), F.length(p["value"]).alias("value")),
     )
-    step = lambda acc, p: F.struct(
-        (acc["at"] + F.length(p["gap"]) + F.coalesce(F.length(p["hit"]), F.lit(0))).alias("at"),
-        F.when(F.length(p["value"]) >= rule.least, F.array_append(acc["spans"], F.struct(
-            (acc["at"] + F.length(p["gap"])).alias("start"), F.lit(number).alias("kind"),
-            (acc["at"] + F.length(p["gap"]) + F.length(p["hit"])).alias("end"),
-        ))).otherwise(acc["spans"]).alias("spans"),
+    cut = lambda pieces: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / BLOCK).cast("int")), lambda b: F.slice(pieces, b * BLOCK + 1, F.lit(BLOCK))
+    )
+    total = lambda block: F.aggregate(block, F.lit(0), lambda n, p: n + p["gap"] + F.coalesce(p["hit"], F.lit(0)))
+    starts = lambda blocks: F.aggregate(
+        blocks, F.array(F.lit(0)), lambda at, block: F.array_append(at, F.element_at(at, -1) + total(block))
     )
-    found = F.aggregate(pieces, F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("spans")), step, lambda acc: acc["spans"])
+    placed = lambda blocks: F.flatten(F.zip_with(
+        blocks, F.slice(starts(blocks), F.lit(1), F.size(blocks)), lambda block, at: _spans_of_block(block, at, number, rule.least)
+    ))
+    found = _once(_once(lengths, cut), placed)
     return F.when(text.rlike(rule.gate), found).otherwise(F.array().cast(SPANS))
 
 
