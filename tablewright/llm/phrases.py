@@ -27,7 +27,7 @@ LONGEST = 3  # words of a candidate
 COVER = 50  # per cent of a candidate's occurrences inside a longer one that make it redundant
 TOP = 2000  # phrases reported per language
 SCALE = 1_000_000
-BATCH = 8 << 20  # bytes of text whose words are held at one time
+BATCH = 2 << 20  # bytes of text whose words are held at one time
 BUFFER = 1 << 20  # words a task holds before it combines and sends their runs
 BUCKET = 1 << 23  # runs per hash partition, about
 KEY = 5  # bytes of a hash that are sent, besides the bits that name its partition
@@ -142,37 +142,56 @@ def key_shift(bits: int) -> int:
 
 
 def send(hashes: list[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
-    """One row per bucket with its share of the combined runs, and one with their number."""
+    """One row per bucket with its share of the combined runs, and one with their number. Empties ``hashes``."""
     every = np.concatenate(hashes)
-    value, count = summed(every, np.ones(len(every), np.int64))
+    hashes.clear()
+    every.sort()
+    first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
+    value, n = every[first], len(every)
+    del every
+    count = np.diff(first, append=n)
+    del first
     # The bucket is the high part of the hash, so buckets are slices of the sorted hashes.
     borders = np.searchsorted(value, np.arange(1 << bits, dtype=U64) << U64(64 - bits)) if bits else np.zeros(1, np.int64)
     borders = np.append(borders, len(value))
     width = KEY if key_shift(bits) else 8
-    low = (value << U64(bits) >> U64(bits) >> U64(key_shift(bits))).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
     for b in range(1 << bits):
         lo, hi = int(borders[b]), int(borders[b + 1])
         if lo < hi:
+            low = (value[lo:hi] << U64(bits) >> U64(bits) >> U64(key_shift(bits))).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
             often = np.flatnonzero(count[lo:hi] > 1)
             # Counts above one follow as (place, count) pairs: most runs of a buffer stand alone.
             pairs = np.stack([often, count[lo:hi][often]]).astype(np.uint32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b] * 2, pa.int32()), pa.array([0, 1], pa.int32()), pa.array([int(count[lo:hi].sum()), 0], pa.int64()),
-                 pa.array([None, low[lo:hi].tobytes()], pa.binary()), pa.array([None, pairs.tobytes()], pa.binary())],
+                 pa.array([None, low.tobytes()], pa.binary()), pa.array([None, pairs.tobytes()], pa.binary())],
                 names=["bucket", "part", "mass", "hashes", "counts"],
             )
 
 
-def opened(row: dict, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def sent_runs(batches: Iterator[pa.RecordBatch], longest: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """What a task sends: the hashes of about ``BUFFER`` words' runs are held, combined and given out."""
+    held, size = [], 0
+    for found in batches_of_words(batches):
+        held += [found.of(n, bits)[1] for n in range(1, longest + 1)]
+        size += len(found.value)
+        if size >= BUFFER:
+            yield from send(held, bits)
+            size = 0
+    if held:
+        yield from send(held, bits)
+
+
+def opened(bucket: int, hashes: pa.Buffer, counts: pa.Buffer, bits: int) -> tuple[np.ndarray, np.ndarray]:
     width = KEY if key_shift(bits) else 8
-    sent = np.frombuffer(row["hashes"], np.uint8).reshape(-1, width)
+    sent = np.frombuffer(hashes, np.uint8).reshape(-1, width)
     wide = np.zeros((len(sent), 8), np.uint8)
     wide[:, :width] = sent
-    hashes = (wide.reshape(-1).view("<u8") << U64(key_shift(bits))) | (U64(row["bucket"]) << U64(64 - bits) if bits else U64(0))
-    counts = np.ones(len(hashes), np.int64)
-    at, more = np.frombuffer(row["counts"], np.uint32).reshape(2, -1).astype(np.int64)
-    counts[at] = more
-    return hashes, counts
+    value = (wide.reshape(-1).view("<u8") << U64(key_shift(bits))) | (U64(bucket) << U64(64 - bits) if bits else U64(0))
+    count = np.ones(len(value), np.int64)
+    at, more = np.frombuffer(counts, np.uint32).reshape(2, -1).astype(np.int64)
+    count[at] = more
+    return value, count
 
 
 def bucket_bits(rows: DataFrame, runs: int) -> int:
@@ -184,17 +203,6 @@ def bucket_bits(rows: DataFrame, runs: int) -> int:
 def can_be_frequent(rows: DataFrame, longest: int, least: int, bits: int) -> DataFrame:
     """Hashes of all runs of ``(lang, text)`` found ``least`` times or more, and of some that are not: ``(h)``."""
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for found in batches_of_words(batches):
-            held += [found.of(n, bits)[1] for n in range(1, longest + 1)]
-            size += len(found.value)
-            if size >= BUFFER:
-                yield from send(held, bits)
-                held, size = [], 0
-        if held:
-            yield from send(held, bits)
-
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come bucket by bucket, the masses of a bucket before its summaries."""
         own, mass, summary = None, 0, None
@@ -204,18 +212,19 @@ def can_be_frequent(rows: DataFrame, longest: int, least: int, bits: int) -> Dat
                 yield pa.RecordBatch.from_arrays([pa.array(summary.survivors(least).view(np.int64))], names=["h"])
 
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["bucket"] != own:
+            hashes, counts = batch.column(3), batch.column(4)  # read where they lie, a row at a time
+            for i, (bucket, part, some) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)):
+                if bucket != own:
                     yield from ended()
-                    own, mass, summary = row["bucket"], 0, None
-                if row["part"] == 0:
-                    mass += row["mass"]
+                    own, mass, summary = bucket, 0, None
+                if part == 0:
+                    mass += some
                 else:
                     summary = summary or Summary(mass // least + 1)
-                    summary.merge(*opened(row, bits))
+                    summary.merge(*opened(bucket, hashes[i].as_buffer(), counts[i].as_buffer(), bits))
         yield from ended()
 
-    sent = rows.mapInArrow(scan, SENT)
+    sent = rows.mapInArrow(lambda batches: sent_runs(batches, longest, bits), SENT)
     placed = sent.repartitionById(1 << bits, F.col("bucket")).sortWithinPartitions("bucket", "part")
     return persist_to_shared(placed.mapInArrow(reduce, "h long"), "survivors")
 

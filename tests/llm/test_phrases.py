@@ -1,9 +1,11 @@
 """Collocations against plain counting, and what the summaries promise."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tablewright.llm import phrases
@@ -67,6 +69,20 @@ def test_no_frequent_hash_is_lost_when_counters_are_few(seed):
         assert c <= true[h] <= c + whole.lost
 
 
+def test_a_task_of_the_first_pass_holds_a_bounded_share_of_its_text():
+    """24 MB of text in one Arrow batch, as Spark hands over a split: words of a small part exist at one time."""
+    rng = np.random.default_rng(1)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 4000)) for _ in range(750)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * len(texts), "text": texts})
+    runs = sum(4000 - n + 1 for n in (1, 2, 3)) * len(texts)
+    mass = sum(b.column(2)[0].as_py() for b in phrases.sent_runs(iter([batch]), 3, 6))  # fills the tables of powers
+    tracemalloc.start()
+    found = sum(b.column(2)[0].as_py() for b in phrases.sent_runs(iter([batch]), 3, 6))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == mass == runs and peak < 125 << 20, peak >> 20
+
+
 def test_scores_are_exact_beyond_64_bits(spark):
     a, x, y = 9_000_000_000_001, 9_100_000_000_007, 9_200_000_000_003
     counts = spark.createDataFrame([("en", 2, "p q", a), ("en", 1, "p", x), ("en", 1, "q", y), ("en", 0, "", 10**14)], "lang string, n_words int, phrase string, f long")
