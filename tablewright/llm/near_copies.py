@@ -225,15 +225,17 @@ def possible(n: Column, pos: Column, m: Column, at: Column, percent: int) -> Col
     return (n * 100 >= m * percent) & (m * 100 >= n * percent) & (most * (100 + percent) >= needed(n, m, percent))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` that are similar enough; every pair is compared once, on whole sets.
+def part_sizes(hashes: np.ndarray) -> bytes:
+    """How many shingles of a set each of ``PARTS`` parts of the shingle space has."""
+    return np.minimum(np.bincount((hashes & U64(PARTS - 1)).astype(np.int64), minlength=PARTS), MANY).astype(np.uint8).tobytes()
 
-    Before whole sets travel, a suffix filter compares how many shingles the two sets have in each of ``PARTS``
-    parts of the shingle space: they cannot share more than the smaller number of each part.
+
+def among(docs: DataFrame, ids: DataFrame, words: int, name: str, give) -> DataFrame:
+    """``(id, <name>)``: what ``give`` makes of the shingle sets of the documents whose ids are listed, and of a few others.
+
+    Texts stay where they are: a bitmap of the wanted ids travels to them. Those it lets pass by chance meet no pair.
     """
-    # Texts stay where they are: a bitmap of the wanted ids travels to them, and only the sets of wanted documents
-    # move. Those it lets pass by chance meet no pair.
-    wanted = docs.sparkSession.sparkContext.broadcast(id_filter(pairs.select(F.explode(F.array("a", "b")).alias("id"))))
+    wanted = docs.sparkSession.sparkContext.broadcast(id_filter(ids))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrays.small(batches, 1):
@@ -242,12 +244,19 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
             if not batch.num_rows:
                 continue
             hashes, borders = shingle_sets(batch.column(1), words)
-            raw = hashes.tobytes()
-            parts = [np.minimum(np.bincount((hashes[lo:hi] & U64(PARTS - 1)).astype(np.int64), minlength=PARTS), MANY).astype(np.uint8).tobytes()
-                     for lo, hi in zip(borders[:-1], borders[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([raw[8 * lo : 8 * hi] for lo, hi in zip(borders[:-1], borders[1:], strict=True)], pa.binary()), pa.array(parts, pa.binary()),
-            ], names=["id", "shingles", "parts"])
+            made = [give(hashes[lo:hi]) for lo, hi in zip(borders[:-1], borders[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=["id", name])
+
+    return docs.mapInArrow(sets, f"id long, {name} binary")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` that are similar enough; every pair is compared once, on whole sets.
+
+    Before whole sets travel, a suffix filter compares how many shingles the two sets have in each of ``PARTS``
+    parts of the shingle space: they cannot share more than the smaller number of each part. Whole sets are as large as
+    the texts they come from, so they are made anew for each side of the pairs left and go to the exchange unwritten.
+    """
 
     def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -268,15 +277,16 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
                 similar.append(100 * both >= percent * (len(merged) - both))
             yield batch.select(["a", "b"]).filter(pa.array(similar, pa.bool_()))
 
-    held = persist_to_shared(docs.mapInArrow(sets, "id long, shingles binary, parts binary"), "sets")
-
-    def joined(pairs: DataFrame, column: str, then) -> DataFrame:
-        one, other = (held.select(F.col("id").alias(f"__{s}"), F.col(column).alias(s)) for s in ("x", "y"))
+    def joined(pairs: DataFrame, one: DataFrame, other: DataFrame, then) -> DataFrame:
+        one, other = (df.toDF(f"__{s}", s) for df, s in ((one, "x"), (other, "y")))
         return pairs.join(one, F.col("a") == F.col("__x")).join(other, F.col("b") == F.col("__y")).select("a", "b", "x", "y").mapInArrow(then, "a long, b long")
 
-    left = persist_to_shared(joined(pairs, "parts", may), "pairs")
-    links = persist_to_shared(joined(left, "shingles", compare), "links")
-    discard(held, left)
+    parts = persist_to_shared(among(docs, pairs.select(F.explode(F.array("a", "b")).alias("id")), words, "parts", part_sizes), "parts")
+    left = persist_to_shared(joined(pairs, parts, parts, may), "pairs")
+    discard(parts)
+    one, other = (among(docs, left.select(s), words, "shingles", np.ndarray.tobytes) for s in ("a", "b"))
+    links = persist_to_shared(joined(left, one, other, compare), "links")
+    discard(left)
     return links
 
 

@@ -44,6 +44,17 @@ def test_an_ignorant_sketch_loses_nothing(spark, monkeypatch):
     assert {r.doc: (r.n_shingles, r.component) for r in near_copies.similar_documents(df).collect()} == brute.components(docs)
 
 
+def test_whole_sets_are_not_written(spark, monkeypatch):
+    """Sets are as large as their texts: on disk they would stand beside the exchange that they are read for."""
+    written = []
+    keep = near_copies.persist_to_shared
+    monkeypatch.setattr(near_copies, "persist_to_shared", lambda df, label="cut": written.append((label, keep(df, label))) or written[-1][1])
+    docs = corpus(2)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert {r.doc: (r.n_shingles, r.component) for r in near_copies.similar_documents(df).collect()} == brute.components(docs)
+    assert "parts" in {label for label, _ in written} and not [label for label, table in written if "shingles" in table.columns]
+
+
 def test_keep_one(spark):
     docs = corpus(1)
     df = spark.createDataFrame(docs, "doc_id long, text string")
