@@ -11,6 +11,8 @@ from pyspark.sql.types import LongType
 from tablewright.operators.skew import join_per_key
 from tablewright.session import persist_to_shared, scratch
 
+FEW = 1 << 16  # nodes whose pointers are simply doubled
+
 
 def log_by_prefix(commits: DataFrame, prefixes: list[str], n: int) -> DataFrame:
     """The newest ``n`` commits that touch one of the prefixes."""
@@ -49,12 +51,14 @@ def lineage_edges(commits: DataFrame, key_prefix: str = "source.") -> DataFrame:
     )
 
 
-def origins(parents: DataFrame, max_rounds: int = 40) -> DataFrame:
+def origins(parents: DataFrame, max_rounds: int = 40, few: int = FEW) -> DataFrame:
     """For a forest (node, parent; roots have a null parent): node, its root and the number of steps.
 
-    Every round doubles the distance each pointer spans, so a chain of n commits needs log2(n)
-    joins. A round's result is written to the shared folder: lineage stays short, and a lost
-    executor recomputes one round only. Rows per round equal the number of nodes.
+    While more than ``few`` nodes have a parent, about a quarter of them is taken out and their children point past
+    them: those whose hash of this level says so and whose parent's does not, so no taken node points at another. What
+    is left is solved by doubling pointers, then the taken nodes are put back level by level. As every level has three
+    quarters of the rows of the one before, all joins together move a few times the nodes, however long the chains are.
+    Where nodes repeat, all is done by doubling. Every level's result is written to the shared folder.
     """
     # A root points at itself with 0 steps; "done" once the pointer rests on a root.
     jump = parents.select(
@@ -63,6 +67,34 @@ def origins(parents: DataFrame, max_rounds: int = 40) -> DataFrame:
         F.col("parent").isNull().alias("done"),
     )
     jump = persist_to_shared(jump, "origins")
+    left = jump.where(~F.col("done")).count()
+    if left <= few or not jump.where("node is not null").groupBy("node").count().where("count > 1").isEmpty():
+        return _doubled(jump, max_rounds)
+    rest, taken, before = jump.where(~F.col("done")).drop("done"), [], 2 * left
+    while left > few and left * 10 < before * 9:  # a level that takes out next to nothing has cycles: doubling finds them
+        coin = [F.pmod(F.xxhash64(F.lit(len(taken)), c), F.lit(2)) for c in ("node", "to")]
+        out = (coin[0] == 1) & (coin[1] == 0)
+        taken.append(persist_to_shared(rest.where(out), "taken"))
+        via = taken[-1].select(F.col("node").alias("to"), F.col("to").alias("next"), F.col("steps").alias("more"))
+        rest = rest.where(~out).join(via, "to", "left").select(
+            "node", F.coalesce("next", "to").alias("to"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")
+        )
+        rest = persist_to_shared(rest, "rest")
+        before, left = left, rest.count()
+    # Roots are not in the rest: a pointer to a node that is not listed ends there.
+    found = _doubled(rest.withColumn("done", F.lit(False)), max_rounds)
+    for level in reversed(taken):
+        known = found.select(F.col("node").alias("to"), "origin", F.col("steps").alias("more"))
+        back = level.join(known, "to", "left").select(
+            "node", F.coalesce("origin", "to").alias("origin"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")
+        )
+        found = found.unionByName(persist_to_shared(back, "back"))
+    return found.unionByName(jump.where("done").select("node", F.col("to").alias("origin"), "steps"))
+
+
+def _doubled(jump: DataFrame, max_rounds: int) -> DataFrame:
+    """Every round doubles the distance each pointer spans, so a chain of n nodes needs log2(n) joins. A round's result
+    is written to the shared folder: lineage stays short, and a lost executor recomputes one round only."""
     for _ in range(max_rounds):
         if jump.where(~F.col("done")).isEmpty():
             return jump.select("node", F.col("to").alias("origin"), "steps")

@@ -76,6 +76,30 @@ def test_origins_of_a_long_chain_and_a_forest(spark):
     }
 
 
+def test_origins_moves_a_few_times_the_nodes(spark, monkeypatch):
+    """Shuffled chains, trees, lost parents and a null node against walking; rows written grow with the nodes alone."""
+    rnd = random.Random(4)
+    names = [f"n{i}" for i in range(3000)]
+    parent = {x: names[i - 1] if 0 < i < 2400 else names[rnd.randrange(i)] if i % 50 else None for i, x in enumerate(names)}
+    rows = [*parent.items(), ("lost", "gone"), (None, "n7")]
+    want = set()
+    for node, up in rows:
+        at, steps = node, 0
+        while up is not None:
+            at, steps, up = up, steps + 1, parent.get(up)
+        want.add((node, at, steps))
+    rnd.shuffle(rows)
+    written = []
+    keep = lineage.persist_to_shared
+    monkeypatch.setattr(lineage, "persist_to_shared", lambda df, label="cut": written.append(keep(df, label)) or written[-1])
+    got = [tuple(r) for r in lineage.origins(spark.createDataFrame(rows, "node string, parent string"), few=200).collect()]
+    assert set(got) == want and len(got) == len(want)
+    assert sum(df.count() for df in written) < 8 * len(rows)
+    with pytest.raises(ValueError, match="cycle"):
+        ring = spark.range(300).select(F.col("id").alias("node"), F.pmod(F.col("id") + 1, F.lit(300)).alias("parent"))
+        lineage.origins(ring, max_rounds=3, few=20)
+
+
 def test_origins_rejects_cycles(spark):
     ring = spark.createDataFrame([("a", "b"), ("b", "a")], "node string, parent string")
     with pytest.raises(ValueError, match="cycle"):
