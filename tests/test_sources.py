@@ -85,6 +85,21 @@ def test_landed_files_are_small_and_complete(spark):
     assert landed.agg(F.sum("n"), F.max("n")).first()[:] == (1000, 100)
 
 
+@pytest.mark.parametrize("values", [3, 3 * sinks.WRITERS])
+def test_partitioned_writes_hold_no_sorted_task(spark, values):
+    """A task with few values writes its rows as they come; with many it still writes all of them, one file a value."""
+    path = session.scratch(spark, "parts")
+    df = spark.range(3000).select("id", F.when(F.col("id") % values > 0, F.col("id") % values).alias("p"))
+    sinks.partitioned(df, path, "p")
+    store = spark._jsparkSession.sharedState().statusStore()
+    plans = [store.executionsList().apply(i).physicalPlanDescription() for i in range(store.executionsList().size())]
+    write = [x for x in plans if path in x and "InsertIntoHadoopFsRelationCommand" in x]
+    assert write and "Sort" not in write[-1] and spark.conf.get(sinks._WRITERS) == "0"
+    back = spark.read.parquet(path)
+    assert sorted(back.collect(), key=lambda r: r.id) == df.orderBy("id").collect()
+    assert len(set(back.inputFiles())) == len(back.inputFiles()) and back.select("p").distinct().count() == values
+
+
 def test_partition_overwrite_leaves_the_rest(spark):
     path = session.scratch(spark, "parts")
     df = spark.range(10).select("id", (F.col("id") % 2).alias("p"))
